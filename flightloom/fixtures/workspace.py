@@ -6,13 +6,21 @@ back by whatever needs them, while staging stays a view.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from datetime import date, datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flightloom.fixtures import views
+from flightloom.functions import epoch_to_ntz, start_of
 from flightloom.plans.models import MODEL
+from flightloom.plans.pipeline import Report, build, ingest, reload_aircraft
+from flightloom.schemas import LANDED_FIELDS, LOAD_ID
 from flightloom.session import scratch_dir
+from flightloom.sinks.tables import Layers
+from flightloom.sources.landing import read_landed
 from flightloom.sources.reference import default_airports
 
 # Midnight of l_shipdate in Unix seconds, without the session time zone.
@@ -57,6 +65,66 @@ class Workspace:
         model = MODEL[name]
         return model.build(*[self.table(i) for i in model.inputs])
 
+    @cached_property
+    def tables(self) -> Mapping[str, DataFrame]:
+        """All tables by name, each made when first asked for."""
+        return _TablesOf(self)
+
+    def registered_aircraft(self) -> DataFrame:
+        """Aircraft with a registration and columns that nobody keeps."""
+        return self.derive("aircraft_all").withColumn(
+            "registration", F.concat(F.lit("R-"), F.col("p_partkey").cast("string"))
+        )
+
+    @cached_property
+    def aircraft_file(self) -> str:
+        """The aircraft as delivered: CSV with a header and surplus columns."""
+        path = f"{self.root}/aircraft.csv"
+        options = {
+            "header": "true",
+            "escape": '"',
+            "ignoreLeadingWhiteSpace": "false",
+            "ignoreTrailingWhiteSpace": "false",
+        }
+        self.registered_aircraft().write.options(**options).csv(path)
+        return path
+
+    @cached_property
+    def landing(self) -> str:
+        """The raw flights as delivered: JSON by day and type, without a load id.
+
+        A delivery holds a month of flights under the month's first day, as the given
+        tables have too few flights a day to fill a folder each.
+        """
+        path = f"{self.root}/landing"
+        month = start_of("month", epoch_to_ntz(F.col("first_seen"))).cast("date")
+        delivered = self.table("raw_flights").drop(LOAD_ID).withColumn("day", month)
+        delivered = delivered.withColumnsRenamed({v: k for k, v in LANDED_FIELDS.items()})
+        gathered = delivered.hint("rebalance", F.col("day"), F.col("flight_type"))
+        gathered.write.partitionBy("day", "flight_type").json(path)
+        return path
+
+    def landed_days(self) -> list[date]:
+        days = read_landed(self.spark, self.landing).select("day").dropna().distinct()
+        return [row.day for row in days.collect()]
+
+    def new_layers(self, label: str) -> Layers:
+        """Empty layers of their own."""
+        place = scratch_dir(self.spark, label)
+        return Layers(self.spark, place, environment=f"{label}_{place[-8:]}")
+
+    @cached_property
+    def pipeline_run(self) -> tuple[Layers, Report]:
+        """The daily job over all landed days; outcomes of checks are only recorded."""
+        layers = self.new_layers("daily")
+        ingest(layers, self.landing, self.landed_days(), "1700000000", grain="month")
+        reload_aircraft(layers, self.aircraft_file)
+        run_at = datetime(1999, 1, 1)
+        report = build(
+            layers, self.table("airports"), run_at, on_failure="record", partitioned=False
+        )
+        return layers, report
+
     def _make(self, name: str) -> DataFrame:
         if name not in MODEL:
             df = self.derive(name)
@@ -75,6 +143,20 @@ class Workspace:
         return self.spark.sql(text, **frames)
 
 
+class _TablesOf(Mapping[str, DataFrame]):
+    def __init__(self, space: Workspace) -> None:
+        self._space = space
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._space.table(name)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(MODEL)
+
+    def __len__(self) -> int:
+        return len(MODEL)
+
+
 _open: dict[tuple[str, str], Workspace] = {}
 
 

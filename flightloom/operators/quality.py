@@ -40,16 +40,31 @@ def unaccepted_values(df: DataFrame, column: str, accepted: Sequence[str]) -> Da
     return outside.groupBy(column).agg(F.count(F.lit(1)).alias(FAILURES))
 
 
-def row_check_counts(
-    df: DataFrame, not_null: Sequence[str], accepted: Mapping[str, Sequence[str]]
+def check_counts(
+    df: DataFrame,
+    unique: str | None,
+    not_null: Sequence[str],
+    accepted: Mapping[str, Sequence[str]],
 ) -> DataFrame:
-    """All row-level checks of a table in one scan: one row with a count per check."""
-    counts = [F.count_if(F.col(c).isNull()).alias(f"not_null:{c}") for c in not_null]
-    counts += [
-        F.count_if(~F.col(c).isin(*values)).alias(f"accepted_values:{c}")
-        for c, values in accepted.items()
-    ]
-    return df.agg(*counts)
+    """Failures of several checks of one table in one pass: one row, a count per check.
+
+    With a ``unique`` column the row-level counts ride on its grouping, so the frame,
+    which may be an expensive view, is computed once. Columns are named ``kind:column``.
+    """
+    counts = {f"not_null:{c}": F.count_if(F.col(c).isNull()) for c in not_null}
+    for column, values in accepted.items():
+        counts[f"accepted_values:{column}"] = F.count_if(~F.col(column).isin(*values))
+    row_level = [count.alias(name) for name, count in counts.items()]
+    if unique is None:
+        return df.agg(*row_level)
+    key = "__key"
+    per_value = df.groupBy(F.col(unique).alias(key)).agg(
+        F.count(F.lit(1)).alias("__rows"), *row_level
+    )
+    repeated = F.count_if(F.col(key).isNotNull() & (F.col("__rows") > 1))
+    return per_value.agg(
+        repeated.alias(f"unique:{unique}"), *[F.sum(f"`{n}`").alias(n) for n in counts]
+    )
 
 
 def freshness(df: DataFrame, load_id: str, as_of: datetime) -> DataFrame:

@@ -19,6 +19,10 @@ from flightloom.session import session_conf
 
 SCHEMAS = ("raw", "staging", "marts", "snapshots", "quality")
 
+# Partitions are found from the folders, so a table can be renamed with all of them.
+PARTITIONS_FROM_FOLDERS = {"spark.sql.hive.manageFilesourcePartitions": "false"}
+REPLACE_FOUND_PARTITIONS = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+
 
 class Layers:
     """The schemas of one environment. A model's schema name is used as it is given.
@@ -115,9 +119,7 @@ class Layers:
         pending = self.name(schema, f"{model}__pending")
         if not self.spark.catalog.tableExists(pending):
             return
-        with session_conf(
-            self.spark, {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
-        ):
+        with session_conf(self.spark, REPLACE_FOUND_PARTITIONS):
             rows = self.spark.table(pending)
             rows.write.mode("overwrite").insertInto(self.name(schema, model))
         self.spark.sql(f"DROP TABLE {pending}")
@@ -131,12 +133,14 @@ class Layers:
         written = Observation()
         counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
         if partition_by is None:
-            counted.write.format("parquet").saveAsTable(table)
+            counted.write.format("parquet").mode("overwrite").saveAsTable(table)
         else:
             # Gathers each partition's rows into few files, while AQE splits a partition
             # that outgrows the advisory size over several tasks.
             gathered = counted.hint("rebalance", F.col(partition_by))
-            gathered.write.format("parquet").partitionBy(partition_by).saveAsTable(table)
+            writer = gathered.write.format("parquet").mode("overwrite").partitionBy(partition_by)
+            with session_conf(self.spark, PARTITIONS_FROM_FOLDERS):
+                writer.saveAsTable(table)
         return written.get["rows"]
 
 

@@ -82,8 +82,15 @@ def missing_slices(landed: DataFrame, days: DataFrame) -> DataFrame:
 
 
 def warn_missing(landed: DataFrame, days: Sequence[date]) -> None:
-    """Log each absent slice; one line per requested day and type at most."""
+    """Log the absent slices of the given days, a line per type of flight."""
     spark = landed.sparkSession
     asked = spark.createDataFrame([(d,) for d in days], "day date")
-    for row in missing_slices(landed, asked).collect():
-        log.warning("no %s records landed for %s: slice skipped", row.flight_type, row.day)
+    by_type = missing_slices(landed, asked).groupBy("flight_type")
+    for row in by_type.agg(F.sort_array(F.collect_set("day")).alias("days")).collect():
+        listed = ", ".join(map(str, row.days[:10])) + (", ..." if len(row.days) > 10 else "")
+        log.warning(
+            "no %s records landed for %d day(s), skipped: %s",
+            row.flight_type,
+            len(row.days),
+            listed,
+        )
