@@ -258,6 +258,7 @@ FROM raw_flights""",
   count(*) FILTER (f.flight_type = 'arrival') AS arrivals
 FROM fct_flights f JOIN airports a ON a.icao_code = f.airport_icao GROUP BY ALL""",
     "src_backfill": f"SELECT {_FLIGHT_COLUMNS}, _dlt_load_id FROM landed_once",
+    "stream_landing": f"SELECT {_FLIGHT_COLUMNS}, _dlt_load_id FROM landed_once",
     # sinks
     "merge_upsert": """SELECT DISTINCT ON (icao24, first_seen, flight_type) * FROM raw_flights
 WHERE _dlt_load_id >= '1700086400'
@@ -571,7 +572,7 @@ def _daily_job() -> dict[str, str]:
     routed["aircraft_file"] = "'raw', 'aircraft'"
     routed["stg_aircraft"] = "'snapshots', 'aircraft_snapshot'"
     routed |= {t: f"'marts', '{t}'" for t in _STORED}
-    stored = {t: f"'{t}' AS model" for t in _STORED}
+    stored = {t: f"'{t}' AS model" for t in ("stg_flights", "stg_aircraft", *_STORED)}
     return {
         "src_table_scan": _by_value("flight_type", "flight_type", "landed_once"),
         "sink_layers": _counts(routed),

@@ -34,6 +34,7 @@ from flightloom.schemas import (
 )
 from flightloom.session import scratch_dir
 from flightloom.sources import landing, reference, tables
+from flightloom.streaming.landing import follow_landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -92,9 +93,8 @@ FLIGHT_COLUMNS = (
 
 @query
 def src_missing_slice(ws: Workspace) -> DataFrame:
-    landed = landing.read_landed(ws.spark, ws.landing)
-    days = landed.select("day").dropna().distinct()
-    return landing.missing_slices(landed, days)
+    slices = landing.landed_slices(ws.spark, ws.landing)
+    return landing.missing_slices(slices, slices.select("day").dropna().distinct())
 
 
 @query
@@ -1017,6 +1017,23 @@ def pipeline_build(ws: Workspace) -> DataFrame:
     return _stack(counts)
 
 
+@query
+def stream_landing(ws: Workspace) -> DataFrame:
+    """Raw flights after following the landing folder, in several micro-batches."""
+    layers = ws.new_layers("stream")
+    follow_landing(
+        layers,
+        ws.landing,
+        scratch_dir(ws.spark, "stream-checkpoint"),
+        "1700000000",
+        grain="month",
+        files_per_batch=60,
+    )
+    return layers.table("raw", "flights").filter(F.col("first_seen").isNotNull()).select(
+        *FLIGHT_COLUMNS, LOAD_ID
+    )
+
+
 @query
 def pipeline_idempotent(ws: Workspace) -> DataFrame:
     """Rows of the raw flights after one load of all days and after a second one."""

@@ -20,7 +20,7 @@ from flightloom.plans.pipeline import Report, build, ingest, reload_aircraft
 from flightloom.schemas import LANDED_FIELDS, LOAD_ID
 from flightloom.session import scratch_dir
 from flightloom.sinks.tables import Layers
-from flightloom.sources.landing import read_landed
+from flightloom.sources.landing import landed_slices
 from flightloom.sources.reference import default_airports
 
 # Midnight of l_shipdate in Unix seconds, without the session time zone.
@@ -105,8 +105,8 @@ class Workspace:
         return path
 
     def landed_days(self) -> list[date]:
-        days = read_landed(self.spark, self.landing).select("day").dropna().distinct()
-        return [row.day for row in days.collect()]
+        days = landed_slices(self.spark, self.landing).select("day").dropna().distinct()
+        return sorted(row.day for row in days.collect())
 
     def new_layers(self, label: str) -> Layers:
         """Empty layers of their own."""

@@ -56,7 +56,7 @@ def ingest(
     missing is logged and skipped.
     """
     landed = landing.read_landed(layers.spark, base, days)
-    landing.warn_missing(landed, days)
+    landing.warn_missing(layers.spark, base, days)
     merge_flights(layers, prepare_flights(landed, load_id, grain))
 
 
@@ -102,6 +102,7 @@ def build(
     run_at: datetime,
     on_failure: str = "skip",
     partitioned: bool = True,
+    store_staging: bool = True,
 ) -> Report:
     """Build all models from the raw tables in dependency order, checking each.
 
@@ -109,7 +110,9 @@ def build(
     as it was; ``"record"`` goes on regardless. Either way all outcomes are appended to
     ``quality.results``. A broken contract raises before the table is touched.
     ``partitioned=False`` leaves out the partitions that tables declare, which days
-    with few rows would not fill.
+    with few rows would not fill. ``store_staging`` writes the staging models as tables:
+    their checks and the fact read them, and as views each would deduplicate the raw
+    table again. With False they are views, as they are for other readers.
     """
     if on_failure not in ("skip", "record"):
         raise ValueError(on_failure)
@@ -124,7 +127,12 @@ def build(
             report.skipped.append(model.name)
             continue
         df = model.build(*[frames[i] for i in model.inputs])
-        built = _save(layers, model if partitioned else replace(model, partition_by=None), df, report)
+        stored = replace(
+            model,
+            view=model.view and not store_staging,
+            partition_by=model.partition_by if partitioned else None,
+        )
+        built = _save(layers, stored, df, report)
         failed = _run_checks(model, built, report)
         if failed and on_failure == "skip":
             log.warning("%s failed its checks: dependents skipped", model.name)

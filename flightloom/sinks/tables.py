@@ -8,7 +8,9 @@ is simply rerun.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Sequence
+from copy import copy
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,12 @@ class Layers:
             place = f" LOCATION '{location}/{schema}'" if location else ""
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.prefix}{schema}{place}")
 
+    def in_session(self, spark: SparkSession) -> Layers:
+        """The same tables, used through another session of the application."""
+        other = copy(self)
+        other.spark = spark
+        return other
+
     def name(self, schema: str, model: str) -> str:
         return f"{self.prefix}{schema}.{model}"
 
@@ -62,7 +70,7 @@ class Layers:
         The new table is written under a build name and swapped in when complete, so
         readers keep the old one until then and the frame may read it.
         """
-        target, build = self.name(schema, model), self.name(schema, f"{model}__build")
+        target, build = self.name(schema, model), self._build_name(schema, model)
         rows = self._write(build, df, partition_by)
         self.spark.sql(f"DROP TABLE IF EXISTS {target}")
         self.spark.sql(f"ALTER TABLE {build} RENAME TO {target}")
@@ -107,7 +115,7 @@ class Layers:
         if not self.exists(schema, model):
             self.save_table(schema, model, df, partition_by)
             return
-        build = self.name(schema, f"{model}__build")
+        build = self._build_name(schema, model)
         pending = self.name(schema, f"{model}__pending")
         columns = self.table(schema, model).columns
         self._write(build, df.select(*columns), partition_by)
@@ -128,17 +136,20 @@ class Layers:
         for schema in SCHEMAS:
             self.spark.sql(f"DROP DATABASE IF EXISTS {self.prefix}{schema} CASCADE")
 
+    def _build_name(self, schema: str, model: str) -> str:
+        """A new name each time, so what a broken run left in its folder is in no one's way."""
+        return self.name(schema, f"{model}__build_{uuid.uuid4().hex[:8]}")
+
     def _write(self, table: str, df: DataFrame, partition_by: str | None) -> int:
-        self.spark.sql(f"DROP TABLE IF EXISTS {table}")
         written = Observation()
         counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
         if partition_by is None:
-            counted.write.format("parquet").mode("overwrite").saveAsTable(table)
+            counted.write.format("parquet").saveAsTable(table)
         else:
             # Gathers each partition's rows into few files, while AQE splits a partition
             # that outgrows the advisory size over several tasks.
             gathered = counted.hint("rebalance", F.col(partition_by))
-            writer = gathered.write.format("parquet").mode("overwrite").partitionBy(partition_by)
+            writer = gathered.write.format("parquet").partitionBy(partition_by)
             with session_conf(self.spark, PARTITIONS_FROM_FOLDERS):
                 writer.saveAsTable(table)
         return written.get["rows"]

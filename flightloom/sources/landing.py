@@ -72,20 +72,27 @@ def yesterday(now: datetime) -> date:
     return now.astimezone(timezone.utc).date() - timedelta(days=1)
 
 
-def missing_slices(landed: DataFrame, days: DataFrame) -> DataFrame:
-    """(day, flight_type) pairs of the given days that have no landed record."""
+def landed_slices(spark: SparkSession, base: str) -> DataFrame:
+    """(day, flight_type) of every delivered slice, from the file listing alone.
+
+    A delivered file without records counts: it is an empty answer, not a missing one.
+    """
+    files = spark.read.format("binaryFile").load(base)
+    return files.select(F.col("day").cast("date"), "flight_type").distinct()
+
+
+def missing_slices(delivered: DataFrame, days: DataFrame) -> DataFrame:
+    """Slices of the given days that were not delivered."""
     expected = days.select(
         "day", F.explode(F.array(*map(F.lit, FLIGHT_TYPES))).alias("flight_type")
     )
-    present = landed.select("day", "flight_type").distinct()
-    return expected.join(present, ["day", "flight_type"], "left_anti")
+    return expected.join(delivered, ["day", "flight_type"], "left_anti")
 
 
-def warn_missing(landed: DataFrame, days: Sequence[date]) -> None:
-    """Log the absent slices of the given days, a line per type of flight."""
-    spark = landed.sparkSession
+def warn_missing(spark: SparkSession, base: str, days: Sequence[date]) -> None:
+    """Log the missing slices of the given days, a line per type of flight."""
     asked = spark.createDataFrame([(d,) for d in days], "day date")
-    by_type = missing_slices(landed, asked).groupBy("flight_type")
+    by_type = missing_slices(landed_slices(spark, base), asked).groupBy("flight_type")
     for row in by_type.agg(F.sort_array(F.collect_set("day")).alias("days")).collect():
         listed = ", ".join(map(str, row.days[:10])) + (", ..." if len(row.days) > 10 else "")
         log.warning(
