@@ -55,7 +55,10 @@ class Layers:
         return self.spark.catalog.tableExists(self.name(schema, model))
 
     def table(self, schema: str, model: str) -> DataFrame:
-        return self.spark.table(self.name(schema, model))
+        """The table as it is stored now, whichever session last wrote it."""
+        name = self.name(schema, model)
+        self.spark.catalog.refreshTable(name)
+        return self.spark.table(name)
 
     def save_view(self, model: str, df: DataFrame) -> DataFrame:
         """Register a lazy view; readers inline it."""
