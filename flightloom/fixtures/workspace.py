@@ -128,7 +128,8 @@ class Workspace:
     def _make(self, name: str) -> DataFrame:
         if name not in MODEL:
             df = self.derive(name)
-            return df if name == "airports" else self._written(name, df)
+            # Evenly filled files, however the given tables are laid out.
+            return df if name == "airports" else self._written(name, df.hint("rebalance"))
         df = self.build(name)
         return df if MODEL[name].view else self._written(name, df)
 
