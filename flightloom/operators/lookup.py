@@ -3,7 +3,7 @@ past the broadcast limit it is a sort-merge join whose hot left partitions AQE s
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +30,6 @@ def lookup(
     return df.join(side, df[left_key] == side[key], "left").drop(key)
 
 
-def within(df: DataFrame, column: Column, codes: tuple[str, ...]) -> DataFrame:
-    """Rows whose code is one of a short fixed list; reaches the scan as an IN filter."""
+def within(df: DataFrame, column: Column, codes: Sequence[str]) -> DataFrame:
+    """Rows whose code is one of a short fixed list."""
     return df.filter(column.isin(*codes))

@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from dataclasses import dataclass, field, replace
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 from datetime import date, datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.operators import history, quality
-from flightloom.plans.checks import CHECKS, Check
+from flightloom.operators.lookup import within
+from flightloom.plans.checks import CHECKS
 from flightloom.plans.models import MODELS, Model
+from flightloom.plans.staging import indexed_airport
 from flightloom.plans.star import AIRCRAFT_HISTORY
 from flightloom.schemas import CONTRACTS, FLIGHT_KEY, LOAD_ID
 from flightloom.sinks.tables import Layers
@@ -48,16 +52,24 @@ def merge_flights(layers: Layers, rows: DataFrame) -> None:
 
 
 def ingest(
-    layers: Layers, base: str, days: Sequence[date], load_id: str, grain: str = "day"
+    layers: Layers,
+    base: str,
+    days: Sequence[date],
+    load_id: str,
+    grain: str = "day",
+    scope: Sequence[str] | None = None,
 ) -> None:
     """Load the given days; again or out of order makes no difference.
 
     The usual call names yesterday, a backfill names any past days. A slice that is
-    missing is logged and skipped.
+    missing is logged and skipped. With ``scope`` only events indexed at those airports
+    are loaded.
     """
-    landed = landing.read_landed(layers.spark, base, days)
     landing.warn_missing(layers.spark, base, days)
-    merge_flights(layers, prepare_flights(landed, load_id, grain))
+    rows = prepare_flights(landing.read_landed(layers.spark, base, days), load_id, grain)
+    if scope is not None:
+        rows = within(rows, indexed_airport(), scope)
+    merge_flights(layers, rows)
 
 
 def reload_aircraft(layers: Layers, path: str) -> int:
@@ -87,12 +99,22 @@ def advance_history(layers: Layers, stg_aircraft: DataFrame, at: datetime) -> No
     layers.replace_partitions(*target, placed, VALIDITY)
 
 
+class Outcome(NamedTuple):
+    """Result of one column check."""
+
+    model: str
+    column: str
+    check: str
+    failures: int
+    status: str
+
+
 @dataclass
 class Report:
     """What a build did: rows written per table, check outcomes, models left out."""
 
     rows: dict[str, int] = field(default_factory=dict)
-    outcomes: list[tuple[str, str, str, int, str]] = field(default_factory=list)
+    outcomes: list[Outcome] = field(default_factory=list)
     skipped: list[str] = field(default_factory=list)
 
 
@@ -103,8 +125,9 @@ def build(
     on_failure: str = "skip",
     partitioned: bool = True,
     store_staging: bool = True,
+    at_once: int = 4,
 ) -> Report:
-    """Build all models from the raw tables in dependency order, checking each.
+    """Build all models from the raw tables, checking each, dependencies first.
 
     With ``on_failure="skip"`` whatever depends on a model with a failed check is left
     as it was; ``"record"`` goes on regardless. Either way all outcomes are appended to
@@ -112,7 +135,8 @@ def build(
     ``partitioned=False`` leaves out the partitions that tables declare, which days
     with few rows would not fill. ``store_staging`` writes the staging models as tables:
     their checks and the fact read them, and as views each would deduplicate the raw
-    table again. With False they are views, as they are for other readers.
+    table again. With False they are views, as they are for other readers. Up to
+    ``at_once`` models that do not depend on each other are built side by side.
     """
     if on_failure not in ("skip", "record"):
         raise ValueError(on_failure)
@@ -122,22 +146,28 @@ def build(
         "airports": airports,
     }
     report = Report()
-    for model in MODELS:
-        if any(i not in frames for i in model.inputs):
-            report.skipped.append(model.name)
-            continue
+
+    def make(model: Model) -> tuple[DataFrame, int | None, list[Outcome]]:
         df = model.build(*[frames[i] for i in model.inputs])
-        stored = replace(
-            model,
-            view=model.view and not store_staging,
-            partition_by=model.partition_by if partitioned else None,
-        )
-        built = _save(layers, stored, df, report)
-        failed = _run_checks(model, built, report)
-        if failed and on_failure == "skip":
-            log.warning("%s failed its checks: dependents skipped", model.name)
-            continue
-        frames[model.name] = built
+        if model.view and not store_staging:
+            stored, rows = layers.save_view(model.name, df), None
+        else:
+            stored, rows = _store(layers, model, df, model.partition_by if partitioned else None)
+        return stored, rows, _check(model.name, stored)
+
+    waiting = list(MODELS)
+    with ThreadPoolExecutor(at_once) as pool:
+        while ready := [m for m in waiting if all(i in frames for i in m.inputs)]:
+            waiting = [m for m in waiting if m not in ready]
+            for model, (stored, rows, outcomes) in zip(ready, pool.map(make, ready), strict=True):
+                report.outcomes += outcomes
+                if rows is not None:
+                    report.rows[model.name] = rows
+                if on_failure == "skip" and any(o.failures for o in outcomes):
+                    log.warning("%s failed its checks: dependents skipped", model.name)
+                else:
+                    frames[model.name] = stored
+    report.skipped = [m.name for m in waiting]
     if "stg_aircraft" in frames:
         advance_history(layers, frames["stg_aircraft"], run_at)
     else:
@@ -146,22 +176,20 @@ def build(
     return report
 
 
-def _save(layers: Layers, model: Model, df: DataFrame, report: Report) -> DataFrame:
-    if model.view:
-        return layers.save_view(model.name, df)
+def _store(
+    layers: Layers, model: Model, df: DataFrame, partition_by: str | None
+) -> tuple[DataFrame, int]:
     if model.name in CONTRACTS:
         df = quality.enforce_contract(df, CONTRACTS[model.name], model.name)
-    report.rows[model.name] = layers.save_table(
-        model.schema, model.name, df, model.partition_by
-    )
-    return layers.table(model.schema, model.name)
+    rows = layers.save_table(model.schema, model.name, df, partition_by)
+    return layers.table(model.schema, model.name), rows
 
 
-def _run_checks(model: Model, df: DataFrame, report: Report) -> bool:
+def _check(model: str, df: DataFrame) -> list[Outcome]:
     """All checks of a model in one pass, plus one for each further unique column."""
-    mine = [c for c in CHECKS if c.model == model.name]
+    mine = [c for c in CHECKS if c.model == model]
     if not mine:
-        return False
+        return []
     unique = [c.column for c in mine if c.kind == "unique"]
     passes = [
         quality.check_counts(
@@ -175,12 +203,13 @@ def _run_checks(model: Model, df: DataFrame, report: Report) -> bool:
     failures: dict[str, int] = {}
     for counts in passes:
         failures.update(counts.first().asDict())
+    outcomes = []
     for check in mine:
         # A sum over no rows at all is null: nothing failed.
         failed = failures[f"{check.kind}:{check.column}"] or 0
         status = "fail" if failed else "pass"
-        report.outcomes.append((model.name, check.column, check.kind, failed, status))
-    return any(failures.values())
+        outcomes.append(Outcome(model, check.column, check.kind, failed, status))
+    return outcomes
 
 
 def _record(layers: Layers, report: Report, run_at: datetime) -> None:

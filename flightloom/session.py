@@ -28,9 +28,32 @@ DEFAULTS: Mapping[str, str] = {
     # Parquet on disk is smaller than in memory; estimate sizes on the careful side.
     "spark.sql.sources.fileCompressionFactor": "4.0",
     "spark.sql.files.maxPartitionBytes": str(128 * MIB),
+    # Lost executors cost reruns of their tasks and stages, not the job.
+    "spark.task.maxFailures": "8",
+    "spark.stage.maxConsecutiveAttempts": "10",
     "spark.ui.enabled": "false",
 }
 
+# Tasks per stage beyond which the pairs of map and reduce tasks weigh more than the
+# data; larger inputs get larger tasks, which sort with spilling.
+MAX_TASKS = 32768
+TASK_BYTES = 256 * MIB
+
+
+def sized_for(input_bytes: int, cores: int) -> dict[str, str]:
+    """Split size and number of shuffle partitions for an input of the given size.
+
+    AQE merges partitions that turn out small, but splits only those of joins and of
+    rebalanced writes, so the number must be right for the largest shuffle: about
+    256 MiB a task, two tasks a core at least, and from 8 TiB on ever larger tasks.
+    """
+    tasks = max(2 * cores, min(MAX_TASKS, -(-input_bytes // TASK_BYTES)))
+    split = max(128 * MIB, -(-input_bytes // MAX_TASKS))
+    return {
+        "spark.sql.shuffle.partitions": str(tasks),
+        "spark.sql.files.maxPartitionBytes": str(split),
+    }
+
 
 def build_session(
     app_name: str = "flightloom",

@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterable, Sequence
 from copy import copy
+from threading import Lock
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,7 @@ class Layers:
         self, spark: SparkSession, location: str | None = None, environment: str = ""
     ) -> None:
         self.spark = spark
+        self._settings = Lock()
         self.prefix = f"{environment}_" if environment else ""
         for schema in SCHEMAS:
             place = f" LOCATION '{location}/{schema}'" if location else ""
@@ -130,7 +132,7 @@ class Layers:
         pending = self.name(schema, f"{model}__pending")
         if not self.spark.catalog.tableExists(pending):
             return
-        with session_conf(self.spark, REPLACE_FOUND_PARTITIONS):
+        with self._settings, session_conf(self.spark, REPLACE_FOUND_PARTITIONS):
             rows = self.spark.table(pending)
             rows.write.mode("overwrite").insertInto(self.name(schema, model))
         self.spark.sql(f"DROP TABLE {pending}")
@@ -153,7 +155,7 @@ class Layers:
             # that outgrows the advisory size over several tasks.
             gathered = counted.hint("rebalance", F.col(partition_by))
             writer = gathered.write.format("parquet").partitionBy(partition_by)
-            with session_conf(self.spark, PARTITIONS_FROM_FOLDERS):
+            with self._settings, session_conf(self.spark, PARTITIONS_FROM_FOLDERS):
                 writer.saveAsTable(table)
         return written.get["rows"]
 

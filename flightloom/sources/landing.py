@@ -1,8 +1,9 @@
 """Landed flight records.
 
 Layout: ``<base>/day=2024-01-31/flight_type=arrival/*.json``, one folder per day and
-type, each file holding JSON objects or one JSON array of them. A slice that was
-never delivered is an absent folder and reads as zero rows.
+type, each file holding JSON objects or one JSON array of them. There may be further
+levels, a folder per airport say. A slice that was never delivered is an absent folder
+and reads as zero rows.
 """
 
 from __future__ import annotations
@@ -38,6 +39,7 @@ def read_landed(
 ) -> DataFrame:
     """Landed records of the given days, or of all; only those days' folders are read."""
     landed = spark.read.schema(LANDED_SCHEMA).options(**READ_OPTIONS).json(base)
+    landed = landed.select(*LANDED_SCHEMA.names)
     return landed if days is None else landed.filter(F.col("day").isin(*days))
 
 

@@ -64,6 +64,15 @@ def test_only_the_asked_days_are_read(spark, base):
     assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [(day" in plan
 
 
+def test_a_folder_per_airport_makes_no_difference(spark, tmp_path):
+    folder = tmp_path / "by_airport" / "day=2024-01-01" / "airport=EGLL" / "flight_type=arrival"
+    folder.mkdir(parents=True)
+    (folder / "part.json").write_text(json.dumps([record("a1", 1)]))
+    landed = landing.read_landed(spark, str(tmp_path / "by_airport"), [date(2024, 1, 1)])
+    assert landed.columns == landing.LANDED_SCHEMA.names
+    assert rows(landed, "icao24", "day", "flight_type") == [("a1", date(2024, 1, 1), "arrival")]
+
+
 def test_malformed_record_raises(spark, base):
     deliver(base, "2024-01-04", "arrival", '{"icao24": "a6", "firstSeen": "no"')
     with pytest.raises(Py4JJavaError, match="MALFORMED_RECORD"):
