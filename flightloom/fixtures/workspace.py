@@ -1,7 +1,7 @@
 """The fixture inputs and every model over them, for one session and data folder.
 
-As in production, raw and mart tables are written once to the shared folder and read
-back by whatever needs them, while staging stays a view.
+As in the daily job, raw inputs and models are written once to the shared folder and
+read back by whatever needs them.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ class Workspace:
         return self._sql(text, aircraft_all=aircraft)
 
     def table(self, name: str) -> DataFrame:
-        """A raw input or model; tables are written on first use, views stay lazy."""
+        """A raw input or model, written on first use."""
         if name not in self._tables:
             self._tables[name] = self._make(name)
         return self._tables[name]
@@ -130,8 +130,7 @@ class Workspace:
             df = self.derive(name)
             # Evenly filled files, however the given tables are laid out.
             return df if name == "airports" else self._written(name, df.hint("rebalance"))
-        df = self.build(name)
-        return df if MODEL[name].view else self._written(name, df)
+        return self._written(name, self.build(name))
 
     def _written(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"

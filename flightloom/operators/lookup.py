@@ -1,5 +1,11 @@
-"""Left outer lookups. Catalyst and AQE choose the physical join from measured sizes;
-past the broadcast limit it is a sort-merge join whose hot left partitions AQE splits."""
+"""Left outer lookups.
+
+There are no broadcast hints: Catalyst and AQE broadcast a dimension whose measured size
+is below the limit. Beyond it they sort and merge, and AQE splits the partition of a hot
+key over several tasks. That needs a shuffle right below the join on both sides, so a
+dimension that is itself computed by the lookup key should be stored first, as the daily
+job does; it would otherwise be joined in the partitioning it already has.
+"""
 
 from __future__ import annotations
 

