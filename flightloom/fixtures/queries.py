@@ -22,6 +22,7 @@ from flightloom.functions import (
 )
 from flightloom.operators import dedup, history, lookup, merge, quality, reshape
 from flightloom.plans import curated, dashboard, marts, metrics, pipeline, staging
+from flightloom.plans.marts import flights
 from flightloom.plans.models import MODEL
 from flightloom.plans.star import AIRCRAFT_HISTORY
 from flightloom.schemas import (
@@ -63,14 +64,10 @@ def _bind(fn: Callable[[Workspace], DataFrame]) -> Query:
 
 
 def query(fn: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFrame]:
-    _REGISTERED[fn.__name__] = fn
+    _REGISTERED[fn.__name__.rstrip("_")] = fn
     return fn
 
 
-def flights_count() -> Column:
-    return F.count(F.lit(1))
-
-
 # --- sources -----------------------------------------------------------------------
 
 
@@ -145,7 +142,7 @@ def src_airports_seed(ws: Workspace) -> DataFrame:
     path = scratch_dir(ws.spark, "airports")
     ws.table("airports").write.option("header", "true").csv(path)
     departing = ws.table("raw_flights").groupBy("est_departure_airport").agg(
-        flights_count().alias("raw_departures")
+        flights().alias("raw_departures")
     )
     seed = reference.read_airports(ws.spark, path)
     return lookup.lookup(
@@ -159,8 +156,8 @@ def src_airports_seed(ws: Workspace) -> DataFrame:
 @query
 def src_table_scan(ws: Workspace) -> DataFrame:
     layers, _ = ws.pipeline_run
-    flights = layers.table("raw", "flights")
-    return flights.groupBy("flight_type").agg(flights_count().alias("n_rows"))
+    stored = layers.table("raw", "flights")
+    return stored.groupBy("flight_type").agg(flights().alias("n_rows"))
 
 
 @query
@@ -233,7 +230,7 @@ def sink_layers(ws: Workspace) -> DataFrame:
         layers.table(schema, model).agg(
             F.lit(schema).alias("schema_name"),
             F.lit(model).alias("model"),
-            flights_count().alias("n_rows"),
+            flights().alias("n_rows"),
         )
         for schema, model in routed
     ]
@@ -308,7 +305,7 @@ def manufacturer_normalize(ws: Workspace) -> DataFrame:
     return (
         ws.table("raw_aircraft")
         .groupBy(raw, manufacturer_name(raw).alias("manufacturer"))
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
 
 
@@ -317,7 +314,7 @@ def resolve_airport(ws: Workspace) -> DataFrame:
     return (
         ws.table("raw_flights")
         .groupBy("flight_type", staging.indexed_airport().alias("airport_icao"))
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
 
 
@@ -350,7 +347,7 @@ def filter_equality(ws: Workspace) -> DataFrame:
 @query
 def filter_threshold(ws: Workspace) -> DataFrame:
     per_aircraft = (
-        ws.table("fct_flights").groupBy("icao24").agg(flights_count().alias("total_flights"))
+        ws.table("fct_flights").groupBy("icao24").agg(flights().alias("total_flights"))
     )
     return per_aircraft.filter(F.col("total_flights") > 30)
 
@@ -379,9 +376,9 @@ def topk_then_filter(ws: Workspace) -> DataFrame:
 
 @query
 def join_flight_aircraft(ws: Workspace) -> DataFrame:
-    flights = ws.table("stg_flights").select("flight_id", "icao24")
+    staged = ws.table("stg_flights").select("flight_id", "icao24")
     return lookup.lookup(
-        flights,
+        staged,
         ws.table("stg_aircraft"),
         ("icao24", "icao24"),
         {"operator_icao": "operator_icao", "manufacturer": "manufacturer"},
@@ -391,7 +388,7 @@ def join_flight_aircraft(ws: Workspace) -> DataFrame:
 @query
 def join_airport_lookup(ws: Workspace) -> DataFrame:
     per_airport = (
-        ws.table("fct_flights").groupBy("airport_icao").agg(flights_count().alias("n_rows"))
+        ws.table("fct_flights").groupBy("airport_icao").agg(flights().alias("n_rows"))
     )
     return lookup.lookup(
         per_airport,
@@ -406,7 +403,7 @@ def join_role_playing(ws: Workspace) -> DataFrame:
     pairs = (
         ws.table("fct_flights")
         .groupBy("est_departure_airport", "est_arrival_airport")
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
     airports = ws.table("dim_airports")
     for role in ("departure", "arrival"):
@@ -421,7 +418,7 @@ def join_airline_lookup(ws: Workspace) -> DataFrame:
     per_operator = (
         ws.table("fct_flights")
         .groupBy(F.col("operator_icao").alias("flown_by"))
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
     return lookup.lookup(
         per_operator,
@@ -446,7 +443,7 @@ def join_star(ws: Workspace) -> DataFrame:
 
 @query
 def agg_count_star(ws: Workspace) -> DataFrame:
-    return ws.table("fct_flights").groupBy("manufacturer").agg(flights_count().alias("n_rows"))
+    return ws.table("fct_flights").groupBy("manufacturer").agg(flights().alias("n_rows"))
 
 
 @query
@@ -527,7 +524,7 @@ def agg_count_distinct(ws: Workspace) -> DataFrame:
 @query
 def group_by_keys(ws: Workspace) -> DataFrame:
     keys = ["operator_icao", "est_departure_airport", "est_arrival_airport"]
-    return ws.table("fct_flights").groupBy(*keys).agg(flights_count().alias("n_rows"))
+    return ws.table("fct_flights").groupBy(*keys).agg(flights().alias("n_rows"))
 
 
 @query
@@ -540,7 +537,7 @@ def group_by_time_bucket(ws: Workspace) -> DataFrame:
             start_of("week", seen).alias("seen_week"),
             hour_of(seen).alias("seen_hour"),
         )
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
 
 
@@ -556,7 +553,7 @@ def agg_rollup_mart(ws: Workspace) -> DataFrame:
 @query
 def agg_global(ws: Workspace) -> DataFrame:
     return ws.table("mart_airport_traffic").agg(
-        F.avg("total_flights").alias("avg_flights"), flights_count().alias("n_rows")
+        F.avg("total_flights").alias("avg_flights"), flights().alias("n_rows")
     )
 
 
@@ -661,7 +658,7 @@ def fn_trim(ws: Workspace) -> DataFrame:
     return (
         ws.table("raw_flights")
         .groupBy("callsign", F.trim("callsign").alias("trimmed"))
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
 
 
@@ -679,7 +676,7 @@ def fn_ilike(ws: Workspace) -> DataFrame:
         ws.table("raw_aircraft")
         .filter(F.col("manufacturername").ilike("%b%R%"))
         .groupBy("manufacturername")
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
 
 
@@ -688,7 +685,7 @@ def fn_cast(ws: Workspace) -> DataFrame:
     return (
         ws.table("raw_flights")
         .groupBy(F.col(LOAD_ID).cast("bigint").alias("load_seconds"))
-        .agg(flights_count().alias("n_rows"))
+        .agg(flights().alias("n_rows"))
     )
 
 
@@ -729,8 +726,8 @@ def fn_hour(ws: Workspace) -> DataFrame:
 
 
 def _per_value(ws: Workspace, value: Column, name: str) -> DataFrame:
-    flights = ws.table("fct_flights")
-    return flights.groupBy(value.alias(name)).agg(flights_count().alias("n_rows"))
+    fact = ws.table("fct_flights")
+    return fact.groupBy(value.alias(name)).agg(flights().alias("n_rows"))
 
 
 @query
@@ -746,15 +743,12 @@ def fn_round(ws: Workspace) -> DataFrame:
 
 
 @query
-def surrogate_keys(ws: Workspace) -> DataFrame:
+def surrogate_key_(ws: Workspace) -> DataFrame:
     """Keys over columns that are partly null."""
     columns = ("icao24", "first_seen", "est_departure_airport", "est_arrival_airport")
     return ws.table("raw_flights").select(*columns, surrogate_key(*columns).alias("row_key"))
 
 
-_REGISTERED["surrogate_key"] = _REGISTERED.pop("surrogate_keys")
-
-
 @query
 def fn_concat_route(ws: Workspace) -> DataFrame:
     routes = ws.table("mart_route_popularity")
@@ -799,7 +793,7 @@ def dq_contract(ws: Workspace) -> DataFrame:
             enforced.agg(
                 F.lit(name).alias("model"),
                 F.lit(len(contract)).cast("bigint").alias("n_columns"),
-                flights_count().alias("n_rows"),
+                flights().alias("n_rows"),
             )
         )
     return _stack(passed)
@@ -822,7 +816,7 @@ def _register_models() -> None:
 
 
 def dim_airports(ws: Workspace) -> DataFrame:
-    traffic = ws.table("fct_flights").groupBy("airport_icao").agg(flights_count().alias("n_flights"))
+    traffic = ws.table("fct_flights").groupBy("airport_icao").agg(flights().alias("n_flights"))
     return lookup.lookup(
         ws.build("dim_airports"),
         traffic,
@@ -905,12 +899,12 @@ def sem_registry(ws: Workspace) -> DataFrame:
     """Rows and distinct primary keys of every logical table."""
     profiles = []
     for name, logical in metrics.REGISTRY.items():
-        keys = ws.table(name).groupBy(*logical.primary_key).agg(flights_count().alias("copies"))
+        keys = ws.table(name).groupBy(*logical.primary_key).agg(flights().alias("copies"))
         profiles.append(
             keys.agg(
                 F.lit(name).alias("logical_table"),
                 F.sum("copies").alias("n_rows"),
-                flights_count().alias("n_keys"),
+                flights().alias("n_keys"),
             )
         )
     return _stack(profiles)
@@ -1010,7 +1004,7 @@ def pipeline_build(ws: Workspace) -> DataFrame:
     layers, report = ws.pipeline_run
     counts = [
         layers.table(MODEL[name].schema, name).agg(
-            F.lit(name).alias("model"), flights_count().alias("n_rows")
+            F.lit(name).alias("model"), flights().alias("n_rows")
         )
         for name in report.rows
     ]
@@ -1047,7 +1041,7 @@ def pipeline_idempotent(ws: Workspace) -> DataFrame:
     after = after.select(*before.columns)
     sides = before.withColumn("before", F.lit(1)).unionByName(after.withColumn("before", F.lit(0)))
     per_row = sides.groupBy(*before.columns).agg(
-        F.sum("before").alias("n_before"), (flights_count() - F.sum("before")).alias("n_after")
+        F.sum("before").alias("n_before"), (flights() - F.sum("before")).alias("n_after")
     )
     return per_row.agg(
         F.sum("n_before").alias("rows_first"),

@@ -104,6 +104,10 @@ class Workspace:
         gathered.write.partitionBy("day", "flight_type").json(path)
         return path
 
+    def deliver(self) -> None:
+        """Make the files that the daily job loads."""
+        self.landing, self.aircraft_file  # noqa: B018
+
     def landed_days(self) -> list[date]:
         days = landed_slices(self.spark, self.landing).select("day").dropna().distinct()
         return sorted(row.day for row in days.collect())

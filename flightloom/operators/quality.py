@@ -104,6 +104,9 @@ def enforce_contract(df: DataFrame, contract: T.StructType, table: str) -> DataF
     """The frame with its columns in contract order, or an error before anything is written."""
     differences = contract_differences(df, contract)
     if differences:
-        listed = "; ".join(f"{n}: declared {d or 'none'}, found {f or 'none'}" for n, d, f in differences)
+        listed = "; ".join(
+            f"{name}: declared {declared or 'none'}, found {found or 'none'}"
+            for name, declared, found in differences
+        )
         raise ContractViolation(f"{table}: {listed}")
     return df.select(*contract.names)

@@ -6,7 +6,7 @@ import logging
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -77,6 +77,13 @@ def reload_aircraft(layers: Layers, path: str) -> int:
     return layers.save_table("raw", "aircraft", read_aircraft(layers.spark, path))
 
 
+def run(layers: Layers, base: str, airports: DataFrame, now: datetime) -> Report:
+    """The daily job at ``now``: load yesterday, UTC, then build everything."""
+    moment = now.astimezone(timezone.utc)
+    ingest(layers, base, [landing.yesterday(moment)], str(int(moment.timestamp())))
+    return build(layers, airports, moment.replace(tzinfo=None))
+
+
 def read_history(layers: Layers) -> DataFrame:
     return layers.table("snapshots", "aircraft_snapshot").drop(VALIDITY)
 

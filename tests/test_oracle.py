@@ -35,7 +35,7 @@ def test_query_agrees_with_its_statement(spark, duck, name):
     plan = plan_of(result)
     assert not [operator for operator in UNWANTED if operator in plan]
     ours = result.toArrow()
-    theirs = duck.execute(STATEMENTS[name]).to_arrow_table()
+    theirs = duck.sql(STATEMENTS[name]).to_arrow_table()
     assert difference(ours, theirs) is None
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import json
 from dataclasses import replace
-from datetime import date
+from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
@@ -126,6 +126,17 @@ def test_broken_contract_stops_before_the_write(layers, spark, inputs, monkeypat
     assert "city" in layers.table("marts", "mart_traffic_patterns").columns
 
 
+def test_daily_run_loads_yesterday_and_builds(layers, spark, inputs):
+    pipeline.reload_aircraft(layers, inputs[1])
+    now = datetime(2024, 1, 3, 1, tzinfo=timezone(timedelta(hours=2)))  # still the 2nd in UTC
+    report = pipeline.run(layers, inputs[0], default_airports(spark), now)
+    assert report.rows["fct_flights"] == 2
+    assert rows(layers.table("raw", "flights").select("_dlt_load_id").distinct()) == [
+        (str(int(now.timestamp())),)
+    ]
+    assert rows(pipeline.read_history(layers), "dbt_valid_from")[0] == (ts("2024-01-02 23:00:00"),)
+
+
 def test_scope_keeps_events_of_its_airports(layers, inputs):
     pipeline.ingest(layers, inputs[0], [date(2024, 1, 1), date(2024, 1, 2)], "100", scope=["LFPG"])
     assert rows(layers.table("raw", "flights"), "icao24", "flight_type") == [("a2", "arrival")]
