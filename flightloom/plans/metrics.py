@@ -156,9 +156,13 @@ def metric_query(
     ``by`` names dimensions of the table, or ``dim_table.column`` of a dimension table
     in reach; the result columns are named after the dimension, without the table.
     ``grain`` truncates the time dimensions in ``by``. ``where`` filters rows of the
-    table before grouping. ``order`` holds (result column, "asc" or "desc") pairs;
+    table before grouping; to select by an attribute of a dimension table, group by it and
+    filter the result. ``order`` holds (result column, "asc" or "desc") pairs;
     remaining group columns settle ties. With no ``by`` the result is one row.
     """
+    names = [d.split(".")[-1] for d in by]
+    if len(set(names)) < len(names):
+        raise ValueError(f"dimensions of the same name: {list(by)}")
     logical = _table(table)
     wanted = {name: _measure(logical, name) for name in measures}
     own = [d for d in by if "." not in d]
@@ -175,7 +179,6 @@ def metric_query(
             *[_AGGREGATES[m.effective](m.column).alias(n) for n, m in wanted.items()]
         )
 
-    names = [d.split(".")[-1] for d in by]
     result = result.select(*names, *wanted)
     if order:
         sorted_by = {name for name, _ in order}

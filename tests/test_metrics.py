@@ -88,6 +88,28 @@ def test_unknown_names_are_refused(tables, table, measures, by):
         metrics.metric_query(tables, table, measures, by=by)
 
 
+def test_dimensions_of_one_name_are_refused(tables):
+    with pytest.raises(ValueError, match="same name"):
+        metrics.metric_query(
+            tables,
+            "fct_flights",
+            ["flight_count"],
+            by=["operator_icao", "dim_airlines.operator_icao"],
+        )
+
+
+def test_time_grain_beside_a_dimension(tables):
+    found = metrics.metric_query(
+        tables,
+        "fct_flights",
+        ["flight_count"],
+        by=["first_seen_at", "dim_airlines.operator_icao"],
+        grain="year",
+    )
+    year = ts("1970-01-01")
+    assert rows(found) == sorted([(year, "OPR", 2), (year, "ZZZ", 2), (year, None, 1)], key=repr)
+
+
 def test_every_curated_question_answers(tables):
     assert {name: len(curated.answer(name, tables).columns) for name in curated.CURATED} == {
         "busiest_airports": 3,
