@@ -32,6 +32,14 @@ def _key(*columns: str) -> str:
     return "md5(" + " || '-' || ".join(parts) + ")"
 
 
+def _rounded(value: str, places: int) -> str:
+    """Half away from zero on the decimal value, which DuckDB does for decimals only.
+
+    On doubles it scales first: 1.025 becomes 102.49999999999999 and rounds to 1.02.
+    """
+    return f"CAST(round(CAST({value} AS decimal(30, 12)), {places}) AS double)"
+
+
 def _staged_aircraft(raw: str) -> str:
     return f"""
 SELECT DISTINCT ON (icao24) * FROM (
@@ -125,14 +133,14 @@ WHERE f.est_departure_airport IS NOT NULL AND f.est_arrival_airport IS NOT NULL
 SELECT l.*, count(*) AS total_flights,
   count(*) FILTER (f.flight_type = 'departure') AS total_departures,
   count(*) FILTER (f.flight_type = 'arrival') AS total_arrivals,
-  round(avg(f.flight_duration_minutes), 1) AS avg_flight_duration_minutes,
+  {_rounded("avg(f.flight_duration_minutes)", 1)} AS avg_flight_duration_minutes,
   count(DISTINCT f.flight_date) AS active_days
 FROM fct_flights f {airline_facts} GROUP BY ALL""",
         "mart_on_time_performance": f"""
 SELECT l.airline_id, l.operator_icao, l.operator_iata, l.airline_name,
   f.est_departure_airport AS departure_icao, f.est_arrival_airport AS arrival_icao,
   count(*) AS flight_count,
-  round(avg(f.flight_duration_minutes), 1) AS avg_flight_duration_minutes,
+  {_rounded("avg(f.flight_duration_minutes)", 1)} AS avg_flight_duration_minutes,
   min(f.flight_duration_minutes) AS min_flight_duration_minutes,
   max(f.flight_duration_minutes) AS max_flight_duration_minutes
 FROM fct_flights f {airline_facts}
@@ -359,10 +367,11 @@ FROM fct_flights f LEFT JOIN airports a ON a.icao_code = f.airport_icao GROUP BY
     "agg_global": """SELECT count(*) / count(DISTINCT {'a': airport_icao, 'd': flight_date})
   AS avg_flights, count(DISTINCT {'a': airport_icao, 'd': flight_date}) AS n_rows
 FROM fct_flights""",
-    "agg_ratio": """SELECT CAST(flight_date AS timestamp) AS traffic_date,
-  round(count(*) FILTER (flight_type = 'arrival')
-        / nullif(count(*) FILTER (flight_type = 'departure'), 0), 2) AS ratio
-FROM fct_flights GROUP BY flight_date""",
+    "agg_ratio": f"""SELECT traffic_date, {_rounded("arrivals / nullif(departures, 0)", 2)} AS ratio
+FROM (SELECT CAST(flight_date AS timestamp) AS traffic_date,
+        count(*) FILTER (flight_type = 'arrival') AS arrivals,
+        count(*) FILTER (flight_type = 'departure') AS departures
+      FROM fct_flights GROUP BY flight_date)""",
     "agg_kpi_totals": """SELECT count(*) AS total_flights,
   count(*) FILTER (flight_type = 'arrival') AS total_arrivals,
   count(*) FILTER (flight_type = 'departure') AS total_departures FROM fct_flights""",
@@ -415,9 +424,8 @@ WHERE lower(manufacturername) LIKE '%b%r%' GROUP BY ALL""",
     "fn_trunc_day": _by_value("CAST(date_trunc('day', first_seen_at) AS timestamp)", "day_start"),
     "fn_trunc_week": _by_value("CAST(date_trunc('week', first_seen_at) AS timestamp)", "week_start"),
     "fn_hour": _by_value("CAST(date_part('hour', first_seen_at) AS bigint)", "hour_of_day"),
-    "fn_round": """SELECT icao24,
-  CAST(round(CAST(m AS decimal(30, 12)), 1) AS double) AS rounded_to_1,
-  CAST(round(CAST(m AS decimal(30, 12)), 2) AS double) AS rounded_to_2
+    "fn_round": f"""SELECT icao24, {_rounded("m", 1)} AS rounded_to_1,
+  {_rounded("m", 2)} AS rounded_to_2
 FROM (SELECT icao24, avg(flight_duration_minutes) AS m FROM fct_flights GROUP BY icao24)""",
     "surrogate_key": f"""SELECT icao24, first_seen, est_departure_airport, est_arrival_airport,
   {_key("icao24", "first_seen", "est_departure_airport", "est_arrival_airport")} AS row_key
@@ -463,7 +471,8 @@ FROM mart_route_popularity ORDER BY flight_count DESC NULLS FIRST, departure_ica
     "vq_daily_traffic_heathrow": """SELECT count(*) / count(DISTINCT flight_date) AS avg_daily_flights
 FROM fct_flights WHERE airport_icao = 'EGLL'""",
     "vq_arrivals_vs_departures": f"""SELECT airport_iata, airport_name, total_arrivals,
-  total_departures, round(total_arrivals / nullif(total_departures, 0), 2) AS arrival_departure_ratio
+  total_departures,
+  {_rounded("total_arrivals / nullif(total_departures, 0)", 2)} AS arrival_departure_ratio
 FROM ({_AIRPORT_TOTALS})""",
     "vq_weekly_traffic_trend": """SELECT CAST(date_trunc('week', first_seen_at) AS timestamp)
   AS traffic_week, count(*) AS total_flights FROM fct_flights GROUP BY ALL""",

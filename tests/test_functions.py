@@ -24,11 +24,6 @@ from flightloom.session import session_conf
 ZONES = ("UTC", "America/New_York", "Asia/Kathmandu")
 
 
-def one(spark, column, **values):
-    fields = {k: F.lit(v) for k, v in values.items()}
-    return spark.range(1).select(*[c.alias(k) for k, c in fields.items()]).select(column).first()[0]
-
-
 @pytest.mark.parametrize("zone", ZONES)
 @pytest.mark.parametrize(
     ("start", "end", "minutes"),
@@ -133,3 +128,10 @@ def test_manufacturer_name(spark, raw, name):
 def test_label_needs_both_sides(spark):
     frame = spark.createDataFrame([("A", "B"), ("A", None)], "x string, y string")
     assert rows(frame.select(joined_label(F.col("x"), F.col("y")))) == [("A → B",), (None,)]
+
+
+@pytest.mark.parametrize(
+    ("part", "whole", "rounded"), [(41, 40, 1.03), (-41, 40, -1.03), (1, 8, 0.13), (2, 3, 0.67)]
+)
+def test_ratios_round_half_away_from_zero(spark, part, whole, rounded):
+    assert spark.range(1).select(F.round(F.lit(part) / F.lit(whole), 2)).first()[0] == rounded
