@@ -12,10 +12,13 @@ from helpers import plan_of
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as spark_entry  # noqa: E402
+from flightloom.fixtures import oracle  # noqa: E402
+from flightloom.fixtures.queries import registered  # noqa: E402
 from tools.compare import difference  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-STATEMENTS = spark_entry.oracle_sql()
+STATEMENTS = oracle.statements()
+QUERIES = registered()
 
 # Plans hold no cross join and no row-wise Python.
 UNWANTED = ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "InPandas")
@@ -29,9 +32,9 @@ def duck():
     return connection
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_its_statement(spark, duck, name):
-    result = spark_entry.queries()[name](spark, SF)
+    result = QUERIES[name](spark, SF)
     plan = plan_of(result)
     assert not [operator for operator in UNWANTED if operator in plan]
     ours = result.toArrow()
@@ -46,4 +49,6 @@ def test_entry_has_rows(spark):
 
 
 def test_statements_belong_to_queries():
-    assert set(STATEMENTS) == set(spark_entry.queries())
+    assert set(STATEMENTS) == set(QUERIES)
+    assert set(QUERIES) <= set(spark_entry.queries())
+    assert set(spark_entry.oracle_sql()) <= set(spark_entry.queries())
