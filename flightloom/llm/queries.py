@@ -7,12 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightloom.llm import chat, mixing, topk
+from flightloom.llm import chat, langid, mixing, simhash, topk
 from flightloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of them."""
+    return langid.identify(read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document that bring the sources to their target words."""
     return mixing.mix(read(spark, sf_dir, "documents")).select(
@@ -41,10 +46,17 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows.where(F.col("id") % 20 == 0), rows, k=20)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and group of every document."""
+    return simhash.simhash(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_language_id": op1_language_id,
     "op3_mix_sources": op3_mix_sources,
     "op7_chat_format": op7_chat_format,
     "op8_exact_topk": op8_exact_topk,
+    "op10_simhash": op10_simhash,
 }
 ORACLE_SQL: dict[str, str] = {}
 
