@@ -31,16 +31,18 @@ from flightloom.llm.common import fold, join_counted
 
 THRESHOLD = 0.7
 #: The bound of the labelled sample, texts per class.
-PER_CLASS = 2500
-BUCKETS = 1 << 17
-DIMENSIONS = 4
+PER_CLASS = 3000
+BUCKETS = 1 << 20
+DIMENSIONS = 2
 #: Lengths of the n-grams.
 GRAMS = (3, 4, 5)
 #: Words that fewer sampled texts hold do not enter training (their n-grams still score).
 LEAST_TEXTS = 2
 SCALE = 30.0
-STEPS = 80
-RATE = 0.3
+#: Words of the parts in which clean texts enter training.
+PART = 24
+STEPS = 150
+RATE = 1.0
 #: Different words that a task remembers; beyond, it begins anew.
 MEMORY = 400_000
 
@@ -87,13 +89,20 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
     """Scores per bucket and the bias: log-odds of a text are bias + mean over its words."""
     place: dict[str, int] = {}
     held_by: list[np.ndarray] = []
-    for t in texts:
+    classes: list[int] = []
+    for t, label in zip(texts, toxic, strict=True):
         ids = np.array([place.setdefault(w, len(place)) for w in words(t)], np.int64)
-        held_by.append(np.stack(np.unique(ids, return_counts=True)).astype(np.int32))
+        # Any part of a clean text is clean: parts teach that no word alone may tip a short text.
+        size = len(ids) if label else PART
+        for at in range(0, max(1, len(ids)), max(1, size)):
+            part = ids[at : at + size]
+            held_by.append(np.stack(np.unique(part, return_counts=True)).astype(np.int32))
+            classes.append(int(label))
+    toxic = np.array(classes)
     # A sparse matrix as triples: text, word, share of the text's words.
-    text_of = np.repeat(np.arange(len(texts)), [h.shape[1] for h in held_by])
+    text_of = np.repeat(np.arange(len(toxic)), [h.shape[1] for h in held_by])
     word_of, times = np.concatenate([*held_by, np.zeros((2, 0), np.int32)], axis=1)
-    weight = times / np.bincount(text_of, times, len(texts))[text_of]
+    weight = times / np.bincount(text_of, times, len(toxic))[text_of]
     known = np.bincount(word_of, minlength=len(place)) >= LEAST_TEXTS
     kept = known[word_of]
     text_of, word_of, weight = text_of[kept], (np.cumsum(known) - 1)[word_of[kept]], weight[kept]
@@ -121,7 +130,7 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
             [np.bincount(gram_word, e[d][grams] * gram_weight, len(vocabulary)) for d in range(DIMENSIONS)]
         )
         text_vec = SCALE * np.stack(
-            [np.bincount(text_of, word_vec[d][word_of] * weight, len(texts)) for d in range(DIMENSIONS)]
+            [np.bincount(text_of, word_vec[d][word_of] * weight, len(toxic)) for d in range(DIMENSIONS)]
         )
         logits = text_vec.T @ u + params["bias"]
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
