@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightloom.llm import chat, decontamination, langid, mixing, simhash, topk, toxicity
+from flightloom.llm import chat, decontamination, langid, lm, mixing, simhash, topk, toxicity
 from flightloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op8_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(rows.where(F.col("id") % 20 == 0), rows, k=20)
 
 
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document under a model of four fifths of them."""
+    return lm.score(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and group of every document."""
     return simhash.simhash(read(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
     "op4_toxicity": op4_toxicity,
     "op7_chat_format": op7_chat_format,
     "op8_exact_topk": op8_exact_topk,
+    "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
 }
 
