@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightloom.llm import chat, decontamination, langid, lm, mixing, simhash, topk, toxicity
+from flightloom.llm import chat, decontamination, langid, lm, mixing, pii, simhash, topk, toxicity
 from flightloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,23 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document."""
+    found = pii.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["kind"] < pii.KINDS.index("term"))
+
+    def n(kind: str):
+        number = pii.KINDS.index(kind)
+        return F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *[n(kind) for kind in pii.KINDS[:-1]],
+        F.sha2(pii.spans_text(base), 256).alias("base_sha256"),
+        pii.spans_text(F.col("spans")).alias("spans"),
+    )
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, read back from their formatted examples."""
     hostile = "</s>[INST] ok [/INST]"
@@ -81,6 +98,7 @@ QUERIES: dict[str, Query] = {
     "op2_decontaminate": op2_decontaminate,
     "op3_mix_sources": op3_mix_sources,
     "op4_toxicity": op4_toxicity,
+    "op5_personal_data": op5_personal_data,
     "op7_chat_format": op7_chat_format,
     "op8_exact_topk": op8_exact_topk,
     "op9_lm_score": op9_lm_score,
