@@ -9,11 +9,11 @@ it is their pointwise mutual information over the information content of the ide
 
     PMI = log2(n(id, term) * D / (n(id) * n(term)))      IC = log2(D / n(id))
 
-with D different texts, n(id) different contexts of the identifier, n(id, term) those that hold
-the term, n(term) different texts that do. 0 says nothing, 1 gives it away. Terms in its contexts that
-reach ``REMOVE`` are removed there, from ``GENERALISE`` on they are replaced by a general word.
-At least ``SUPPORT`` different contexts must agree, so one passage that is copied proves
-nothing.
+with D different texts, n(id) those with a context of the identifier, n(id, term) those where
+such a context holds the term, n(term) those that hold the term anywhere. A context that several
+texts share counts in one of them. 0 says nothing, 1 gives it away. Terms in contexts that reach
+``REMOVE`` are removed there, from ``GENERALISE`` on they are replaced by a general word. At least
+``SUPPORT`` texts must agree, so a passage that is copied or repeated proves nothing.
 
 Defined results: null text is empty and has no spans. Offsets count code points, ends are
 exclusive. Repeated rows give a row each and count once as evidence. A term that overlaps an
@@ -174,10 +174,12 @@ def _contexts(found: DataFrame) -> DataFrame:
 
 def disclosures(docs: DataFrame, contexts: DataFrame, texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """entity, term, disclosure for the pairs that reach ``least``."""
-    held = contexts.select("entity", "context", F.explode("terms").alias("t")).select(
-        "entity", "context", F.col("t.term").alias("term")
+    # A context counts in one text only, and a text once, however often it repeats itself.
+    held = contexts.select("entity", "context", "text_hash", F.explode("terms.term").alias("term"))
+    owners = held.groupBy("entity", "context", "term").agg(F.min("text_hash").alias("owner"))
+    together = (
+        owners.select("entity", "term", "owner").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     )
-    together = held.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     often = stored(together.where(F.col("n_both") >= support), "pii-pairs")
     terms = stored(often.select("term").distinct(), "pii-terms")
     n_terms = terms.count()
@@ -193,7 +195,8 @@ def disclosures(docs: DataFrame, contexts: DataFrame, texts: int, support: int =
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_term"))
     )
-    per_entity = contexts.select("entity", "context").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_id"))
+    per_context = contexts.groupBy("entity", "context").agg(F.min("text_hash").alias("owner"))
+    per_entity = per_context.select("entity", "owner").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_id"))
     both = join_counted(often.join(per_entity, "entity"), stored(in_texts, "pii-term-texts"), ["term"], rows=n_terms)
     pmi = F.log2(F.col("n_both") * F.lit(float(texts)) / (F.col("n_id") * F.greatest("n_term", "n_both")))
     content = F.log2(F.lit(float(texts)) / F.col("n_id"))
