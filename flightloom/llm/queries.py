@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightloom.llm import chat, decontamination, langid, lm, mixing, pii, simhash, topk, toxicity
+from flightloom.llm import chat, decontamination, langid, lm, mixing, pii, simhash, substrings, topk, toxicity
 from flightloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,19 @@ def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without passages of smaller documents."""
+    found = substrings.remove_repeats(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.octet_length("kept").cast("long")
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - kept).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of all conversations, read back from their formatted examples."""
     hostile = "</s>[INST] ok [/INST]"
@@ -99,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op3_mix_sources": op3_mix_sources,
     "op4_toxicity": op4_toxicity,
     "op5_personal_data": op5_personal_data,
+    "op6_repeated_passages": op6_repeated_passages,
     "op7_chat_format": op7_chat_format,
     "op8_exact_topk": op8_exact_topk,
     "op9_lm_score": op9_lm_score,
