@@ -1,7 +1,9 @@
 """The corpus pipeline: documents in, a mix of clean, distinct documents out.
 
 Each stage takes (spark, docs, sf_dir) and returns a frame that is written as Parquet and read
-again as the next stage's docs. All but the last return the columns of documents.
+again as the next stage's docs. All but the last return the columns of documents. Rows with null
+text are kept as empty documents, null doc_ids are no duplicates of named ones unless their
+texts are, further columns pass through.
 """
 
 from __future__ import annotations
@@ -11,19 +13,66 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightloom.llm import mixing
-from flightloom.llm.common import read, stored
+from flightloom.llm import decontamination, mixing, pii, simhash, toxicity
+from flightloom.llm.common import free_name, join_counted, one_row_each, read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def mix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents taken at least once, with the number of copies to take."""
-    copies = mixing.mix(docs).where(F.col("copies") > 0)
-    return docs.join(copies, "doc_id")
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that score as not toxic."""
+    return toxicity.reject(docs, read(spark, sf_dir, "labels"))
 
 
-STAGES: list[tuple[str, Stage]] = [("mixing", mix_stage)]
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each SimHash group, the one with the smallest doc_id."""
+    return simhash.one_of_each_group(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that benchmark windows do not contaminate."""
+    return decontamination.clean(docs, read(spark, sf_dir, "benchmark"))
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with personal data replaced in their texts; n_chars follows the text."""
+    cleaned = pii.sanitise(docs)
+    if "n_chars" not in docs.columns:
+        return cleaned
+    kind = docs.schema["n_chars"].dataType
+    chars = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind))
+    return cleaned.withColumn("n_chars", chars)
+
+
+MIXED = ["size", "source_size", "target", "copies", "taken"]
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, with the copies and words it takes of each.
+
+    Rows that repeat a doc_id (or, without one, a text) are one document. Columns named like
+    those that this stage adds give way to them.
+    """
+    key = free_name(docs, "mix_key")
+    keyed = docs.drop(*MIXED).withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    keyed = one_row_each(keyed, key)
+    mixed = mixing.mix(keyed.select(F.col(key).alias("doc_id"), "source", "text"))
+    taken = stored(
+        mixed.where(F.col("copies") > 0).select(
+            F.col("doc_id").alias(key), *MIXED[:-1], (F.col("copies") * F.col("size")).alias("taken")
+        ),
+        "mix-taken",
+    )
+    return join_counted(keyed, taken, [key]).drop(key)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", toxicity_stage),
+    ("simhash_near_dedup", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("personal_data", personal_data_stage),
+    ("mixing", mixing_stage),
+]
 
 #: Learned scores, hashed fingerprints and random rounding have no SQL form; tests hold the
 #: stages against plain Python.

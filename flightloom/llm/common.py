@@ -53,3 +53,23 @@ def join_counted(
     """
     n = small.count() if rows is None else rows
     return large.join(F.broadcast(small) if n <= BROADCAST_ROWS else small, on, how)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def one_row_each(df: DataFrame, key: str) -> DataFrame:
+    """One row for each value of ``key``. Rows are only shuffled if some value is repeated."""
+    repeated = stored(
+        df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1).select(key), "repeated"
+    )
+    n = repeated.count()
+    if n == 0:
+        return df
+    alone = join_counted(df, repeated, [key], "left_anti", n)
+    return alone.unionByName(join_counted(df, repeated, [key], "left_semi", n).dropDuplicates([key]))

@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.common import BROADCAST_ROWS, join_counted, lowered, nullable_key, stored
+from flightloom.llm.common import BROADCAST_ROWS, free_name, join_counted, lowered, nullable_key, stored
 
 NOT_A_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -174,6 +174,8 @@ def decontaminate(
 def clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are not contaminated."""
     bad = decontaminate(docs, items).where("contaminated").select("doc_id", "text_hash").distinct()
-    keyed = docs.withColumn("text_hash_", F.xxhash64("text"))
-    same = F.col("text_hash_") == bad["text_hash"]
-    return keyed.join(bad, same & keyed["doc_id"].eqNullSafe(bad["doc_id"]), "left_anti").drop("text_hash_")
+    bad = stored(bad.withColumn("k", nullable_key(F.col("doc_id"))).select("k", "text_hash"), "decontamination-bad")
+    hashed, key = free_name(docs, "text_hash"), free_name(docs, "doc_key")
+    keyed = docs.withColumn(hashed, F.xxhash64("text")).withColumn(key, nullable_key(F.col("doc_id").cast("long")))
+    left = bad.select(F.col("k").alias(key), F.col("text_hash").alias(hashed))
+    return join_counted(keyed, left, [key, hashed], "left_anti").drop(key, hashed)

@@ -284,7 +284,8 @@ def _scores(piece: Slice, words: Sharded, context: Sharded, m: dict) -> tuple[np
 
     # Per different word: what it is followed and preceded by. The last row is the beginning.
     around = np.zeros((len(number) + 1, 5))
-    around[order] = context.values("context", number[order], m["ends"])
+    if len(order):
+        around[order] = context.values("context", number[order], m["ends"])
     if total:
         around[-1] = context.values("context", np.array([begin]), m["ends"])[0]
     d1, d2 = m["single"], m["pair"]

@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.common import join_counted, nullable_key, stored
+from flightloom.llm.common import free_name, join_counted, nullable_key, stored
 
 # Kinds in the order in which spans at one place are listed.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -274,12 +274,16 @@ def masked(text: Column, spans: Column) -> Column:
 
 def sanitise(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with personal data replaced in their text."""
-    spans = stored(
-        find(docs).where(F.size("spans") > 0).select("doc_id", "text_hash", "spans").dropDuplicates(["doc_id", "text_hash"]),
+    found = find(docs.select("doc_id", "text")).where(F.size("spans") > 0)
+    hashed, key, spans = (free_name(docs, n) for n in ("text_hash", "doc_key", "spans"))
+    wanted = stored(
+        found.select(nullable_key(F.col("doc_id")).alias(key), F.col("text_hash").alias(hashed), F.col("spans").alias(spans))
+        .dropDuplicates([key, hashed]),
         "pii-spans",
     )
-    keyed = docs.withColumn("text_hash_", F.xxhash64(F.coalesce("text", F.lit(""))))
-    same = (keyed["text_hash_"] == spans["text_hash"]) & keyed["doc_id"].eqNullSafe(spans["doc_id"])
-    joined = keyed.join(spans, same, "left")
-    changed = F.when(F.col("spans").isNull(), keyed["text"]).otherwise(masked(keyed["text"], F.col("spans")))
-    return joined.select(*[changed.alias(c) if c == "text" else keyed[c] for c in docs.columns])
+    keyed = docs.withColumn(hashed, F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(
+        key, nullable_key(F.col("doc_id").cast("long"))
+    )
+    joined = join_counted(keyed, wanted, [key, hashed], "left")
+    changed = F.when(F.col(spans).isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col(spans)))
+    return joined.withColumn("text", changed).select(*docs.columns)

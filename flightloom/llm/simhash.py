@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.common import join_counted, stored
+from flightloom.llm.common import free_name, join_counted, one_row_each, stored
 from flightloom.llm.graph import components
 
 SHINGLE = 3
@@ -203,19 +203,24 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document of each group: its smallest doc_id.
 
     Repeated rows of that id count as one document. Rows without a doc_id are kept only if
-    their group has no id, one row of each text.
+    their group has no id, one row of each group.
     """
-    found = simhash(docs)
-    chosen = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(chosen, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    named = stored(fingerprints(ids), "simhash-prints")
+    found = groups(named)
+    copies = stored(
+        found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "simhash-copies"
+    )
+    others = docs.where(F.col("doc_id").isNotNull())
+    kept = one_row_each(join_counted(others, copies, ["doc_id"], "left_anti"), "doc_id")
     nameless = docs.where(F.col("doc_id").isNull())
     if nameless.isEmpty():
         return kept
-    alone = found.where(F.col("component_id").isNull()).select("fingerprint").distinct()
-    rows = nameless.dropDuplicates(["text"]).withColumn("nr", F.monotonically_increasing_id())
-    rows = stored(rows, "simhash-nameless")
-    prints = fingerprints(rows.select(F.col("nr").alias("doc_id"), "text")).select(
-        F.col("doc_id").alias("nr"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    )
-    one = prints.join(alone, "fingerprint").dropDuplicates(["fingerprint"]).select("nr")
-    return kept.unionByName(rows.join(one, "nr", "left_semi").select(*docs.columns))
+    number = free_name(docs, "number")
+    rows = stored(nameless.withColumn(number, F.monotonically_increasing_id()), "simhash-nameless")
+    prints = fingerprints(rows.select(F.col(number).alias("doc_id"), "text"))
+    # A number for each nameless group, which no named document shares a fingerprint link with.
+    alone = found.where(F.col("component_id").isNull()).select("fp").distinct()
+    own = groups(stored(prints.join(alone, "fp", "left_semi"), "simhash-alone"))
+    first = own.select(F.col("component_id").alias(number)).distinct()
+    return kept.unionByName(rows.join(first, number, "left_semi").select(*docs.columns))

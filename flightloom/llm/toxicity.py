@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -100,7 +101,7 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
             classes.append(int(label))
     toxic = np.array(classes)
     # A sparse matrix as triples: text, word, share of the text's words.
-    text_of = np.repeat(np.arange(len(toxic)), [h.shape[1] for h in held_by])
+    text_of = np.repeat(np.arange(len(toxic)), np.array([h.shape[1] for h in held_by], np.int64))
     word_of, times = np.concatenate([*held_by, np.zeros((2, 0), np.int32)], axis=1)
     weight = times / np.bincount(text_of, times, len(toxic))[text_of]
     known = np.bincount(word_of, minlength=len(place)) >= LEAST_TEXTS
@@ -220,22 +221,32 @@ def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
         yield part
 
 
+def _assessed(texts: pa.Array, assess) -> np.ndarray:
+    found = [assess(part) for part in _slices(texts.to_pylist())]
+    return np.concatenate(found) if found else np.zeros(0)
+
+
+def learned(docs: DataFrame, labels: DataFrame, train_on: int) -> Broadcast:
+    """The trained model, of fixed size, for tasks."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    train_rows = rows.where(fold(F.col("doc_id"), train_on) != 1)
+    texts, toxic = sample(train_rows, labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"))
+    return docs.sparkSession.sparkContext.broadcast(train(texts, toxic))
+
+
 def score(docs: DataFrame, labels: DataFrame, train_on: int = 3, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, held_out, score, predicted per row of (doc_id, text).
 
     Learns from labels of rows whose ``fold`` by ``train_on`` is not 1.
     """
-    spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     held_out: Column = fold(F.col("doc_id"), train_on) == 1
-    texts, toxic = sample(rows.where(~held_out), labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"))
-    model = spark.sparkContext.broadcast(train(texts, toxic))
+    model = learned(docs, labels, train_on)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         assess = scorer(*model.value)
         for batch in batches:
-            found = [assess(part) for part in _slices(batch["text"].to_pylist())]
-            p = np.concatenate(found) if found else np.zeros(0)
+            p = _assessed(batch["text"], assess)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 ["doc_id", "held_out", "score", "predicted"],
@@ -244,3 +255,15 @@ def score(docs: DataFrame, labels: DataFrame, train_on: int = 3, threshold: floa
     return rows.withColumn("held_out", held_out).mapInArrow(
         run, "doc_id long, held_out boolean, score double, predicted int"
     )
+
+
+def reject(docs: DataFrame, labels: DataFrame, train_on: int = 3, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    model = learned(docs, labels, train_on)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        assess = scorer(*model.value)
+        for batch in batches:
+            yield batch.filter(pa.array(_assessed(batch["text"], assess) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
