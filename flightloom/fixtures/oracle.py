@@ -7,10 +7,12 @@ The models are stated join-first and with DuckDB's own forms (``DISTINCT ON``,
 from __future__ import annotations
 
 from flightloom.fixtures import views
+from flightloom.schemas import AIRPORTS_IN_SCOPE, CONTRACTS
 
 EPOCH = "cast(epoch(l_shipdate) as bigint)"
 
-_OPERATOR_CODES = ", ".join(
+# Part of a manufacturer's name, and the name it gets, by precedence.
+_MANUFACTURERS = ", ".join(
     f"({i}, '{pattern}', '{name}')"
     for i, (pattern, name) in enumerate(
         (
@@ -44,7 +46,7 @@ def _staged_aircraft(raw: str) -> str:
     return f"""
 SELECT DISTINCT ON (icao24) * FROM (
   SELECT icao24,
-    coalesce((SELECT p.name FROM (VALUES {_OPERATOR_CODES}) p(rank, part, name)
+    coalesce((SELECT p.name FROM (VALUES {_MANUFACTURERS}) p(rank, part, name)
               WHERE contains(lower(manufacturername), p.part) ORDER BY p.rank LIMIT 1),
              manufacturername) AS manufacturer,
     model, typecode,
@@ -68,7 +70,7 @@ def _inputs() -> dict[str, str]:
         # What the landed files hold once loaded: one row per key, one load id.
         "landed_once": """
 SELECT DISTINCT ON (icao24, first_seen, flight_type) * REPLACE ('1700000000' AS _dlt_load_id)
-FROM raw_flights WHERE first_seen IS NOT NULL
+FROM raw_flights
 ORDER BY icao24, first_seen, flight_type, est_departure_airport DESC NULLS FIRST,
   last_seen DESC NULLS FIRST, est_arrival_airport DESC NULLS FIRST, callsign DESC NULLS FIRST""",
         "aircraft_file": """
@@ -236,15 +238,23 @@ def _by_value(expression: str, name: str, table: str = "fct_flights") -> str:
     return f"SELECT {expression} AS {name}, count(*) AS n_rows FROM {table} GROUP BY ALL"
 
 
+_MOST_RECENT = f"""SELECT DISTINCT ON (icao24, first_seen, flight_type) {_FLIGHT_COLUMNS}, _dlt_load_id
+FROM raw_flights ORDER BY icao24, first_seen, flight_type, _dlt_load_id DESC NULLS FIRST,
+  est_departure_airport DESC NULLS FIRST, last_seen DESC NULLS FIRST,
+  est_arrival_airport DESC NULLS FIRST, callsign DESC NULLS FIRST"""
+
 _STATEMENTS: dict[str, str] = {
     # sources
     "src_flights_json": f"SELECT {_FLIGHT_COLUMNS} FROM raw_flights",
-    "src_missing_slice": """SELECT day, flight_type FROM (
-  SELECT day, unnest(['arrival', 'departure']) AS flight_type FROM (
-    SELECT DISTINCT CAST(date_trunc('month', make_timestamp(first_seen * 1000000)) AS date) AS day
-    FROM raw_flights WHERE first_seen IS NOT NULL))
-EXCEPT SELECT CAST(date_trunc('month', make_timestamp(first_seen * 1000000)) AS date), flight_type
-FROM raw_flights""",
+    "src_missing_slice": """WITH e AS (
+  SELECT CAST(date_trunc('year', make_timestamp(first_seen * 1000000)) AS date) AS day, flight_type,
+    if(flight_type = 'arrival', est_arrival_airport, est_departure_airport) AS airport
+  FROM raw_flights WHERE first_seen IS NOT NULL),
+d AS (SELECT DISTINCT * FROM e WHERE airport IN (SELECT icao_code FROM airports)
+  AND NOT (flight_type = 'departure' AND airport = '{GAP}' AND year(day) % 2 = 1))
+SELECT day, flight_type, airport FROM (SELECT DISTINCT day FROM d),
+  (SELECT unnest(['arrival', 'departure']) AS flight_type), (SELECT icao_code AS airport FROM airports)
+EXCEPT FROM d""".replace("{GAP}", AIRPORTS_IN_SCOPE[0]),
     "src_day_window": f"""SELECT {_FLIGHT_COLUMNS}, _dlt_load_id FROM raw_flights
 WHERE CAST(make_timestamp(first_seen * 1000000) AS date) = date '1998-06-15'""",
     "src_airport_scope": """SELECT icao24, first_seen, flight_type, icao_code AS airport_icao
@@ -274,6 +284,8 @@ UNION ALL
 SELECT * FROM raw_flights r WHERE _dlt_load_id < '1700086400' AND NOT EXISTS (
   FROM raw_flights n WHERE n._dlt_load_id >= '1700086400' AND n.icao24 = r.icao24
   AND n.first_seen IS NOT DISTINCT FROM r.first_seen AND n.flight_type = r.flight_type)""",
+    "merge_out_of_order": _MOST_RECENT,
+    "stream_any_batch_size": f"SELECT {_FLIGHT_COLUMNS}, _dlt_load_id FROM landed_once",
     "sink_full_reload": "FROM raw_aircraft_v2",
     "sink_row_count": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS rows_written FROM {t}"
@@ -283,6 +295,8 @@ SELECT * FROM raw_flights r WHERE _dlt_load_id < '1700086400' AND NOT EXISTS (
     "sink_view": "FROM stg_aircraft",
     # history
     "scd2_snapshot": "FROM history",
+    "scd2_stored": "FROM history",
+    "scd2_repeated_round": "FROM history",
     "scd2_unchanged": """SELECT h.*, n.model AS reported_model FROM history h
 JOIN aircraft_now n USING (icao24)
 WHERE h.dbt_valid_to IS NULL AND h.dbt_valid_from < timestamp '1999-01-01' AND n.model <> h.model""",
@@ -506,6 +520,10 @@ ORDER BY avg_flight_duration_minutes DESC NULLS FIRST, operator_icao NULLS LAST
   avg(f.flight_duration_minutes) AS avg_flight_duration_minutes
 FROM fct_flights f LEFT JOIN airports a ON a.icao_code = f.airport_icao
 WHERE f.flight_type = 'departure' GROUP BY ALL""",
+    "sem_filter_by_dimension": """SELECT f.operator_icao, count(f.flight_id) AS flight_count,
+  avg(f.flight_duration_minutes) AS avg_flight_duration_minutes
+FROM fct_flights f JOIN airports a ON a.icao_code = f.airport_icao
+WHERE a.country IN ('France', 'Spain') GROUP BY ALL""",
     "sem_by_time_grain": """SELECT a.name AS airport_name,
   CAST(date_trunc('month', f.first_seen_at) AS timestamp) AS traffic_date,
   count(*) AS total_flights, count(*) FILTER (f.flight_type = 'arrival') AS total_arrivals
@@ -577,6 +595,7 @@ def _daily_job() -> dict[str, str]:
         f" ({_failures(m, c, k)}) AS failures"
         for m, c, k in _CHECKED_COLUMNS
     )
+    contracts = " UNION ALL ".join(f"SELECT '{m}', '', 'contract', 0" for m in CONTRACTS)
     routed = {"landed_once": "'raw' AS schema_name, 'flights' AS model"}
     routed["aircraft_file"] = "'raw', 'aircraft'"
     routed["stg_aircraft"] = "'snapshots', 'aircraft_snapshot'"
@@ -586,7 +605,10 @@ def _daily_job() -> dict[str, str]:
         "src_table_scan": _by_value("flight_type", "flight_type", "landed_once"),
         "sink_layers": _counts(routed),
         "pipeline_build": _counts(stored),
-        "dq_results": f"SELECT *, if(failures > 0, 'fail', 'pass') AS status FROM ({outcomes})",
+        "dq_results": f"""SELECT *, if(failures > 0, 'fail', 'pass') AS status,
+  CAST(NULL AS bigint) AS rows_written FROM ({outcomes} UNION ALL {contracts})
+UNION ALL SELECT 'raw_flights', '_dlt_load_id', 'freshness', 0, 'pass', NULL
+UNION ALL SELECT model, '', 'build', 0, 'built', n_rows FROM ({_counts(stored)})""",
     }
 
 

@@ -48,6 +48,7 @@ BETWEEN_ROUNDS = datetime(1998, 1, 1)
 RELOAD_FROM = "1700086400"
 FRESHNESS_AS_OF = datetime(2023, 11, 17)
 WINDOW_DAY = date(1998, 6, 15)
+GAP_AIRPORT = AIRPORTS_IN_SCOPE[0]
 
 _REGISTERED: dict[str, Callable[[Workspace], DataFrame]] = {}
 
@@ -74,10 +75,10 @@ def query(fn: Callable[[Workspace], DataFrame]) -> Callable[[Workspace], DataFra
 @query
 def src_flights_json(ws: Workspace) -> DataFrame:
     landed = landing.read_landed(ws.spark, ws.landing)
-    return landing.snake_case(landed).select(*FLIGHT_COLUMNS)
+    return landing.snake_case(landed).select(*EVENT_COLUMNS)
 
 
-FLIGHT_COLUMNS = (
+EVENT_COLUMNS = (
     "icao24",
     "first_seen",
     "est_departure_airport",
@@ -90,13 +91,32 @@ FLIGHT_COLUMNS = (
 
 @query
 def src_missing_slice(ws: Workspace) -> DataFrame:
-    slices = landing.landed_slices(ws.spark, ws.landing)
-    return landing.missing_slices(slices, slices.select("day").dropna().distinct())
+    """Years, types and airports without a delivery, in a landing folder with known gaps.
+
+    Departures of one airport were never delivered in odd years.
+    """
+    path = scratch_dir(ws.spark, "gaps")
+    seen = ws.table("raw_flights").filter(F.col("first_seen").isNotNull())
+    events = seen.select(
+        F.col("icao24"),
+        F.col("first_seen").alias("firstSeen"),
+        F.trunc(epoch_to_ntz(F.col("first_seen")).cast("date"), "year").alias("day"),
+        "flight_type",
+        staging.indexed_airport().alias("airport"),
+    )
+    gap = (F.col("flight_type") == "departure") & (F.col("airport") == GAP_AIRPORT)
+    delivered = lookup.within(events, F.col("airport"), AIRPORTS_IN_SCOPE).filter(
+        ~(gap & (F.year("day") % 2 == 1))
+    )
+    gathered = delivered.hint("rebalance", F.col("day"), F.col("flight_type"), F.col("airport"))
+    gathered.write.partitionBy("day", "flight_type", "airport").json(path)
+    slices = landing.landed_slices(ws.spark, path)
+    return landing.missing_slices(slices, slices.select("day").distinct(), AIRPORTS_IN_SCOPE)
 
 
 @query
 def src_day_window(ws: Workspace) -> DataFrame:
-    rows = ws.table("raw_flights").select(*FLIGHT_COLUMNS, LOAD_ID)
+    rows = ws.table("raw_flights").select(*EVENT_COLUMNS, LOAD_ID)
     return rows.filter(landing.in_day_window(F.col("first_seen"), WINDOW_DAY))
 
 
@@ -110,16 +130,16 @@ def src_airport_scope(ws: Workspace) -> DataFrame:
 
 @query
 def src_union_tagged(ws: Workspace) -> DataFrame:
-    raw = ws.table("raw_flights").select(*FLIGHT_COLUMNS)
+    raw = ws.table("raw_flights").select(*EVENT_COLUMNS)
     slices = {k: raw.filter(F.col("flight_type") == k).drop("flight_type") for k in FLIGHT_TYPES}
     slices["arrival"] = slices["arrival"].drop("callsign")
-    return landing.tagged_union(slices).select(*FLIGHT_COLUMNS)
+    return landing.tagged_union(slices).select(*EVENT_COLUMNS)
 
 
 @query
 def src_snake_case(ws: Workspace) -> DataFrame:
     as_landed = ws.table("raw_flights").withColumnsRenamed({v: k for k, v in LANDED_FIELDS.items()})
-    return landing.snake_case(as_landed).select(*FLIGHT_COLUMNS)
+    return landing.snake_case(as_landed).select(*EVENT_COLUMNS)
 
 
 @query
@@ -165,7 +185,7 @@ def sql_adhoc(ws: Workspace) -> DataFrame:
     return tables.run_sql(
         ws.spark,
         "SELECT country, year(traffic_date) AS traffic_year, sum(arrivals) AS arrivals"
-        " FROM mart_airport_traffic WHERE country IS NOT NULL GROUP BY ALL",
+        " FROM {mart_airport_traffic} WHERE country IS NOT NULL GROUP BY ALL",
         {"mart_airport_traffic": ws.table("mart_airport_traffic")},
     ).withColumn("traffic_year", F.col("traffic_year").cast("bigint"))
 
@@ -178,7 +198,7 @@ def src_backfill(ws: Workspace) -> DataFrame:
     older, newer = days[: len(days) // 2], days[len(days) // 2 :]
     for part in (newer, older, older):
         pipeline.ingest(layers, ws.landing, part, "1700000000", grain="month")
-    return layers.table("raw", "flights").select(*FLIGHT_COLUMNS, LOAD_ID)
+    return layers.table("raw", "flights").select(*EVENT_COLUMNS, LOAD_ID)
 
 
 # --- sinks -------------------------------------------------------------------------
@@ -191,6 +211,19 @@ def merge_upsert(ws: Workspace) -> DataFrame:
     return merge.merge_rows(raw.filter(~reloaded), raw.filter(reloaded), FLIGHT_KEY, LOAD_ID)
 
 
+@query
+def merge_out_of_order(ws: Workspace) -> DataFrame:
+    """Raw flights stored by load, the newer load first and the older one twice."""
+    layers = ws.new_layers("order")
+    raw = ws.table("raw_flights").select(*EVENT_COLUMNS, LOAD_ID)
+    seen = F.trunc(epoch_to_ntz(F.col("first_seen")).cast("date"), "year")
+    rows = raw.withColumn(pipeline.SEEN_ON, seen)
+    newer = F.col(LOAD_ID) >= RELOAD_FROM
+    for part in (rows.filter(newer), rows.filter(~newer), rows.filter(~newer)):
+        pipeline.merge_flights(layers, part)
+    return layers.table("raw", "flights").select(*EVENT_COLUMNS, LOAD_ID)
+
+
 @query
 def sink_full_reload(ws: Workspace) -> DataFrame:
     layers = ws.new_layers("reload")
@@ -217,7 +250,7 @@ def sink_table(ws: Workspace) -> DataFrame:
 
 @query
 def sink_view(ws: Workspace) -> DataFrame:
-    return ws.new_layers("views").save_view("stg_aircraft", ws.build("stg_aircraft"))
+    return ws.new_layers("views").save_view("staging", "stg_aircraft", ws.build("stg_aircraft"))
 
 
 @query
@@ -258,6 +291,27 @@ def scd2_snapshot(ws: Workspace) -> DataFrame:
     return history.next_history(first, second, AIRCRAFT_HISTORY, SECOND_ROUND)
 
 
+@query
+def scd2_stored(ws: Workspace) -> DataFrame:
+    """Two snapshot rounds, stored and read back."""
+    layers = ws.new_layers("history")
+    pipeline.advance_history(layers, ws.table("stg_aircraft"), FIRST_ROUND)
+    pipeline.advance_history(layers, _aircraft_rounds(ws)[1], SECOND_ROUND)
+    return pipeline.read_history(layers)
+
+
+@query
+def scd2_repeated_round(ws: Workspace) -> DataFrame:
+    """Both rounds run twice, each first with a file that is corrected then."""
+    layers = ws.new_layers("repeated")
+    _, second = _aircraft_rounds(ws)
+    wrong = F.when(F.crc32("icao24") % 3 == 0, "ZZZ").otherwise(F.col("operator_icao"))
+    for rows, at in ((ws.table("stg_aircraft"), FIRST_ROUND), (second, SECOND_ROUND)):
+        pipeline.advance_history(layers, rows.withColumn("operator_icao", wrong), at)
+        pipeline.advance_history(layers, rows, at)
+    return pipeline.read_history(layers)
+
+
 @query
 def scd2_unchanged(ws: Workspace) -> DataFrame:
     """Open versions from the first round whose aircraft reports another model by now."""
@@ -921,6 +975,18 @@ def sem_by_dimension(ws: Workspace) -> DataFrame:
     )
 
 
+@query
+def sem_filter_by_dimension(ws: Workspace) -> DataFrame:
+    """Flights and durations by airline at airports of two countries, over all of them."""
+    return metrics.metric_query(
+        ws.tables,
+        "fct_flights",
+        ["flight_count", "avg_flight_duration_minutes"],
+        by=["operator_icao"],
+        where_dimension={"dim_airports": "country IN ('France', 'Spain')"},
+    )
+
+
 @query
 def sem_by_time_grain(ws: Workspace) -> DataFrame:
     """Monthly volume per airport."""
@@ -1023,9 +1089,28 @@ def stream_landing(ws: Workspace) -> DataFrame:
         grain="month",
         files_per_batch=60,
     )
-    return layers.table("raw", "flights").filter(F.col("first_seen").isNotNull()).select(
-        *FLIGHT_COLUMNS, LOAD_ID
+    return layers.table("raw", "flights").select(*EVENT_COLUMNS, LOAD_ID)
+
+
+@query
+def stream_any_batch_size(ws: Workspace) -> DataFrame:
+    """Raw flights after following a folder file by file, with copies of a key far apart."""
+    path = scratch_dir(ws.spark, "scattered")
+    delivered = ws.table("raw_flights").drop(LOAD_ID).withColumn("day", F.lit(FIRST_ROUND.date()))
+    delivered = delivered.withColumnsRenamed({v: k for k, v in LANDED_FIELDS.items()})
+    # Rows are dealt by their content, so those of one key lie in different files.
+    scattered = delivered.repartition(3, F.xxhash64(*delivered.columns))
+    scattered.write.partitionBy("day", "flight_type").json(path)
+    layers = ws.new_layers("by_file")
+    follow_landing(
+        layers,
+        path,
+        scratch_dir(ws.spark, "by-file-checkpoint"),
+        "1700000000",
+        grain="year",
+        files_per_batch=1,
     )
+    return layers.table("raw", "flights").select(*EVENT_COLUMNS, LOAD_ID)
 
 
 @query

@@ -4,6 +4,7 @@ Roles: a ``lineitem`` row is a flight event, a ``part`` an aircraft, ``p_brand``
 airline; ``l_suppkey`` picks the airports.
 """
 
+# The airports in scope.
 AIRPORTS = """
 select * from (values
  ('LFPG','CDG','Charles de Gaulle','Paris','France'),

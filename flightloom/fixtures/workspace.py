@@ -23,6 +23,9 @@ from flightloom.sinks.tables import Layers
 from flightloom.sources.landing import landed_slices
 from flightloom.sources.reference import default_airports
 
+# Unix seconds of 1992-01-01.
+FIRST_DELIVERY = 694224000
+
 # Midnight of l_shipdate in Unix seconds, without the session time zone.
 SPARK_EPOCH = "cast(datediff(l_shipdate, date'1970-01-01') as bigint) * 86400"
 
@@ -94,10 +97,13 @@ class Workspace:
         """The raw flights as delivered: JSON by day and type, without a load id.
 
         A delivery holds a month of flights under the month's first day, as the given
-        tables have too few flights a day to fill a folder each.
+        tables have too few flights a day to fill a folder each. A record that lacks the
+        time it was first seen was delivered all the same: with those last seen then, or
+        with the first delivery.
         """
         path = f"{self.root}/landing"
-        month = start_of("month", epoch_to_ntz(F.col("first_seen"))).cast("date")
+        seen = F.coalesce("first_seen", "last_seen", F.lit(FIRST_DELIVERY))
+        month = start_of("month", epoch_to_ntz(seen)).cast("date")
         delivered = self.table("raw_flights").drop(LOAD_ID).withColumn("day", month)
         delivered = delivered.withColumnsRenamed({v: k for k, v in LANDED_FIELDS.items()})
         gathered = delivered.hint("rebalance", F.col("day"), F.col("flight_type"))
@@ -109,7 +115,7 @@ class Workspace:
         self.landing, self.aircraft_file  # noqa: B018
 
     def landed_days(self) -> list[date]:
-        days = landed_slices(self.spark, self.landing).select("day").dropna().distinct()
+        days = landed_slices(self.spark, self.landing).select("day").distinct()
         return sorted(row.day for row in days.collect())
 
     def new_layers(self, label: str) -> Layers:

@@ -3,11 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from flightloom.operators.dedup import latest_per_key
 
@@ -15,16 +12,11 @@ from flightloom.operators.dedup import latest_per_key
 def merge_rows(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], recency: str
 ) -> DataFrame:
-    """Existing rows whose key is not in the batch, plus one row per key of the batch.
+    """One row per key of both: the most recent, whichever side it is on.
 
-    Keys compare null-safe: with plain equality a null key would be added again on
-    every rerun.
+    Stored and incoming rows are ranked together, by recency and then by all other columns,
+    so neither the order of batches nor how rows are cut into batches changes the result:
+    an older load never replaces a newer one. Null is a key value like any other. Columns
+    that the batch lacks are null.
     """
-    incoming = latest_per_key(batch, keys, recency)
-    touched = incoming.select(*[F.col(k).alias(f"__{k}") for k in keys])
-    kept = existing.join(touched, _same_key(existing, touched, keys), "left_anti")
-    return kept.unionByName(incoming, allowMissingColumns=True)
-
-
-def _same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(and_, [left[k].eqNullSafe(right[f"__{k}"]) for k in keys])
+    return latest_per_key(existing.unionByName(batch, allowMissingColumns=True), keys, recency)

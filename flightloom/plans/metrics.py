@@ -150,16 +150,20 @@ def metric_query(
     grain: str | None = None,
     order: Sequence[tuple[str, str]] = (),
     limit: int | None = None,
+    where_dimension: Mapping[str, Column | str] | None = None,
 ) -> DataFrame:
     """Measures of a logical table, grouped.
 
     ``by`` names dimensions of the table, or ``dim_table.column`` of a dimension table
     in reach; the result columns are named after the dimension, without the table.
     ``grain`` truncates the time dimensions in ``by``. ``where`` filters rows of the
-    table before grouping; to select by an attribute of a dimension table, group by it and
-    filter the result. ``order`` holds (result column, "asc" or "desc") pairs;
-    remaining group columns settle ties. With no ``by`` the result is one row.
+    table before grouping; ``where_dimension`` keeps rows whose entry in a dimension table
+    fulfils a condition, which need not be grouped by. ``order`` holds (result column, "asc"
+    or "desc") pairs; remaining group columns settle ties. ``limit`` needs an order. With
+    no ``by`` the result is one row.
     """
+    if limit is not None and not order:
+        raise ValueError("limit without order would pick arbitrary rows")
     names = [d.split(".")[-1] for d in by]
     if len(set(names)) < len(names):
         raise ValueError(f"dimensions of the same name: {list(by)}")
@@ -172,8 +176,10 @@ def metric_query(
     if where is not None:
         rows = rows.filter(where)
     keys = [_group_column(logical, d, grain) for d in own]
-    if foreign:
-        result = _through_dimensions(tables, logical, rows, keys, own, foreign, wanted)
+    if foreign or where_dimension:
+        result = _through_dimensions(
+            tables, logical, rows, keys, own, foreign, wanted, where_dimension or {}
+        )
     else:
         result = rows.groupBy(*keys).agg(
             *[_AGGREGATES[m.effective](m.column).alias(n) for n, m in wanted.items()]
@@ -195,8 +201,10 @@ def _through_dimensions(
     own: Sequence[str],
     foreign: Sequence[tuple[str, str]],
     wanted: Mapping[str, Measure],
+    conditions: Mapping[str, Column | str],
 ) -> DataFrame:
-    reached = list(dict.fromkeys(table for table, _ in foreign))
+    """Group by the keys of dimensions, join the few partial rows, group again."""
+    reached = list(dict.fromkeys([*(table for table, _ in foreign), *conditions]))
     join_keys = {}
     for dimension in reached:
         if dimension not in logical.joins:
@@ -206,7 +214,11 @@ def _through_dimensions(
     partial = rows.groupBy(
         *keys, *[F.col(logical.joins[d][0]).alias(join_keys[d]) for d in reached]
     ).agg(*[part for name, m in wanted.items() for part in _partial(name, m)])
-    for dimension in reached:
+    for dimension, condition in conditions.items():
+        chosen = tables[dimension].filter(condition)
+        chosen = chosen.select(F.col(logical.joins[dimension][1]).alias(join_keys[dimension]))
+        partial = partial.join(chosen, join_keys[dimension], "left_semi")
+    for dimension in dict.fromkeys(table for table, _ in foreign):
         take = {column: column for table, column in foreign if table == dimension}
         for column in take:
             _check(column in _table(dimension).dimensions, f"{dimension}.{column}")
@@ -233,7 +245,9 @@ def _final(name: str, measure: Measure) -> Column:
     if measure.effective == "avg":
         total, count = F.sum(f"__{name}_sum"), F.sum(f"__{name}_count")
         return (total / F.nullif(count, F.lit(0))).alias(name)
-    return F.sum(f"__{name}").alias(name)
+    total = F.sum(f"__{name}")
+    # Over no rows at all a count is zero.
+    return (F.coalesce(total, F.lit(0)) if measure.effective == "count" else total).alias(name)
 
 
 def _group_column(logical: LogicalTable, name: str, grain: str | None) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from typing import NamedTuple
@@ -33,7 +33,8 @@ VALIDITY = "validity"
 OPEN = "open"
 
 RESULTS_SCHEMA = (
-    "run_at timestamp_ntz, model string, column string, check string, failures bigint, status string"
+    "run_at timestamp_ntz, model string, column string, check string, failures bigint,"
+    " status string, rows_written bigint"
 )
 
 
@@ -63,9 +64,9 @@ def ingest(
 
     The usual call names yesterday, a backfill names any past days. A slice that is
     missing is logged and skipped. With ``scope`` only events indexed at those airports
-    are loaded.
+    are loaded, and slices delivered by airport are expected of each of them.
     """
-    landing.warn_missing(layers.spark, base, days)
+    landing.warn_missing(layers.spark, base, days, scope)
     rows = prepare_flights(landing.read_landed(layers.spark, base, days), load_id, grain)
     if scope is not None:
         rows = within(rows, indexed_airport(), scope)
@@ -77,10 +78,21 @@ def reload_aircraft(layers: Layers, path: str) -> int:
     return layers.save_table("raw", "aircraft", read_aircraft(layers.spark, path))
 
 
-def run(layers: Layers, base: str, airports: DataFrame, now: datetime) -> Report:
-    """The daily job at ``now``: load yesterday, UTC, then build everything."""
+def run(
+    layers: Layers,
+    base: str,
+    airports: DataFrame,
+    now: datetime,
+    scope: Sequence[str] | None = None,
+) -> Report:
+    """The daily job at ``now``: load yesterday, UTC, then build everything.
+
+    Events are loaded for the airports of the dimension, or for those in ``scope``.
+    """
     moment = now.astimezone(timezone.utc)
-    ingest(layers, base, [landing.yesterday(moment)], str(int(moment.timestamp())))
+    if scope is None:
+        scope = sorted(row[0] for row in airports.select("icao_code").distinct().collect())
+    ingest(layers, base, [landing.yesterday(moment)], str(int(moment.timestamp())), scope=scope)
     return build(layers, airports, moment.replace(tzinfo=None))
 
 
@@ -88,22 +100,35 @@ def read_history(layers: Layers) -> DataFrame:
     return layers.table("snapshots", "aircraft_snapshot").drop(VALIDITY)
 
 
+class OlderRound(ValueError):
+    """A snapshot round before the newest one."""
+
+
 def advance_history(layers: Layers, stg_aircraft: DataFrame, at: datetime) -> None:
     """One snapshot round.
 
-    Closed versions live in a partition per closing time that is never read or written
-    again; a round reads and replaces the open partition and adds one of its own.
+    Closed versions live in a partition per closing time; a round reads and replaces the
+    open partition and adds one of its own. Running a round again first takes back what it
+    did: versions it opened go, versions it closed are open again. A round before the
+    newest one is refused.
     """
     target = ("snapshots", "aircraft_snapshot")
-    layers.finish_replacement(*target)
+    layers.recover(*target)
+    closing = at.strftime("%Y%m%dT%H%M%S.%f")
+    moment = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
     if layers.exists(*target):
-        current = layers.table(*target).filter(F.col(VALIDITY) == OPEN).drop(VALIDITY)
+        newest = layers.partitions(*target, VALIDITY, [OPEN]).agg(F.max(history.VALID_FROM)).first()[0]
+        if newest is not None and at < newest:
+            raise OlderRound(f"round {at} is older than {newest}")
+        stored = layers.partitions(*target, VALIDITY, [OPEN, closing]).drop(VALIDITY)
+        reopened = F.when(F.col(history.VALID_TO) < moment, F.col(history.VALID_TO))
+        current = stored.filter(F.col(history.VALID_FROM) < moment).withColumn(history.VALID_TO, reopened)
         rows = history.revise_open(current, stg_aircraft, AIRCRAFT_HISTORY, at)
     else:
         rows = history.first_versions(stg_aircraft, AIRCRAFT_HISTORY, at)
     closed_at = F.date_format(history.VALID_TO, "yyyyMMdd'T'HHmmss.SSSSSS")
     placed = rows.withColumn(VALIDITY, F.coalesce(closed_at, F.lit(OPEN)))
-    layers.replace_partitions(*target, placed, VALIDITY)
+    layers.replace_partitions(*target, placed, VALIDITY, cleared=[closing, OPEN])
 
 
 class Outcome(NamedTuple):
@@ -131,7 +156,6 @@ def build(
     run_at: datetime,
     on_failure: str = "skip",
     partitioned: bool = True,
-    store_staging: bool = True,
     at_once: int = 4,
 ) -> Report:
     """Build all models from the raw tables, checking each, dependencies first.
@@ -140,10 +164,10 @@ def build(
     as it was; ``"record"`` goes on regardless. Either way all outcomes are appended to
     ``quality.results``. A broken contract raises before the table is touched.
     ``partitioned=False`` leaves out the partitions that tables declare, which days
-    with few rows would not fill. ``store_staging`` writes the staging models as tables:
-    their checks and the fact read them, and as views each would deduplicate the raw
-    table again. With False they are views, as they are for other readers. Up to
-    ``at_once`` models that do not depend on each other are built side by side.
+    with few rows would not fill. Staging models are stored as tables: their checks and
+    the fact read them, and as views each would deduplicate the raw table again. Up to
+    ``at_once`` models that do not depend on each other are built side by side, each as
+    soon as its inputs are there.
     """
     if on_failure not in ("skip", "record"):
         raise ValueError(on_failure)
@@ -154,35 +178,58 @@ def build(
     }
     report = Report()
 
-    def make(model: Model) -> tuple[DataFrame, int | None, list[Outcome]]:
+    def make(model: Model) -> tuple[DataFrame, int, list[Outcome]]:
         df = model.build(*[frames[i] for i in model.inputs])
-        if model.view and not store_staging:
-            stored, rows = layers.save_view(model.name, df), None
-        else:
-            stored, rows = _store(layers, model, df, model.partition_by if partitioned else None)
-        return stored, rows, _check(model.name, stored)
+        outcomes = _contract(model, df)
+        if any(o.failures for o in outcomes):
+            report.outcomes += outcomes
+        stored, rows = _store(layers, model, df, model.partition_by if partitioned else None)
+        return stored, rows, [*outcomes, *_check(model.name, stored)]
 
+    report.outcomes.append(_freshness(frames["raw_flights"], run_at))
     waiting = list(MODELS)
-    with ThreadPoolExecutor(at_once) as pool:
-        while ready := [m for m in waiting if all(i in frames for i in m.inputs)]:
-            waiting = [m for m in waiting if m not in ready]
-            for model, (stored, rows, outcomes) in zip(ready, pool.map(make, ready), strict=True):
-                report.outcomes += outcomes
-                if rows is not None:
+    try:
+        with ThreadPoolExecutor(at_once) as pool:
+            running = {}
+            while True:
+                for model in [m for m in waiting if all(i in frames for i in m.inputs)]:
+                    waiting.remove(model)
+                    running[pool.submit(make, model)] = model
+                if not running:
+                    break
+                done, _ = wait(running, return_when=FIRST_COMPLETED)
+                for future in done:
+                    model = running.pop(future)
+                    stored, rows, outcomes = future.result()
+                    report.outcomes += outcomes
                     report.rows[model.name] = rows
-                if on_failure == "skip" and any(o.failures for o in outcomes):
-                    log.warning("%s failed its checks: dependents skipped", model.name)
-                else:
-                    frames[model.name] = stored
-    report.skipped = [m.name for m in waiting]
-    if "stg_aircraft" in frames:
-        advance_history(layers, frames["stg_aircraft"], run_at)
-    else:
-        report.skipped.append("aircraft_snapshot")
-    _record(layers, report, run_at)
+                    if on_failure == "skip" and any(o.failures for o in outcomes):
+                        log.warning("%s failed its checks: dependents skipped", model.name)
+                    else:
+                        frames[model.name] = stored
+        report.skipped = [m.name for m in waiting]
+        if "stg_aircraft" in frames:
+            advance_history(layers, frames["stg_aircraft"], run_at)
+        else:
+            report.skipped.append("aircraft_snapshot")
+    finally:
+        _record(layers, report, run_at)
     return report
 
 
+def _freshness(raw: DataFrame, run_at: datetime) -> Outcome:
+    found = quality.freshness(raw, LOAD_ID, run_at).first()
+    late = 0 if found["status"] == "pass" else 1
+    return Outcome("raw_flights", LOAD_ID, "freshness", late, found["status"])
+
+
+def _contract(model: Model, df: DataFrame) -> list[Outcome]:
+    if model.name not in CONTRACTS:
+        return []
+    n = len(quality.contract_differences(df, CONTRACTS[model.name]))
+    return [Outcome(model.name, "", "contract", n, "fail" if n else "pass")]
+
+
 def _store(
     layers: Layers, model: Model, df: DataFrame, partition_by: str | None
 ) -> tuple[DataFrame, int]:
@@ -220,7 +267,9 @@ def _check(model: str, df: DataFrame) -> list[Outcome]:
 
 
 def _record(layers: Layers, report: Report, run_at: datetime) -> None:
-    rows = [(run_at, *outcome) for outcome in report.outcomes]
-    layers.append("quality", "results", layers.spark.createDataFrame(rows, RESULTS_SCHEMA))
-
-
+    """Append what is known of a run: check outcomes, rows by model, models left out."""
+    rows = [(run_at, *outcome, None) for outcome in report.outcomes]
+    rows += [(run_at, name, "", "build", 0, "built", n) for name, n in report.rows.items()]
+    rows += [(run_at, name, "", "build", 0, "skipped", None) for name in report.skipped]
+    if rows:
+        layers.append("quality", "results", layers.spark.createDataFrame(rows, RESULTS_SCHEMA))

@@ -1,9 +1,9 @@
 """Tables by layer: full refresh, full reload, keyed merge and partition replacement.
 
 Parquet tables have no row-level update, so every change is a new set of files that
-replaces whole tables or whole partitions. Both are built aside first: a failed or
-repeated run never leaves a table half written, and a task or executor that is lost
-is simply rerun.
+replaces whole tables or whole partitions. Both are built aside first, and what is
+complete carries a name that says so: whoever writes the table next finishes a swap that
+was cut short. A task or executor that is lost is simply rerun.
 """
 
 from __future__ import annotations
@@ -13,18 +13,26 @@ from collections.abc import Iterable, Sequence
 from copy import copy
 from threading import Lock
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flightloom import files
 from flightloom.operators.dedup import latest_per_key
 from flightloom.operators.merge import merge_rows
-from flightloom.session import session_conf
+from flightloom.session import scratch_dir, session_conf
 
 SCHEMAS = ("raw", "staging", "marts", "snapshots", "quality")
 
 # Partitions are found from the folders, so a table can be renamed with all of them.
 PARTITIONS_FROM_FOLDERS = {"spark.sql.hive.manageFilesourcePartitions": "false"}
-REPLACE_FOUND_PARTITIONS = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+
+# A batch that touches more partitions than this has too fine a partition column.
+MOST_PARTITIONS = 100_000
+
+
+class UnknownColumns(ValueError):
+    """A batch has columns that its table does not have."""
 
 
 class Layers:
@@ -62,10 +70,13 @@ class Layers:
         self.spark.catalog.refreshTable(name)
         return self.spark.table(name)
 
-    def save_view(self, model: str, df: DataFrame) -> DataFrame:
-        """Register a lazy view; readers inline it."""
-        df.createOrReplaceTempView(model)
-        return self.spark.table(model)
+    def view_name(self, schema: str, model: str) -> str:
+        return f"{self.prefix}{schema}__{model}"
+
+    def save_view(self, schema: str, model: str, df: DataFrame) -> DataFrame:
+        """Register a lazy view of this environment and schema; readers inline it."""
+        df.createOrReplaceTempView(self.view_name(schema, model))
+        return self.spark.table(self.view_name(schema, model))
 
     def save_table(
         self, schema: str, model: str, df: DataFrame, partition_by: str | None = None
@@ -73,14 +84,33 @@ class Layers:
         """Replace the table by the frame and return the number of rows written.
 
         The new table is written under a build name and swapped in when complete, so
-        readers keep the old one until then and the frame may read it.
+        readers keep the old one until then and the frame may read it. A swap that stops
+        half way is finished by ``recover``.
         """
-        target, build = self.name(schema, model), self._build_name(schema, model)
+        self.recover(schema, model)
+        build = self._build_name(schema, model)
         rows = self._write(build, df, partition_by)
-        self.spark.sql(f"DROP TABLE IF EXISTS {target}")
-        self.spark.sql(f"ALTER TABLE {build} RENAME TO {target}")
+        self._rename(build, self._ready(schema, model))
+        self.recover(schema, model)
         return rows
 
+    def recover(self, schema: str, model: str) -> None:
+        """Finish a swap or a replacement of partitions that was cut short."""
+        target, ready = self.name(schema, model), self._ready(schema, model)
+        old = self.name(schema, f"{model}__old")
+        there = self.spark.catalog.tableExists
+        if there(ready):
+            if there(target):
+                self.spark.sql(f"DROP TABLE IF EXISTS {old}")
+                self._rename(target, old)
+            self._rename(ready, target)
+        if there(old):
+            if there(target):
+                self.spark.sql(f"DROP TABLE {old}")
+            else:
+                self._rename(old, target)
+        self.finish_replacement(schema, model)
+
     def append(self, schema: str, model: str, df: DataFrame) -> None:
         df.write.mode("append").format("parquet").saveAsTable(self.name(schema, model))
 
@@ -96,46 +126,99 @@ class Layers:
         """Upsert a batch. Running it again with the same batch changes nothing.
 
         The partition column must follow from the key, so a key never moves; only
-        partitions that the batch touches are read, joined and rewritten.
+        partitions that the batch touches are listed, read and written. The batch is
+        computed once, into the shared folder. A batch may lack columns of the table
+        (they are null); columns that the table lacks are refused.
         """
-        self.finish_replacement(schema, model)
+        self.recover(schema, model)
         if not self.exists(schema, model):
             self.save_table(schema, model, latest_per_key(batch, keys, recency), partition_by)
             return
-        # One value per partition in the batch, a day or a month: a short list.
-        touched = [row[0] for row in batch.select(partition_by).distinct().collect()]
-        existing = self.table(schema, model).filter(_one_of(F.col(partition_by), touched))
-        merged = merge_rows(existing, batch, keys, recency)
+        declared = self._schema(schema, model)
+        _refuse_unknown(batch, declared, self.name(schema, model))
+        place = scratch_dir(self.spark, f"batch-{model}")
+        batch.write.parquet(place)
+        staged = self.spark.read.schema(batch.schema).parquet(place)
+        touched = staged.select(F.col(partition_by).cast("string")).distinct()
+        values = [row[0] for row in touched.limit(MOST_PARTITIONS + 1).collect()]
+        if len(values) > MOST_PARTITIONS:
+            raise ValueError(f"{partition_by}: a batch of more than {MOST_PARTITIONS} partitions")
+        existing = self.partitions(schema, model, partition_by, values)
+        merged = merge_rows(existing, staged, keys, recency)
         self.replace_partitions(schema, model, merged, partition_by)
+        files.remove(self.spark, place)
+
+    def partitions(
+        self, schema: str, model: str, partition_by: str, values: Iterable[str | None]
+    ) -> DataFrame:
+        """Rows of the given partitions. No other partition's files are listed."""
+        declared, root, wanted = self._schema(schema, model), self.location(schema, model), set(values)
+        named = [f for f in files.folders(self.spark, root) if f.startswith(f"{partition_by}=")]
+        paths = [f"{root}/{f}" for f in named if files.partition_value(f) in wanted]
+        if not paths:
+            return self.spark.createDataFrame([], declared)
+        return self.spark.read.schema(declared).option("basePath", root).parquet(*paths).select(*declared.names)
 
     def replace_partitions(
-        self, schema: str, model: str, df: DataFrame, partition_by: str
+        self,
+        schema: str,
+        model: str,
+        df: DataFrame,
+        partition_by: str,
+        cleared: Sequence[str] = (),
     ) -> None:
         """Replace the partitions found in the frame, which may read the table itself.
 
-        The new partitions are first written to a pending table. Once that is complete
-        the outcome is settled: should publishing be cut short, the next call publishes
-        the pending rows again before anything else.
+        ``cleared`` names partitions that go even if the frame has no row of them. The new
+        partitions are first written to a folder aside. Once that is complete it gets the
+        name that settles the outcome: its files are then moved in, partition by
+        partition, now or by the next call.
         """
+        self.recover(schema, model)
         if not self.exists(schema, model):
             self.save_table(schema, model, df, partition_by)
             return
-        build = self._build_name(schema, model)
-        pending = self.name(schema, f"{model}__pending")
-        columns = self.table(schema, model).columns
-        self._write(build, df.select(*columns), partition_by)
-        self.spark.sql(f"ALTER TABLE {build} RENAME TO {pending}")
+        declared = self._schema(schema, model)
+        _refuse_unknown(df, declared, self.name(schema, model))
+        root = self.location(schema, model)
+        build = f"{root}__build_{uuid.uuid4().hex[:8]}"
+        typed = df.select(*[F.col(f.name).cast(f.dataType) for f in declared.fields])
+        gathered = typed.hint("rebalance", F.col(partition_by))
+        gathered.write.partitionBy(partition_by).parquet(build)
+        for value in cleared:
+            files.make(self.spark, f"{build}/{partition_by}={value}")
+        files.move(self.spark, build, f"{root}__pending")
         self.finish_replacement(schema, model)
 
     def finish_replacement(self, schema: str, model: str) -> None:
-        """Publish pending partitions, if there are any."""
-        pending = self.name(schema, f"{model}__pending")
-        if not self.spark.catalog.tableExists(pending):
+        """Move in pending partitions, if there are any."""
+        if not self.exists(schema, model):
+            return
+        root = self.location(schema, model)
+        pending = f"{root}__pending"
+        if not files.exists(self.spark, pending):
             return
-        with self._settings, session_conf(self.spark, REPLACE_FOUND_PARTITIONS):
-            rows = self.spark.table(pending)
-            rows.write.mode("overwrite").insertInto(self.name(schema, model))
-        self.spark.sql(f"DROP TABLE {pending}")
+        for folder in files.folders(self.spark, pending):
+            files.remove(self.spark, f"{root}/{folder}")
+            files.move(self.spark, f"{pending}/{folder}", f"{root}/{folder}")
+        files.remove(self.spark, pending)
+        self.spark.catalog.refreshTable(self.name(schema, model))
+
+    def location(self, schema: str, model: str) -> str:
+        """The folder of a table, from the catalog alone."""
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(schema, model)}")
+        return described.where("col_name = 'Location'").first()["data_type"].rstrip("/")
+
+    def _schema(self, schema: str, model: str) -> T.StructType:
+        """The columns of a table, from the catalog alone: its files are not listed."""
+        columns = self.spark.catalog.listColumns(self.name(schema, model))
+        return T.StructType.fromDDL(", ".join(f"`{c.name}` {c.dataType}" for c in columns))
+
+    def _ready(self, schema: str, model: str) -> str:
+        return self.name(schema, f"{model}__ready")
+
+    def _rename(self, old: str, new: str) -> None:
+        self.spark.sql(f"ALTER TABLE {old} RENAME TO {new}")
 
     def drop_environment(self) -> None:
         for schema in SCHEMAS:
@@ -147,20 +230,22 @@ class Layers:
 
     def _write(self, table: str, df: DataFrame, partition_by: str | None) -> int:
         written = Observation()
-        counted = df.observe(written, F.count(F.lit(1)).alias("rows"))
+        count = F.count(F.lit(1)).alias("rows")
         if partition_by is None:
-            counted.write.format("parquet").saveAsTable(table)
+            df.observe(written, count).write.format("parquet").saveAsTable(table)
         else:
             # Gathers each partition's rows into few files, while AQE splits a partition
-            # that outgrows the advisory size over several tasks.
-            gathered = counted.hint("rebalance", F.col(partition_by))
+            # that outgrows the advisory size over several tasks. Rows are counted above the
+            # shuffle, where each is written: map tasks that rerun are not counted again.
+            gathered = df.hint("rebalance", F.col(partition_by)).observe(written, count)
             writer = gathered.write.format("parquet").partitionBy(partition_by)
             with self._settings, session_conf(self.spark, PARTITIONS_FROM_FOLDERS):
                 writer.saveAsTable(table)
         return written.get["rows"]
 
 
-def _one_of(column: Column, values: Iterable[object]) -> Column:
-    present = [v for v in values if v is not None]
-    condition = column.isin(*present)
-    return condition if len(present) == len(list(values)) else condition | column.isNull()
+def _refuse_unknown(df: DataFrame, declared: T.StructType, table: str) -> None:
+    known = {name.lower() for name in declared.names}
+    unknown = [c for c in df.columns if c.lower() not in known]
+    if unknown:
+        raise UnknownColumns(f"{table} has no column {', '.join(unknown)}")

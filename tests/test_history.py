@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import pytest
 from helpers import rows, ts
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flightloom.operators import history
-from flightloom.plans.pipeline import advance_history, read_history
+from flightloom.plans.pipeline import OlderRound, advance_history, read_history
 from flightloom.plans.star import AIRCRAFT_HISTORY as SPEC
+from flightloom.sinks.tables import Layers
 
 COLUMNS = (
     "icao24 string, manufacturer string, model string, typecode string, operator string,"
@@ -86,6 +90,49 @@ def test_stored_history_adds_partitions_and_leaves_closed_ones(layers, spark):
     ]
 
 
+def test_a_repeated_round_takes_back_its_first_run(layers, spark):
+    first, second = two_rounds(spark)
+    wrong = source(spark, ("same", "m", "Q"), ("moves", "m", "A"), ("new", "m", "Q"))
+    for rows_, at in ((wrong, T1), (first, T1), (wrong, T2), (second, T2), (second, T2)):
+        advance_history(layers, rows_, at)
+    assert rows(read_history(layers), *SHOWN) == EXPECTED
+    # A run that closes nothing takes back what an earlier run of the round had closed.
+    advance_history(layers, first, T2)
+    assert read_history(layers).filter("dbt_valid_to IS NOT NULL").isEmpty()
+
+
+def test_an_older_round_is_refused(layers, spark):
+    first, second = two_rounds(spark)
+    advance_history(layers, first, T2)
+    with pytest.raises(OlderRound):
+        advance_history(layers, second, T1)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.dictionaries(st.sampled_from("abc"), st.sampled_from("XYZ"), min_size=1), st.integers(0, 2)), min_size=1, max_size=4))
+def test_stored_rounds_equal_the_last_run_of_each(spark, tmp_path_factory, runs):
+    place = str(tmp_path_factory.mktemp("rounds"))
+    layers = Layers(spark, place, environment=f"r{abs(hash(place))}")
+    last: dict[int, dict] = {}
+    at = 0
+    for given_rows, step in runs:
+        at += step
+        last[at] = given_rows
+        advance_history(layers, source(spark, *[(k, "m", v) for k, v in given_rows.items()]), ts(f"2024-01-0{at + 1}"))
+    versions: dict[str, list] = {}
+    for when, given_rows in sorted(last.items()):
+        moment = ts(f"2024-01-0{when + 1}")
+        for key, value in given_rows.items():
+            own = versions.setdefault(key, [])
+            if not own or own[-1][0] != value:
+                if own:
+                    own[-1][2] = moment
+                own.append([value, moment, None])
+    want = sorted(((k, *v) for k, own in versions.items() for v in own), key=repr)
+    assert rows(read_history(layers), "icao24", "operator", "dbt_valid_from", "dbt_valid_to") == want
+    layers.drop_environment()
+
+
 def test_events_get_the_operator_of_their_time(spark):
     first, second = two_rounds(spark)
     versions = history.next_history(history.first_versions(first, SPEC, T1), second, SPEC, T2)

@@ -156,3 +156,28 @@ def test_long_form_of_arrivals_and_departures(tables):
     long = dashboard.arrivals_and_departures(traffic)
     assert long.columns == ["airport_iata", "Type", "Flights"]
     assert ("LHR", "total_departures", 2) in rows(long)
+
+
+def test_condition_on_a_dimension_that_is_not_grouped_by(tables):
+    """Averages over all chosen airports together, not one per country."""
+    found = metrics.metric_query(
+        tables,
+        "fct_flights",
+        ["flight_count", "avg_flight_duration_minutes"],
+        where_dimension={"dim_airports": "country IN ('Spain')"},
+    )
+    airports = tables["dim_airports"].filter("country = 'Spain'")
+    kept = tables["fct_flights"].join(airports, tables["fct_flights"]["airport_icao"] == airports["icao_code"], "left_semi")
+    want = kept.selectExpr("count(flight_id)", "avg(flight_duration_minutes)").first()
+    assert tuple(found.first()) == tuple(want) and want[0] > 0
+    nowhere = metrics.metric_query(
+        tables, "fct_flights", ["flight_count"], where_dimension={"dim_airports": "country = 'Nowhere'"}
+    )
+    assert [tuple(r) for r in nowhere.collect()] == [(0,)]
+    with pytest.raises(metrics.UnknownName):
+        metrics.metric_query(tables, "fct_flights", ["flight_count"], where_dimension={"dim_parts": "true"})
+
+
+def test_limit_needs_an_order(tables):
+    with pytest.raises(ValueError, match="order"):
+        metrics.metric_query(tables, "fct_flights", ["flight_count"], by=["operator_icao"], limit=3)

@@ -67,7 +67,7 @@ def test_whole_job(layers, spark, inputs):
     patterns = layers.table("marts", "mart_traffic_patterns")
     assert patterns.agg(F.sum("flight_count")).first()[0] == 4
     results = layers.table("quality", "results")
-    assert results.count() == 19
+    assert results.filter("check NOT IN ('build', 'contract', 'freshness')").count() == 19
     assert results.filter("status = 'fail'").count() == 0
     assert pipeline.read_history(layers).count() == 2
     fact = layers.table("marts", "fct_flights").filter("flight_date = date'2024-01-02'")
@@ -142,10 +142,37 @@ def test_scope_keeps_events_of_its_airports(layers, inputs):
     assert rows(layers.table("raw", "flights"), "icao24", "flight_type") == [("a2", "arrival")]
 
 
-def test_staging_as_views(layers, spark, inputs):
+def test_results_hold_rows_freshness_and_contracts(layers, spark, inputs):
     load(layers, inputs)
-    report = pipeline.build(
-        layers, default_airports(spark), ts("2024-01-03"), partitioned=False, store_staging=False
-    )
-    assert "stg_flights" not in report.rows
-    assert spark.table("stg_flights").count() == 4
+    report = pipeline.build(layers, default_airports(spark), ts("2024-01-03"))
+    results = layers.table("quality", "results")
+    built = results.filter("check = 'build' AND status = 'built'")
+    assert rows(built, "model", "rows_written") == sorted(report.rows.items())
+    assert results.filter("check = 'contract' AND status = 'pass'").count() == 5
+    assert rows(results.filter("check = 'freshness'"), "model") == [("raw_flights",)]
+
+
+def test_outcomes_are_recorded_when_a_contract_breaks(layers, spark, inputs, monkeypatch):
+    load(layers, inputs)
+    broken = [
+        m if m.name != "mart_traffic_patterns" else replace(
+            m, build=lambda f, a: marts.mart_traffic_patterns(f, a).drop("city")
+        )
+        for m in MODELS
+    ]
+    monkeypatch.setattr(pipeline, "MODELS", broken)
+    with pytest.raises(ContractViolation):
+        pipeline.build(layers, default_airports(spark), ts("2024-01-04"))
+    results = layers.table("quality", "results")
+    assert rows(results.filter("status = 'fail' AND check = 'contract'"), "model") == [("mart_traffic_patterns",)]
+    assert results.filter("model = 'stg_flights' AND check = 'unique'").count() == 1
+
+
+def test_run_takes_its_scope_from_the_airports(layers, spark, inputs):
+    pipeline.reload_aircraft(layers, inputs[1])
+    now = datetime(2024, 1, 3, 1, tzinfo=timezone.utc)
+    one = default_airports(spark).filter("icao_code = 'LFPG'")
+    pipeline.run(layers, inputs[0], one, now)
+    kept = layers.table("raw", "flights")
+    code = F.when(F.col("flight_type") == "arrival", F.col("est_arrival_airport")).otherwise(F.col("est_departure_airport"))
+    assert kept.filter(code != "LFPG").isEmpty()

@@ -60,8 +60,31 @@ def test_absent_day_is_zero_rows_and_a_warning(spark, base, caplog):
 def test_only_the_asked_days_are_read(spark, base):
     landed = landing.read_landed(spark, str(base), [date(2024, 1, 3)])
     assert rows(landed, "icao24") == [("a5",)]
-    plan = landed._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(day" in plan or "PartitionFilters: [(day" in plan
+    assert {f.split("day=")[1][:10] for f in landed.inputFiles()} == {"2024-01-03"}
+
+
+def test_folders_of_other_days_are_not_listed(spark, base):
+    # A level that contradicts the others would fail any listing of the whole folder.
+    (base / "day=2024-01-09" / "odd=1" / "flight_type=arrival").mkdir(parents=True)
+    (base / "day=2024-01-09" / "odd=1" / "flight_type=arrival" / "x.json").write_text("{broken")
+    (base / "elsewhere=1").mkdir()
+    (base / "elsewhere=1" / "x.json").write_text("{broken")
+    days = [date(2024, 1, 3)]
+    assert landing.read_landed(spark, str(base), days).count() == 1
+    assert rows(landing.landed_slices(spark, str(base), days)) == [(date(2024, 1, 3), "departure", None)]
+
+
+def test_slices_are_missed_by_airport(spark, tmp_path, caplog):
+    base = tmp_path / "by_airport"
+    for kind, airport in (("arrival", "EGLL"), ("arrival", "LFPG"), ("departure", "EGLL")):
+        folder = base / "day=2024-01-01" / f"flight_type={kind}" / f"airport={airport}"
+        folder.mkdir(parents=True)
+        (folder / "part.json").write_text("[]")
+    with caplog.at_level(logging.WARNING):
+        landing.warn_missing(spark, str(base), [date(2024, 1, 1)], ["EGLL", "LFPG"])
+    assert [r.getMessage() for r in caplog.records] == [
+        "no departure records of LFPG landed for 1 day(s), skipped: 2024-01-01"
+    ]
 
 
 def test_a_folder_per_airport_makes_no_difference(spark, tmp_path):
@@ -132,5 +155,5 @@ def test_airport_seed_must_have_its_header(spark, tmp_path):
 
 
 def test_sql_over_views(spark):
-    found = tables.run_sql(spark, "select sum(id) as s from some_rows", {"some_rows": spark.range(4)})
+    found = tables.run_sql(spark, "select sum(id) as s from {some_rows}", {"some_rows": spark.range(4)})
     assert rows(found) == [(6,)]

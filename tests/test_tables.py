@@ -1,10 +1,13 @@
 from __future__ import annotations
 
-from helpers import RAW_FLIGHTS, flight, raw_flights, rows
+import pytest
+from helpers import RAW_FLIGHTS, flight, plan_of, raw_flights, rows
 from pyspark.sql import functions as F
 
+from flightloom import files
 from flightloom.operators.merge import merge_rows
 from flightloom.schemas import FLIGHT_KEY, LOAD_ID
+from flightloom.sinks.tables import UnknownColumns
 
 KEYS = list(FLIGHT_KEY)
 
@@ -49,14 +52,77 @@ def test_table_merge_is_idempotent_and_leaves_other_days_alone(layers, spark):
     assert {f for f in files if "1970-01-01" in f} <= after
 
 
-def test_interrupted_publication_is_finished_by_the_next_merge(layers, spark):
-    merge(layers, raw_flights(spark, flight(), flight(icao24="a2")))
-    pending = layers.name("raw", "flights__pending")
-    complete = with_day(raw_flights(spark, flight(last=7), flight(icao24="a2", last=8)))
-    layers._write(pending, complete.select(*layers.table("raw", "flights").columns), "seen_on")
+def test_interrupted_publication_is_finished_by_the_next_merge(layers, spark, monkeypatch):
+    merge(layers, raw_flights(spark, flight(), flight(icao24="a2"), flight(first=90_000)))
+    complete = raw_flights(spark, flight(last=7, load="200"), flight(first=90_000, last=8, load="200"))
+    moved, move = [], files.move
+
+    def failing(session, source, target):
+        if "seen_on=" in target and moved:
+            raise RuntimeError("lost")
+        moved.append(target)
+        move(session, source, target)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(files, "move", failing)
+        moved.clear()
+        patched.setattr(layers, "finish_replacement", lambda *_: None)
+        merge(layers, complete)
+        patched.undo()
+        patched.setattr(files, "move", failing)
+        with pytest.raises(RuntimeError):
+            layers.finish_replacement("raw", "flights")
     merge(layers, raw_flights(spark, flight(icao24="a3", last=9)))
-    assert stored(layers) == [("a1", 0, 7), ("a2", 0, 8), ("a3", 0, 9)]
-    assert not spark.catalog.tableExists(pending)
+    assert stored(layers) == [("a1", 0, 7), ("a1", 90_000, 8), ("a2", 0, 3600), ("a3", 0, 9)]
+    assert not files.exists(spark, layers.location("raw", "flights") + "__pending")
+
+
+@pytest.mark.parametrize("renames", [1, 2])
+def test_interrupted_swap_is_finished_by_the_next_writer(layers, spark, monkeypatch, renames):
+    layers.save_table("marts", "t", spark.range(3))
+    done, rename = [], layers._rename
+
+    def failing(old, new):
+        if len(done) == renames:
+            raise RuntimeError("lost")
+        done.append(new)
+        rename(old, new)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(layers, "_rename", failing)
+        with pytest.raises(RuntimeError):
+            layers.save_table("marts", "t", spark.range(5))
+    layers.recover("marts", "t")
+    assert layers.table("marts", "t").count() == 5
+    assert layers.save_table("marts", "t", spark.range(2)) == 2
+    names = {t.name for t in spark.catalog.listTables(layers.name("marts", "x").split(".")[0])}
+    assert names - {t for t in names if t.startswith("marts__")} == {"t"}
+
+
+def test_older_load_never_replaces_a_newer_one(layers, spark):
+    merge(layers, raw_flights(spark, flight(last=2, load="200")))
+    merge(layers, raw_flights(spark, flight(last=1, load="100")))
+    assert stored(layers) == [("a1", 0, 2)]
+
+
+def test_unknown_columns_are_refused_and_missing_ones_are_null(layers, spark):
+    merge(layers, raw_flights(spark, flight()))
+    with pytest.raises(UnknownColumns, match="extra"):
+        merge(layers, raw_flights(spark, flight(icao24="a2")).withColumn("extra", F.lit(1)))
+    merge(layers, raw_flights(spark, flight(icao24="a2")).drop("last_seen"))
+    assert stored(layers) == [("a1", 0, 3600), ("a2", 0, None)]
+
+
+def test_a_merge_scans_its_batch_once_and_lists_only_its_partitions(layers, spark, monkeypatch):
+    days = [flight(icao24=f"a{d}", first=d * 86_400) for d in range(4)]
+    merge(layers, raw_flights(spark, *days))
+    listed = []
+    partitions = layers.partitions
+    monkeypatch.setattr(layers, "partitions", lambda *a: listed.append(partitions(*a)) or listed[-1])
+    merge(layers, raw_flights(spark, flight(icao24="a2", first=2 * 86_400, last=5, load="200")))
+    assert {f.split("seen_on=")[1].split("/")[0] for f in listed[0].inputFiles()} == {"1970-01-03"}
+    plan = plan_of(merge_rows(raw_flights(spark, days[0]), raw_flights(spark, days[1]), KEYS, LOAD_ID))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
 def test_refresh_may_read_the_table_it_replaces(layers, spark):
@@ -83,7 +149,7 @@ def test_schemas_keep_their_names(layers, spark):
 
 def test_view_reads_its_source_anew(layers, spark):
     layers.save_table("raw", "src", spark.range(1))
-    view = layers.save_view("v_src", layers.table("raw", "src").filter("id >= 0"))
+    view = layers.save_view("staging", "v_src", layers.table("raw", "src").filter("id >= 0"))
     assert view.count() == 1
     layers.append("raw", "src", spark.range(2))
-    assert spark.table("v_src").count() == 3
+    assert spark.table(layers.view_name("staging", "v_src")).count() == 3
