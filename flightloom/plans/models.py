@@ -23,7 +23,14 @@ class Model:
 
 
 MODELS = (
-    Model("stg_flights", "staging", ("raw_flights",), staging.stg_flights, view=True),
+    Model(
+        "stg_flights",
+        "staging",
+        ("raw_flights",),
+        staging.stg_flights,
+        view=True,
+        partition_by="seen_on",
+    ),
     Model("stg_aircraft", "staging", ("raw_aircraft",), staging.stg_aircraft, view=True),
     Model("dim_airports", "marts", ("airports",), star.dim_airports),
     Model("dim_airlines", "marts", ("stg_aircraft",), star.dim_airlines),

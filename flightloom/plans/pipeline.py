@@ -16,7 +16,7 @@ from flightloom.operators import history, quality
 from flightloom.operators.lookup import within
 from flightloom.plans.checks import CHECKS
 from flightloom.plans.models import MODELS, Model
-from flightloom.plans.staging import indexed_airport
+from flightloom.plans.staging import indexed_airport, stg_aircraft
 from flightloom.plans.star import AIRCRAFT_HISTORY
 from flightloom.schemas import CONTRACTS, FLIGHT_KEY, LOAD_ID
 from flightloom.sinks.tables import Layers
@@ -48,8 +48,8 @@ def prepare_flights(landed: DataFrame, load_id: str, grain: str = "day") -> Data
     return rows.withColumn(SEEN_ON, seen if grain == "day" else F.trunc(seen, grain).cast("date"))
 
 
-def merge_flights(layers: Layers, rows: DataFrame) -> None:
-    layers.merge("raw", "flights", rows, FLIGHT_KEY, LOAD_ID, SEEN_ON)
+def merge_flights(layers: Layers, rows: DataFrame) -> list[str | None]:
+    return layers.merge("raw", "flights", rows, FLIGHT_KEY, LOAD_ID, SEEN_ON)
 
 
 def ingest(
@@ -59,9 +59,11 @@ def ingest(
     load_id: str,
     grain: str = "day",
     scope: Sequence[str] | None = None,
-) -> None:
+) -> list[str | None]:
     """Load the given days; again or out of order makes no difference.
 
+    Returns the partitions of raw flights that changed.
+
     The usual call names yesterday, a backfill names any past days. A slice that is
     missing is logged and skipped. With ``scope`` only events indexed at those airports
     are loaded, and slices delivered by airport are expected of each of them.
@@ -70,7 +72,7 @@ def ingest(
     rows = prepare_flights(landing.read_landed(layers.spark, base, days), load_id, grain)
     if scope is not None:
         rows = within(rows, indexed_airport(), scope)
-    merge_flights(layers, rows)
+    return merge_flights(layers, rows)
 
 
 def reload_aircraft(layers: Layers, path: str) -> int:
@@ -85,15 +87,16 @@ def run(
     now: datetime,
     scope: Sequence[str] | None = None,
 ) -> Report:
-    """The daily job at ``now``: load yesterday, UTC, then build everything.
+    """The daily job at ``now``: load yesterday, UTC, then build what follows from it.
 
     Events are loaded for the airports of the dimension, or for those in ``scope``.
     """
     moment = now.astimezone(timezone.utc)
     if scope is None:
         scope = sorted(row[0] for row in airports.select("icao_code").distinct().collect())
-    ingest(layers, base, [landing.yesterday(moment)], str(int(moment.timestamp())), scope=scope)
-    return build(layers, airports, moment.replace(tzinfo=None))
+    load_id = str(int(moment.timestamp()))
+    touched = ingest(layers, base, [landing.yesterday(moment)], load_id, scope=scope)
+    return update(layers, airports, moment.replace(tzinfo=None), touched)
 
 
 def read_history(layers: Layers) -> DataFrame:
@@ -104,7 +107,7 @@ class OlderRound(ValueError):
     """A snapshot round before the newest one."""
 
 
-def advance_history(layers: Layers, stg_aircraft: DataFrame, at: datetime) -> None:
+def advance_history(layers: Layers, aircraft: DataFrame, at: datetime) -> None:
     """One snapshot round.
 
     Closed versions live in a partition per closing time; a round reads and replaces the
@@ -123,9 +126,9 @@ def advance_history(layers: Layers, stg_aircraft: DataFrame, at: datetime) -> No
         stored = layers.partitions(*target, VALIDITY, [OPEN, closing]).drop(VALIDITY)
         reopened = F.when(F.col(history.VALID_TO) < moment, F.col(history.VALID_TO))
         current = stored.filter(F.col(history.VALID_FROM) < moment).withColumn(history.VALID_TO, reopened)
-        rows = history.revise_open(current, stg_aircraft, AIRCRAFT_HISTORY, at)
+        rows = history.revise_open(current, aircraft, AIRCRAFT_HISTORY, at)
     else:
-        rows = history.first_versions(stg_aircraft, AIRCRAFT_HISTORY, at)
+        rows = history.first_versions(aircraft, AIRCRAFT_HISTORY, at)
     closed_at = F.date_format(history.VALID_TO, "yyyyMMdd'T'HHmmss.SSSSSS")
     placed = rows.withColumn(VALIDITY, F.coalesce(closed_at, F.lit(OPEN)))
     layers.replace_partitions(*target, placed, VALIDITY, cleared=[closing, OPEN])
@@ -217,6 +220,116 @@ def build(
     return report
 
 
+# Models kept by day, with the column that says a row's day.
+_BY_DAY = {
+    "stg_flights": "first_seen_at",
+    "fct_flights": "first_seen_at",
+    "mart_airport_traffic": "traffic_date",
+    "mart_traffic_patterns": "traffic_date",
+}
+
+
+def update(
+    layers: Layers,
+    airports: DataFrame,
+    run_at: datetime,
+    touched: Sequence[str | None],
+    grain: str = "day",
+    on_failure: str = "skip",
+    partitioned: bool = True,
+) -> Report:
+    """Bring all models up to date with the partitions of raw flights that changed.
+
+    The tables are those of ``build`` over everything. A flight's key determines its day,
+    so days that were not touched stay as they are: staging, fact and the two daily tables
+    replace the touched ones, checks look at these, and only tables over all days read
+    the whole fact. The fact shows the current operator of each aircraft, so a change of
+    aircraft, as a table that is not there yet, asks for the whole build. ``grain`` is that
+    of the raw partitions.
+    """
+    aircraft = stg_aircraft(layers.table("raw", "aircraft"))
+    there = all(layers.exists(m.schema, m.name) for m in MODELS)
+    if not there or _differ(aircraft, layers.table("staging", "stg_aircraft")):
+        return build(layers, airports, run_at, on_failure, partitioned)
+    report = Report()
+    report.outcomes.append(_freshness(layers.table("raw", "flights"), run_at))
+    frames = {
+        "raw_flights": layers.partitions("raw", "flights", SEEN_ON, touched),
+        "raw_aircraft": layers.table("raw", "aircraft"),
+        "airports": airports,
+    }
+    whole: dict[str, DataFrame] = {}
+    failed: set[str] = set()
+    try:
+        for model in MODELS:
+            if failed & set(model.inputs):
+                failed.add(model.name)
+                report.skipped.append(model.name)
+                continue
+            by_day = model.name in _BY_DAY
+            # Tables by day are computed from the touched days of their inputs, others from all.
+            inputs = [frames[i] if by_day or i not in whole else whole[i] for i in model.inputs]
+            df = model.build(*inputs)
+            report.outcomes += _contract(model, df)
+            if by_day:
+                changed = _Days(_BY_DAY[model.name], touched, grain)
+                rows = _replace_days(layers, model, df, changed, partitioned)
+                whole[model.name] = _stored(layers, model, df.columns)
+                frames[model.name] = whole[model.name].filter(changed.touched)
+            else:
+                frames[model.name], rows = _store(layers, model, df, None)
+            outcomes = _check(model.name, frames[model.name])
+            report.outcomes += outcomes
+            report.rows[model.name] = rows
+            if on_failure == "skip" and any(o.failures for o in outcomes):
+                log.warning("%s failed its checks: dependents skipped", model.name)
+                failed.add(model.name)
+        advance_history(layers, aircraft, run_at)
+    finally:
+        _record(layers, report, run_at)
+    return report
+
+
+class _Days:
+    """Rows of the touched days, by a column with their time."""
+
+    def __init__(self, column: str, touched: Sequence[str | None], grain: str) -> None:
+        day = F.col(column).cast("date")
+        period = day if grain == "day" else F.trunc(day, grain)
+        listed = [date.fromisoformat(t) for t in touched if t is not None]
+        # Flights without a time have a raw partition, but are in no model.
+        self.touched = F.coalesce(period.isin(*listed), F.lit(False))
+
+
+def _replace_days(
+    layers: Layers, model: Model, df: DataFrame, days: _Days, partitioned: bool
+) -> int:
+    if model.name in CONTRACTS:
+        df = quality.enforce_contract(df, CONTRACTS[model.name], model.name)
+    if partitioned and model.partition_by:
+        return layers.replace_partitions(model.schema, model.name, _placed(model, df), model.partition_by)
+    kept = layers.table(model.schema, model.name).filter(~days.touched)
+    return layers.save_table(model.schema, model.name, kept.unionByName(df))
+
+
+def _placed(model: Model, df: DataFrame) -> DataFrame:
+    """With the partition column, which a model may not have among its own."""
+    if model.partition_by in df.columns:
+        return df
+    return df.withColumn(model.partition_by, F.col(_BY_DAY[model.name]).cast("date"))
+
+
+def _stored(layers: Layers, model: Model, columns: Sequence[str]) -> DataFrame:
+    return layers.table(model.schema, model.name).select(*columns)
+
+
+def _differ(new: DataFrame, old: DataFrame) -> bool:
+    """Whether two tables with unique rows differ, by counting each row of both."""
+    sides = new.withColumn("side", F.lit(1)).unionByName(old.withColumn("side", F.lit(-1)))
+    balance = sides.groupBy(*new.columns).agg(F.sum("side").alias("n"))
+    return not balance.filter(F.col("n") != 0).isEmpty()
+
+
 def _freshness(raw: DataFrame, run_at: datetime) -> Outcome:
     found = quality.freshness(raw, LOAD_ID, run_at).first()
     late = 0 if found["status"] == "pass" else 1
@@ -235,8 +348,9 @@ def _store(
 ) -> tuple[DataFrame, int]:
     if model.name in CONTRACTS:
         df = quality.enforce_contract(df, CONTRACTS[model.name], model.name)
-    rows = layers.save_table(model.schema, model.name, df, partition_by)
-    return layers.table(model.schema, model.name), rows
+    placed = _placed(model, df) if partition_by else df
+    rows = layers.save_table(model.schema, model.name, placed, partition_by)
+    return _stored(layers, model, df.columns), rows
 
 
 def _check(model: str, df: DataFrame) -> list[Outcome]:

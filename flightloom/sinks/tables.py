@@ -122,8 +122,8 @@ class Layers:
         keys: Sequence[str],
         recency: str,
         partition_by: str,
-    ) -> None:
-        """Upsert a batch. Running it again with the same batch changes nothing.
+    ) -> list[str | None]:
+        """Upsert a batch and return the partitions it touched, as text. Running it again with the same batch changes nothing.
 
         The partition column must follow from the key, so a key never moves; only
         partitions that the batch touches are listed, read and written. The batch is
@@ -133,7 +133,8 @@ class Layers:
         self.recover(schema, model)
         if not self.exists(schema, model):
             self.save_table(schema, model, latest_per_key(batch, keys, recency), partition_by)
-            return
+            named = files.folders(self.spark, self.location(schema, model))
+            return [files.partition_value(f) for f in named if f.startswith(f"{partition_by}=")]
         declared = self._schema(schema, model)
         _refuse_unknown(batch, declared, self.name(schema, model))
         place = scratch_dir(self.spark, f"batch-{model}")
@@ -147,6 +148,7 @@ class Layers:
         merged = merge_rows(existing, staged, keys, recency)
         self.replace_partitions(schema, model, merged, partition_by)
         files.remove(self.spark, place)
+        return values
 
     def partitions(
         self, schema: str, model: str, partition_by: str, values: Iterable[str | None]
@@ -166,9 +168,11 @@ class Layers:
         df: DataFrame,
         partition_by: str,
         cleared: Sequence[str] = (),
-    ) -> None:
+    ) -> int:
         """Replace the partitions found in the frame, which may read the table itself.
 
+        Returns the number of rows written.
+
         ``cleared`` names partitions that go even if the frame has no row of them. The new
         partitions are first written to a folder aside. Once that is complete it gets the
         name that settles the outcome: its files are then moved in, partition by
@@ -176,19 +180,21 @@ class Layers:
         """
         self.recover(schema, model)
         if not self.exists(schema, model):
-            self.save_table(schema, model, df, partition_by)
-            return
+            return self.save_table(schema, model, df, partition_by)
         declared = self._schema(schema, model)
         _refuse_unknown(df, declared, self.name(schema, model))
         root = self.location(schema, model)
         build = f"{root}__build_{uuid.uuid4().hex[:8]}"
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in declared.fields])
+        written = Observation()
         gathered = typed.hint("rebalance", F.col(partition_by))
-        gathered.write.partitionBy(partition_by).parquet(build)
+        counted = gathered.observe(written, F.count(F.lit(1)).alias("rows"))
+        counted.write.partitionBy(partition_by).parquet(build)
         for value in cleared:
             files.make(self.spark, f"{build}/{partition_by}={value}")
         files.move(self.spark, build, f"{root}__pending")
         self.finish_replacement(schema, model)
+        return written.get["rows"]
 
     def finish_replacement(self, schema: str, model: str) -> None:
         """Move in pending partitions, if there are any."""

@@ -176,3 +176,29 @@ def test_run_takes_its_scope_from_the_airports(layers, spark, inputs):
     kept = layers.table("raw", "flights")
     code = F.when(F.col("flight_type") == "arrival", F.col("est_arrival_airport")).otherwise(F.col("est_departure_airport"))
     assert kept.filter(code != "LFPG").isEmpty()
+
+
+@pytest.mark.parametrize("partitioned", [True, False])
+def test_updates_by_day_equal_a_whole_build(layers, spark, inputs, partitioned):
+    airports, days = default_airports(spark), [date(2024, 1, 1), date(2024, 1, 2)]
+    pipeline.reload_aircraft(layers, inputs[1])
+    pipeline.ingest(layers, inputs[0], days[:1], "100")
+    pipeline.build(layers, airports, ts("2024-01-02"), partitioned=partitioned)
+    touched = pipeline.ingest(layers, inputs[0], days[1:], "200")
+    # A record of the day before came late.
+    assert sorted(touched) == ["2024-01-01", "2024-01-02"]
+    report = pipeline.update(layers, airports, ts("2024-01-03"), touched, partitioned=partitioned)
+    assert report.skipped == []
+    after = {m.name: rows(layers.table(m.schema, m.name)) for m in MODELS}
+    pipeline.build(layers, airports, ts("2024-01-04"), partitioned=partitioned)
+    assert after == {m.name: rows(layers.table(m.schema, m.name)) for m in MODELS}
+
+
+def test_a_changed_aircraft_rebuilds_the_fact(layers, spark, inputs):
+    load(layers, inputs)
+    airports = default_airports(spark)
+    pipeline.build(layers, airports, ts("2024-01-03"))
+    changed = layers.table("raw", "aircraft").withColumn("operator", F.lit("Other"))
+    layers.save_table("raw", "aircraft", changed)
+    pipeline.update(layers, airports, ts("2024-01-04"), [])
+    assert rows(layers.table("marts", "fct_flights").filter("operator IS NOT NULL").select("operator").distinct()) == [("Other",)]
