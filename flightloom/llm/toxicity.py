@@ -9,8 +9,8 @@ in common with known words.
 Softmax and means are linear, so a trained model is one number per n-gram bucket: a word's
 score is the mean over its n-grams, a text's the mean over all its words. Every word counts.
 
-Training reads a bounded sample: at most ``PER_CLASS`` labelled texts of either class, those
-with the smallest hashes of their text. Scoring reads all texts.
+Training reads a bounded sample: of either class about ``PER_CLASS`` labelled texts (each by its
+own hash, so a few more or less), or all if there are fewer. Scoring reads all texts.
 
 Defined results: a text without words (null, empty) gets the score of the bias alone. Without
 labels of both classes every score is the share of toxic labels (0 without labels). Several
@@ -25,13 +25,13 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flightloom.llm.common import fold, join_counted
 
 THRESHOLD = 0.7
-#: The bound of the labelled sample, texts per class.
+#: The bound of the labelled sample: the expected number of texts per class.
 PER_CLASS = 3000
 BUCKETS = 1 << 20
 DIMENSIONS = 2
@@ -158,25 +158,24 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of the bounded training sample."""
+    """Texts and labels of the bounded training sample; labels other than 0 and 1 don't count."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
-    keyed = docs.where(F.col("text").isNotNull()).select("doc_id", F.xxhash64("text").alias("h"))
-    smallest = Window.partitionBy("toxic").orderBy("h", "doc_id")
-    # Ranks are limited in every task before the shuffle by class.
-    chosen = (
-        keyed.join(known, "doc_id")
-        .withColumn("r", F.row_number().over(smallest))
-        .where(F.col("r") <= per_class)
-        .select("doc_id", "toxic")
-        .distinct()
-    )
-    rows = join_counted(docs.select("doc_id", "text"), chosen, ["doc_id"]).where(F.col("text").isNotNull())
-    found = sorted((r["text"], r["toxic"]) for r in rows.select("text", "toxic").limit(4 * per_class).collect())
-    return [t for t, _ in found], np.array([int(y == 1) for _, y in found])
+    keyed = docs.where(F.col("text").isNotNull()).select("doc_id").distinct()
+    labelled = keyed.join(known, "doc_id")
+    sizes = {r["toxic"]: r["count"] for r in labelled.where("toxic IN (0, 1)").groupBy("toxic").count().collect()}
+    # Each task takes its part by itself: ids whose hash is below the share that is wanted.
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(2**32)) / F.lit(float(2**32))
+    share = F.lit(0.0)
+    for value, n in sizes.items():
+        share = F.when(F.col("toxic") == value, per_class / n).otherwise(share)
+    chosen = labelled.where(place < share)
+    rows = join_counted(docs.select("doc_id", "text"), chosen, ["doc_id"]).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    found = sorted((r["text"], r["toxic"]) for r in rows.collect())
+    return [t for t, _ in found], np.array([y for _, y in found], np.int64)
 
 
 def scorer(weights: np.ndarray, bias: float):
