@@ -172,6 +172,13 @@ def _contexts(found: DataFrame) -> DataFrame:
     )
 
 
+def _disclosure(texts: int, n_term: str) -> Column:
+    """PMI over IC, from columns n_both, n_id and a count of the term."""
+    pmi = F.log2(F.col("n_both") * F.lit(float(texts)) / (F.col("n_id") * F.greatest(n_term, "n_both")))
+    content = F.log2(F.lit(float(texts)) / F.col("n_id"))
+    return F.when(content > 0, pmi / content).otherwise(F.lit(0.0))
+
+
 def disclosures(docs: DataFrame, contexts: DataFrame, texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """entity, term, disclosure for the pairs that reach ``least``."""
     # A context counts in one text only, and a text once, however often it repeats itself.
@@ -180,7 +187,18 @@ def disclosures(docs: DataFrame, contexts: DataFrame, texts: int, support: int =
     together = (
         owners.select("entity", "term", "owner").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
     )
-    often = stored(together.where(F.col("n_both") >= support), "pii-pairs")
+    per_context = contexts.groupBy("entity", "context").agg(F.min("text_hash").alias("owner"))
+    per_entity = per_context.select("entity", "owner").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_id"))
+    # Texts where a context holds the term are some of those that do: a bound on n(term), and
+    # so on the disclosure. Common words fall under it before the corpus is searched for them.
+    near = held.select("term", "text_hash").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    reached = (
+        together.where(F.col("n_both") >= support)
+        .join(per_entity, "entity")
+        .join(near, "term")
+        .where(_disclosure(texts, "n_near") >= least)
+    )
+    often = stored(reached.select("entity", "term", "n_both", "n_id"), "pii-pairs")
     terms = stored(often.select("term").distinct(), "pii-terms")
     n_terms = terms.count()
     if n_terms == 0:
@@ -195,14 +213,10 @@ def disclosures(docs: DataFrame, contexts: DataFrame, texts: int, support: int =
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n_term"))
     )
-    per_context = contexts.groupBy("entity", "context").agg(F.min("text_hash").alias("owner"))
-    per_entity = per_context.select("entity", "owner").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_id"))
-    both = join_counted(often.join(per_entity, "entity"), stored(in_texts, "pii-term-texts"), ["term"], rows=n_terms)
-    pmi = F.log2(F.col("n_both") * F.lit(float(texts)) / (F.col("n_id") * F.greatest("n_term", "n_both")))
-    content = F.log2(F.lit(float(texts)) / F.col("n_id"))
-    return both.select(
-        "entity", "term", F.when(content > 0, pmi / content).otherwise(F.lit(0.0)).alias("disclosure")
-    ).where(F.col("disclosure") >= least)
+    both = join_counted(often, stored(in_texts, "pii-term-texts"), ["term"], rows=n_terms)
+    return both.select("entity", "term", _disclosure(texts, "n_term").alias("disclosure")).where(
+        F.col("disclosure") >= least
+    )
 
 
 def find(docs: DataFrame) -> DataFrame:
