@@ -32,13 +32,17 @@ from flightloom.llm.common import fold, join_counted
 
 THRESHOLD = 0.7
 #: The bound of the labelled sample: the expected number of texts per class.
-PER_CLASS = 3000
-BUCKETS = 1 << 20
+PER_CLASS = 2500
+#: Characters of a sampled text that training reads.
+SAMPLE_CHARS = 50_000
+BUCKETS = 1 << 19
 DIMENSIONS = 2
 #: Lengths of the n-grams.
 GRAMS = (3, 4, 5)
 #: Words that fewer sampled texts hold do not enter training (their n-grams still score).
 LEAST_TEXTS = 2
+#: Log-odds where nothing is labelled.
+NO_LABELS = -50.0
 SCALE = 30.0
 #: Words of the parts in which clean texts enter training.
 PART = 24
@@ -103,14 +107,16 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
     # A sparse matrix as triples: text, word, share of the text's words.
     text_of = np.repeat(np.arange(len(toxic)), np.array([h.shape[1] for h in held_by], np.int64))
     word_of, times = np.concatenate([*held_by, np.zeros((2, 0), np.int32)], axis=1)
+    del held_by
     weight = times / np.bincount(text_of, times, len(toxic))[text_of]
     known = np.bincount(word_of, minlength=len(place)) >= LEAST_TEXTS
     kept = known[word_of]
     text_of, word_of, weight = text_of[kept], (np.cumsum(known) - 1)[word_of[kept]], weight[kept]
     vocabulary = [w for w, k in zip(place, known, strict=True) if k]
+    del place
     share = float(np.clip(toxic.mean(), 1e-3, 1 - 1e-3)) if len(toxic) else 0.0
     if not len(toxic) or toxic.min() == toxic.max() or not vocabulary:
-        return np.zeros(BUCKETS), float(np.log(share / (1 - share))) if share else -50.0
+        return np.zeros(BUCKETS), float(np.log(share / (1 - share))) if share else NO_LABELS
     grams, counts = subwords(vocabulary)
     gram_word = np.repeat(np.arange(len(vocabulary)), counts)
     gram_weight = 1.0 / np.maximum(counts, 1)[gram_word]
@@ -157,8 +163,8 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
     return SCALE * (direction @ params["embedding"]), float(params["bias"][1] - params["bias"][0])
 
 
-def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tuple[list[str], np.ndarray]:
-    """Texts and labels of the bounded training sample; labels other than 0 and 1 don't count."""
+def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
+    """doc_id, toxic, text of the bounded training sample; labels other than 0 and 1 don't count."""
     known = (
         labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -173,9 +179,14 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> tu
     for value, n in sizes.items():
         share = F.when(F.col("toxic") == value, per_class / n).otherwise(share)
     chosen = labelled.where(place < share)
-    rows = join_counted(docs.select("doc_id", "text"), chosen, ["doc_id"]).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    found = sorted((r["text"], r["toxic"]) for r in rows.collect())
-    return [t for t, _ in found], np.array([y for _, y in found], np.int64)
+    rows = join_counted(docs.select("doc_id", "text"), chosen, ["doc_id"])
+    return rows.groupBy("doc_id", "toxic").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+
+
+def _fit(_: tuple, rows: pa.Table) -> pa.Table:
+    found = sorted(zip(rows["text"].to_pylist(), rows["toxic"].to_pylist(), strict=True))
+    weights, bias = train([t for t, _ in found], np.array([y for _, y in found], np.int64))
+    return pa.table({"weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary()), "bias": [bias]})
 
 
 def scorer(weights: np.ndarray, bias: float):
@@ -226,11 +237,17 @@ def _assessed(texts: pa.Array, assess) -> np.ndarray:
 
 
 def learned(docs: DataFrame, labels: DataFrame, train_on: int) -> Broadcast:
-    """The trained model, of fixed size, for tasks."""
+    """The trained model, of fixed size, for tasks; trained in one of them."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     train_rows = rows.where(fold(F.col("doc_id"), train_on) != 1)
-    texts, toxic = sample(train_rows, labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"))
-    return docs.sparkSession.sparkContext.broadcast(train(texts, toxic))
+    some = sample(train_rows, labels.select(F.col("doc_id").cast("long").alias("doc_id"), "toxic"))
+    # The sample is bounded, so one task holds it; the driver sees the model alone.
+    fitted = some.groupBy(F.lit(0).alias("all")).applyInArrow(_fit, "weights binary, bias double").collect()
+    if fitted:
+        model = np.frombuffer(fitted[0]["weights"], np.float32), fitted[0]["bias"]
+    else:
+        model = np.zeros(BUCKETS, np.float32), NO_LABELS
+    return docs.sparkSession.sparkContext.broadcast(model)
 
 
 def score(docs: DataFrame, labels: DataFrame, train_on: int = 3, threshold: float = THRESHOLD) -> DataFrame:
