@@ -40,6 +40,8 @@ CONTEXT = 160
 SUPPORT = 3
 GENERALISE = 0.6
 REMOVE = 0.8
+#: One text in so many is searched for terms before all are.
+FIRST_PART = 16
 #: Shorter words are no terms.
 TERM = r"\p{L}{4,}"
 
@@ -199,24 +201,29 @@ def disclosures(docs: DataFrame, contexts: DataFrame, texts: int, support: int =
         .where(_disclosure(texts, "n_near") >= least)
     )
     often = stored(reached.select("entity", "term", "n_both", "n_id"), "pii-pairs")
-    terms = stored(often.select("term").distinct(), "pii-terms")
-    n_terms = terms.count()
-    if n_terms == 0:
-        return often.select("entity", "term", F.lit(0.0).alias("disclosure")).limit(0)
     words = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
-    everywhere = docs.where(F.col("text").isNotNull()).select(
-        F.xxhash64("text").alias("text_hash"), F.explode(words).alias("term")
-    )
-    in_texts = (
-        join_counted(everywhere, terms, ["term"], rows=n_terms)
-        .distinct()
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_term"))
-    )
-    both = join_counted(often, stored(in_texts, "pii-term-texts"), ["term"], rows=n_terms)
-    return both.select("entity", "term", _disclosure(texts, "n_term").alias("disclosure")).where(
-        F.col("disclosure") >= least
-    )
+    everywhere = docs.where(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+
+    def texts_with(terms: DataFrame, rows: DataFrame, n_terms: int) -> DataFrame:
+        held_in = rows.select("text_hash", F.explode(words).alias("term"))
+        met = join_counted(held_in, terms, ["term"], rows=n_terms).distinct()
+        return stored(met.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-term-texts")
+
+    # So do the texts of any part of the corpus: a small part settles most terms, and only the
+    # others are counted in all texts.
+    part = everywhere.where(F.pmod("text_hash", F.lit(FIRST_PART)) == 0)
+    for rows in (part, everywhere):
+        terms = stored(often.select("term").distinct(), "pii-terms")
+        n_terms = terms.count()
+        if n_terms == 0:
+            return often.select("entity", "term", F.lit(0.0).alias("disclosure")).limit(0)
+        counted = join_counted(often, texts_with(terms, rows, n_terms), ["term"], "left", n_terms)
+        bounded = counted.withColumn("n_term", F.coalesce("n_term", F.lit(0)))
+        kept = bounded.withColumn("disclosure", _disclosure(texts, "n_term")).where(F.col("disclosure") >= least)
+        often = stored(kept.drop("n_term"), "pii-pairs")
+        if rows is part:
+            often = often.drop("disclosure")
+    return often.select("entity", "term", "disclosure")
 
 
 def find(docs: DataFrame) -> DataFrame:
