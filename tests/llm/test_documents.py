@@ -336,6 +336,21 @@ def test_repeated_passages(spark, odd_docs, no_docs, documents):
         assert all(x["end"] < y["start"] for x, y in zip(r["spans"], r["spans"][1:]))
 
 
+def test_strips_at_the_edges_of_a_common_passage_spread(spark, documents, tmp_path, monkeypatch):
+    passage = "".join(chr(97 + (i * i) % 23) for i in range(120))
+    rows = [(i, f"{i * 7919 % 1000:>60}{passage}{i * 104729 % 1000:<60}") for i in range(300)]
+    rows += [(400 + i, f"{'ab' * 30}{i % 3}{passage[:90]}") for i in range(30)]
+    rows += [(i, r["text"]) for i, r in enumerate(documents[:40], 500)] * 2
+    monkeypatch.setattr(substrings, "HOT", 20, raising=False)
+    monkeypatch.setattr(substrings, "WINDOWS", 500, raising=False)
+    monkeypatch.setattr(substrings, "scratch_dir", lambda spark, label: str(tmp_path / "repeats"))
+    found = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4))
+    got = [(r["doc_id"], r["n_bytes"], bytes(r["kept"])) for r in found.collect()]
+    assert sorted(got, key=repr) == without_repeats(rows)
+    # No shard holds the strips of all the documents that have the passage.
+    assert max(len(np.load(f)) for f in (tmp_path / "repeats").glob("strip-*.npy")) < 300
+
+
 # --- language model ----------------------------------------------------------------
 
 
