@@ -3,17 +3,18 @@
 Identifiers (e-mail, IP address, payment card, phone) are found by pattern, leftmost and
 non-overlapping per kind; a match that fails its check is dropped and not tried again.
 
-Other words can give an identifier away. How strongly is estimated from the corpus: an
-identifier's contexts are the characters around its occurrences; a term's disclosure of
-it is their pointwise mutual information over the information content of the identifier,
+Other words can give an identifier away. How strongly is estimated from the corpus: a term's
+disclosure of an identifier is their pointwise mutual information over the information content
+of the identifier,
 
     PMI = log2(n(id, term) * D / (n(id) * n(term)))      IC = log2(D / n(id))
 
-with D different texts, n(id) those with a context of the identifier, n(id, term) those where
-such a context holds the term, n(term) those that hold the term anywhere. A context that several
-texts share counts in one of them. 0 says nothing, 1 gives it away. Terms in contexts that reach
-``REMOVE`` are removed there, from ``GENERALISE`` on they are replaced by a general word. At least
-``SUPPORT`` texts must agree, so a passage that is copied or repeated proves nothing.
+with D different texts, n(id) those that hold the identifier, n(id, term) those that hold both,
+n(term) those that hold the term, at any distance. Texts that have the identifier only in contexts
+(the characters around it) of another text count as that one. 0 says nothing, 1 gives it away.
+Terms that reach ``REMOVE`` are removed wherever they stand in texts that hold the identifier,
+from ``GENERALISE`` on they are replaced by a general word; texts without the identifier keep
+them. At least ``SUPPORT`` texts must agree, so a copied passage with the identifier proves nothing.
 
 Defined results: null text is empty and has no spans. Offsets count code points, ends are
 exclusive. Repeated rows give a row each and count once as evidence. A term that overlaps an
@@ -142,36 +143,36 @@ def identifiers(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(found: DataFrame) -> DataFrame:
-    """doc_id, text_hash, entity, context, terms: (start, end, value) around each identifier.
+    """text_hash, entity, context: a hash of the characters around each identifier."""
+    own = found.where(F.size("spans") > 0).select("text_hash", "text", F.explode("spans").alias("s"))
+    begin = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
+    around = F.substring("text", begin + 1, F.col("s.end") - begin + CONTEXT)
+    return own.select("text_hash", F.col("s.entity").alias("entity"), F.xxhash64(around).alias("context"))
+
+
+def _holders(contexts: DataFrame, support: int) -> DataFrame:
+    """text_hash, entity, n_id, counts_as for the identifiers that ``support`` texts have.
 
-    Context is a hash of the characters around, so that copies of a passage are one context.
+    A text counts as itself if one of its contexts is not in a text with a smaller hash.
     """
-    own = found.where(F.size("spans") > 0).select(
-        "doc_id", "text_hash", "text", "spans", F.explode("spans").alias("s")
-    )
-    begin = F.greatest(F.col("s.start") - CONTEXT, F.lit(0))
-    around = own.withColumn("begin", begin).withColumn(
-        "around", F.substring("text", F.col("begin") + 1, F.col("s.end") - F.col("begin") + CONTEXT)
-    )
-    # A word that the cut may have shortened is left out.
-    inside = F.length("around")
-    whole = F.filter(
-        located(F.col("around"), TERM, lambda v: F.lit(True)),
-        lambda w: ((w["start"] > 0) | (F.col("begin") == 0))
-        & ((w["end"] < inside) | (F.col("begin") + inside == F.length("text")))
-        & ~_overlaps(F.col("spans"), F.col("begin") + w["start"], F.col("begin") + w["end"]),
-    )
-    terms = F.transform(
-        whole,
-        lambda w: F.struct(
-            (F.col("begin") + w["start"]).alias("start"),
-            (F.col("begin") + w["end"]).alias("end"),
-            F.lower(w["value"]).alias("term"),
-        ),
-    )
-    return around.select(
-        "doc_id", "text_hash", F.col("s.entity").alias("entity"), F.xxhash64("around").alias("context"), terms.alias("terms")
-    )
+    owners = stored(contexts.groupBy("entity", "context").agg(F.min("text_hash").alias("owner")), "pii-owners")
+    per_entity = owners.select("entity", "owner").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_id"))
+    often = stored(per_entity.where(F.col("n_id") >= support), "pii-entities")
+    owned = stored(join_counted(owners, often, ["entity"]), "pii-owned")
+    own = F.max(F.col("owner") == F.col("text_hash"))
+    held = join_counted(contexts, owned, ["entity", "context"]).groupBy("text_hash", "entity", "n_id")
+    return held.agg(F.when(own, F.col("text_hash")).otherwise(F.min("owner")).alias("counts_as"))
+
+
+def _terms(text: Column) -> Column:
+    """The different terms of a text. Of the identifiers, only e-mail addresses have letters."""
+    # A word that runs into an address overlaps it: the address leaves its first and last character.
+    head, begin, rest = _EMAIL.partition(r"|\G)")
+    ends = f"{head}{begin}(?=(.)){rest}(?<=(.))"
+    marked = F.regexp_replace(F.translate(text, "\x01", " "), ends, "$1\x01$2")
+    apart = F.regexp_replace(marked, r"(?<!\p{L})\p{L}*+\x01\p{L}*+", " ")
+    plain = F.when(F.contains(text, F.lit("@")), apart).otherwise(text)
+    return F.array_distinct(F.transform(F.regexp_extract_all(plain, F.lit(TERM), F.lit(0)), F.lower))
 
 
 def _disclosure(texts: int, n_term: str) -> Column:
@@ -181,28 +182,32 @@ def _disclosure(texts: int, n_term: str) -> Column:
     return F.when(content > 0, pmi / content).otherwise(F.lit(0.0))
 
 
-def disclosures(docs: DataFrame, contexts: DataFrame, texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
+def disclosures(docs: DataFrame, holders: DataFrame, texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """entity, term, disclosure for the pairs that reach ``least``."""
-    # A context counts in one text only, and a text once, however often it repeats itself.
-    held = contexts.select("entity", "context", "text_hash", F.explode("terms.term").alias("term"))
-    owners = held.groupBy("entity", "context", "term").agg(F.min("text_hash").alias("owner"))
-    together = (
-        owners.select("entity", "term", "owner").distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    )
-    per_context = contexts.groupBy("entity", "context").agg(F.min("text_hash").alias("owner"))
-    per_entity = per_context.select("entity", "owner").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_id"))
-    # Texts where a context holds the term are some of those that do: a bound on n(term), and
-    # so on the disclosure. Common words fall under it before the corpus is searched for them.
-    near = held.select("term", "text_hash").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_near"))
+    most = holders.agg(F.max("n_id")).first()[0]
+    if most is None:
+        return holders.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("disclosure")).limit(0)
+    everywhere = docs.where(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
+    some = stored(holders.select("text_hash").distinct(), "pii-holding")
+    holding = join_counted(everywhere.select("text_hash", "text"), some, ["text_hash"], "left_semi")
+    held = stored(holding.select("text_hash", F.explode(_terms(F.col("text"))).alias("term")).distinct(), "pii-held")
+    # Texts that hold an identifier and the term are some of those that hold it: a bound on
+    # n(term), and so on the disclosure, even if all texts with the identifier had the term.
+    # Common words fall under it before pairs are made or the corpus is searched for them.
+    near = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_near")).where(F.col("n_near") >= support)
+    near = near.withColumn("n_id", F.lit(most)).withColumn("n_both", F.lit(most))
+    near = stored(near.where(_disclosure(texts, "n_near") >= least).select("term", "n_near"), "pii-near")
+    pairs = join_counted(join_counted(held, near, ["term"]), holders, ["text_hash"]).withColumn("n_both", F.col("n_id"))
+    possible = pairs.where(_disclosure(texts, "n_near") >= least)
     reached = (
-        together.where(F.col("n_both") >= support)
-        .join(per_entity, "entity")
-        .join(near, "term")
-        .where(_disclosure(texts, "n_near") >= least)
+        possible.select("entity", "term", "n_id", "n_near", "counts_as")
+        .distinct()
+        .groupBy("entity", "term", "n_id", "n_near")
+        .agg(F.count(F.lit(1)).alias("n_both"))
+        .where((F.col("n_both") >= support) & (_disclosure(texts, "n_near") >= least))
     )
     often = stored(reached.select("entity", "term", "n_both", "n_id"), "pii-pairs")
     words = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
-    everywhere = docs.where(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
 
     def texts_with(terms: DataFrame, rows: DataFrame, n_terms: int) -> DataFrame:
         held_in = rows.select("text_hash", F.explode(words).alias("term"))
@@ -235,23 +240,30 @@ def find(docs: DataFrame) -> DataFrame:
     )
     contexts = stored(_contexts(found), "pii-contexts")
     texts = compact.select("text_hash").distinct().count()
-    told = stored(disclosures(docs, contexts, texts), "pii-disclosures")
-    placed = contexts.select("doc_id", "text_hash", "entity", F.explode("terms").alias("t")).select(
-        "doc_id", "text_hash", "entity", "t.start", "t.end", "t.term"
+    holders = stored(_holders(contexts, SUPPORT), "pii-holders")
+    told = stored(disclosures(docs, holders, texts), "pii-disclosures")
+    # Whatever identifier of a text it is that a term discloses most.
+    per_text = join_counted(holders, told, ["entity"]).groupBy("text_hash", "term").agg(F.max("disclosure").alias("d"))
+    wanted = stored(
+        per_text.groupBy("text_hash").agg(F.map_from_entries(F.collect_list(F.struct("term", "d"))).alias("wanted")),
+        "pii-wanted",
     )
-    terms = join_counted(placed, told, ["entity", "term"])
-    per_document = (
-        terms.groupBy(nullable_key(F.col("doc_id")).alias("k"), "text_hash", "start", "end")
-        .agg(F.max("disclosure").alias("disclosure"))
-        .groupBy("k", "text_hash")
-        .agg(
-            F.collect_list(
-                F.struct(
-                    "start", F.lit(KINDS.index("term")).alias("kind"), "end", (F.col("disclosure") >= REMOVE).alias("removed")
-                )
-            ).alias("terms")
-        )
+    n_wanted = wanted.agg(F.coalesce(F.sum(1 + F.size("wanted")), F.lit(0))).first()[0]
+    rows = docs.where(F.col("text").isNotNull()).select(
+        nullable_key(F.col("doc_id").cast("long")).alias("k"), F.xxhash64("text").alias("text_hash"), "text"
+    )
+    placed = join_counted(rows, wanted, ["text_hash"], rows=n_wanted).dropDuplicates(["k", "text_hash"])
+    met = located(F.col("text"), TERM, lambda v: F.map_contains_key("wanted", F.lower(v)))
+    terms = F.transform(
+        met,
+        lambda t: F.struct(
+            t["start"].alias("start"),
+            F.lit(KINDS.index("term")).alias("kind"),
+            t["end"].alias("end"),
+            (F.element_at("wanted", F.lower(t["value"])) >= REMOVE).alias("removed"),
+        ),
     )
+    per_document = placed.select("k", "text_hash", terms.alias("terms"))
     base = F.transform(
         "base",
         lambda s: F.struct(
@@ -259,7 +271,8 @@ def find(docs: DataFrame) -> DataFrame:
         ),
     )
     keyed = compact.withColumn("k", nullable_key(F.col("doc_id")))
-    spans = F.when(F.col("terms").isNull(), base).otherwise(F.sort_array(F.concat(base, "terms")))
+    apart = F.filter("terms", lambda t: ~_overlaps(F.col("base"), t["start"], t["end"]))
+    spans = F.when(F.col("terms").isNull(), base).otherwise(F.sort_array(F.concat(base, apart)))
     return keyed.join(per_document, ["k", "text_hash"], "left").select("doc_id", "text_hash", spans.alias("spans"))
 
 

@@ -287,6 +287,22 @@ def test_a_term_that_gives_an_identifier_away_goes(spark):
     assert cleaned[10] == texts[10]
 
 
+def test_a_term_far_from_its_identifier_counts_and_goes(spark):
+    filler = ["".join(chr(97 + (i * 7 + j * 11) % 26) for j in range(9)) for i in range(60)]
+    far = " ".join(["of it"] * 60)
+    texts = [f"Zorblax {filler[i]} {far} wrote {filler[i + 8]} zor@blax.org today, Zorblax" if i % 2 else
+             f"zor@blax.org {filler[i]} {far} Zorblax {filler[i + 8]}" for i in range(6)]
+    texts += [f"{filler[i]} and {filler[(i * 3) % 60]} wrote {i} today" for i in range(60)]
+    texts += ["Zorblax without an address"]
+    got = {r["doc_id"]: r["spans"] for r in pii.find(frame(spark, texts)).collect()}
+    for i in range(6):
+        terms = [texts[i][s["start"] : s["end"]] for s in got[i] if s["kind"] == 4]
+        assert terms == ["Zorblax"] * (1 + i % 2), i
+    cleaned = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, texts)).collect()}
+    assert all("Zorblax" not in cleaned[i] and "[EMAIL]" in cleaned[i] for i in range(6))
+    assert cleaned[len(texts) - 1] == texts[-1]
+
+
 def test_personal_data_of_odd_rows(spark, odd_docs, no_docs):
     assert len(pii.find(odd_docs).collect()) == 10
     assert pii.find(no_docs).collect() == []
