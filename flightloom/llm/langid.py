@@ -22,17 +22,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.llm.common import fold, join_counted
+from flightloom.llm.common import fold, join_counted, stored
 
 UNKNOWN = "und"
-#: The bound of the labelled sample: texts looked at, and characters learned, per language.
-SAMPLE_TEXTS = 40
+#: The bound of the labelled sample: characters learned per language.
 SAMPLE_CHARS = 20_000
-#: Characters of one text that may enter the sample, so that no text fills it alone.
+#: Characters of one text that may enter the sample, so that no text fills it alone. They begin
+#: at a place that the text's hash chooses.
 SAMPLE_SHARE = 2_000
+#: The sample is drawn from so many times its characters.
+MARGIN = 4
 PIECE = 512
 _BATCH_CHARS = 4_000_000
 
@@ -40,26 +42,38 @@ _LETTER = re.compile(r"[^\W\d_]")
 _NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
-def samples(docs: DataFrame, texts: int = SAMPLE_TEXTS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
-    """Text per language, from rows with a lang; chosen by the smallest hashes of their text."""
-    labelled = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0))
-    hashed = labelled.select("lang", F.xxhash64("text").alias("h"))
-    smallest = Window.partitionBy("lang").orderBy("h")
-    # The limit by rank is applied in every task before the shuffle.
-    chosen = hashed.withColumn("r", F.row_number().over(smallest)).where(F.col("r") <= texts)
-    chosen = chosen.select("lang", "h").distinct()
-    pieces = join_counted(
-        labelled.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_SHARE).alias("t")),
-        chosen,
-        ["lang", "h"],
-        "left_semi",
-    )
-    found: dict[str, str] = {}
+def samples(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str]:
+    """Text per language, from rows with a lang: the different texts of smallest hash, until
+    they have ``chars`` characters or there are no more."""
+    labelled = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0)).withColumn("h", F.xxhash64("text"))
+    begin = F.pmod("h", F.greatest(F.length("text") - SAMPLE_SHARE, F.lit(0)) + 1).cast("int")
+    pieces = labelled.select("lang", "h", F.substring("text", begin + 1, F.lit(SAMPLE_SHARE)).alias("t"))
+    size = F.length(F.trim(F.regexp_replace("t", r"[^\p{L}]+", " ")))
     # Copies of a text have one hash and count once.
-    rows = pieces.groupBy("lang", "h").agg(F.min("t").alias("t")).collect()
-    for row in sorted(rows, key=lambda r: (r["lang"], r["h"])):
-        have = found.get(row["lang"], "")
-        found[row["lang"]] = (have + " " + _NO_LETTERS.sub(" ", row["t"].lower()))[:chars]
+    texts = stored(pieces.select("lang", "h", size.alias("size")).where(F.col("size") > 0).distinct(), "langid-texts")
+    totals = stored(texts.groupBy("lang").agg(F.sum("size").alias("total")), "langid-totals")
+    place = F.col("h").cast("double") / float(2**64) + 0.5
+    margin = MARGIN
+    while True:
+        # Each task takes its part by itself: hashes below the share that is wanted.
+        near = join_counted(texts, totals, ["lang"]).where(place * F.col("total") <= margin * chars)
+        rows = sorted((r["lang"], r["h"], r["size"], r["total"]) for r in near.collect())
+        have: dict[str, int] = {}
+        chosen = []
+        for lang, h, n, _ in rows:
+            if have.setdefault(lang, 0) < chars:
+                have[lang] += n + 1
+                chosen.append((lang, h))
+        short = [r["lang"] for r in totals.collect() if have.get(r["lang"], 0) < chars and r["total"] > margin * chars]
+        if not short:
+            break
+        margin *= MARGIN
+    wanted = docs.sparkSession.createDataFrame(chosen, "lang string, h long")
+    taken = join_counted(pieces, wanted, ["lang", "h"], "left_semi", len(chosen))
+    found: dict[str, str] = {}
+    for row in sorted(taken.distinct().collect(), key=lambda r: (r["lang"], r["h"])):
+        text = (found.get(row["lang"], "") + " " + _NO_LETTERS.sub(" ", row["t"].lower()))[:chars]
+        found[row["lang"]] = text
     return {lang: text for lang, text in found.items() if _LETTER.search(text)}
 
 

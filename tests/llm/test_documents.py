@@ -58,6 +58,18 @@ def test_phrases_are_those_of_a_greedy_parse():
             assert count == n, (lang, text[:20])
 
 
+def test_copies_and_beginnings_do_not_fill_the_language_sample(spark):
+    copy = max(("the same words " + str(i) for i in range(100)), key=lambda t: -xxhash.xxh64(t, seed=42).intdigest() % 2**64)
+    rows = [(i, copy, "en") for i in range(200)]
+    head, tail = "boilerplate " * 200, "".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)} " for i in range(600))
+    rows += [(300 + i, f"number {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]} of the texts", "en") for i in range(100)]
+    rows += [(500 + i, f"{head}{tail * 3}{i}", "fr") for i in range(40)]
+    found = langid.samples(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    # Texts are short here, so all different ones fit.
+    assert found["en"].count("number") == 100 and found["en"].count("the same words") == 1
+    assert len(found["fr"]) == langid.SAMPLE_CHARS and found["fr"].count("boilerplate") < len(found["fr"]) / 24
+
+
 def test_language_of_odd_rows(odd_docs, no_docs):
     found = langid.identify(odd_docs).collect()
     assert len(found) == 10
