@@ -10,7 +10,7 @@ Softmax and means are linear, so a trained model is one number per n-gram bucket
 score is the mean over its n-grams, a text's the mean over all its words. Every word counts.
 
 Training reads a bounded sample: of either class about ``PER_CLASS`` labelled texts (each by its
-own hash, so a few more or less), or all if there are fewer. Scoring reads all texts.
+own hash, so a few more or less), or all if there are fewer, each text whole. Scoring reads all texts.
 
 Defined results: a text without words (null, empty) gets the score of the bias alone. Without
 labels of both classes every score is the share of toxic labels (0 without labels). Several
@@ -32,10 +32,8 @@ from flightloom.llm.common import fold, join_counted
 
 THRESHOLD = 0.7
 #: The bound of the labelled sample: the expected number of texts per class.
-PER_CLASS = 2500
-#: Characters of a sampled text that training reads.
-SAMPLE_CHARS = 50_000
-BUCKETS = 1 << 19
+PER_CLASS = 3000
+BUCKETS = 1 << 20
 DIMENSIONS = 2
 #: Lengths of the n-grams.
 GRAMS = (3, 4, 5)
@@ -180,7 +178,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
         share = F.when(F.col("toxic") == value, per_class / n).otherwise(share)
     chosen = labelled.where(place < share)
     rows = join_counted(docs.select("doc_id", "text"), chosen, ["doc_id"])
-    return rows.groupBy("doc_id", "toxic").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    return rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def _fit(_: tuple, rows: pa.Table) -> pa.Table:

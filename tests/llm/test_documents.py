@@ -221,6 +221,14 @@ def test_toxicity_knows_misspellings(spark):
     assert (predicted == truth.astype(bool)).mean() > 0.95
 
 
+def test_training_reads_whole_texts(spark):
+    clean = "plain words here " * 4_000
+    docs = spark.createDataFrame([(1, clean + "vile"), (2, clean + "fine")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int")
+    got = {r["toxic"]: r["text"] for r in toxicity.sample(docs, labels).collect()}
+    assert got == {1: clean + "vile", 0: clean + "fine"}
+
+
 def test_toxicity_of_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(2, 0, 0), (3, 1, 1), (3, 1, None), (None, 0, 1)], "doc_id long, quality int, toxic int")
     for given in (labels, labels.where("false")):
