@@ -318,6 +318,8 @@ def sanitise(docs: DataFrame) -> DataFrame:
     keyed = docs.withColumn(hashed, F.xxhash64(F.coalesce("text", F.lit("")))).withColumn(
         key, nullable_key(F.col("doc_id").cast("long"))
     )
-    joined = join_counted(keyed, wanted, [key, hashed], "left")
+    # A row has all spans of a document, so spans count towards the bound of the broadcast.
+    n_spans = wanted.agg(F.coalesce(F.sum(1 + F.size(spans)), F.lit(0))).first()[0]
+    joined = join_counted(keyed, wanted, [key, hashed], "left", n_spans)
     changed = F.when(F.col(spans).isNull(), F.col("text")).otherwise(masked(F.col("text"), F.col(spans)))
     return joined.withColumn("text", changed).select(*docs.columns)

@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from flightloom.llm import decontamination, langid, lm, mixing, pii, queries, simhash, substrings, toxicity
+from flightloom.llm import common, decontamination, langid, lm, mixing, pii, queries, simhash, substrings, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -323,6 +323,14 @@ def test_a_term_far_from_its_identifier_counts_and_goes(spark):
     assert cleaned[len(texts) - 1] == texts[-1]
 
 
+def test_long_lists_of_spans_are_not_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
+    docs = frame(spark, [" ".join(f"a{i}{j}@b.org" for j in range(20)) for i in range(3)])
+    cleaned = pii.sanitise(docs)
+    assert "broadcast" not in cleaned._jdf.queryExecution().analyzed().toString()
+    assert all(r["text"] == " ".join(["[EMAIL]"] * 20) for r in cleaned.collect())
+
+
 def test_personal_data_of_odd_rows(spark, odd_docs, no_docs):
     assert len(pii.find(odd_docs).collect()) == 10
     assert pii.find(no_docs).collect() == []
