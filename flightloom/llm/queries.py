@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flightloom.llm import chat, decontamination, langid, lm, mixing, pii, simhash, substrings, topk, toxicity
+from flightloom.llm import (
+    bpe,
+    chat,
+    decontamination,
+    langid,
+    lm,
+    mixing,
+    negatives,
+    pii,
+    ranked,
+    simhash,
+    substrings,
+    topk,
+    toxicity,
+)
 from flightloom.llm.common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -106,6 +120,32 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash(read(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return ranked.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), k=10)
+
+
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's token ids, and of what they decode to."""
+    import public_tokenizers
+
+    vocabulary = bpe.Vocabulary.read(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokens = bpe.encode(read(spark, sf_dir, "documents"), vocabulary)
+    return bpe.decode(tokens, vocabulary).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Negatives in the window of each of the five best positives of every hundredth vector."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.vectors(read(spark, sf_dir, "embeddings"), "vec_id", "embedding", label, 256.0)
+    return negatives.mine(rows, lambda vec_id: vec_id % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": op1_language_id,
     "op2_decontaminate": op2_decontaminate,
@@ -117,6 +157,9 @@ QUERIES: dict[str, Query] = {
     "op8_exact_topk": op8_exact_topk,
     "op9_lm_score": op9_lm_score,
     "op10_simhash": op10_simhash,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_byte_bpe": op12_byte_bpe,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _WORDS = r"""list_filter(regexp_extract_all(translate(coalesce(text, ''),
@@ -179,6 +222,53 @@ r AS (
   SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 20
+""",
+    "op11_ranked_search": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+s AS (SELECT count(*) AS big_n, CAST(sum(len(w)) AS BIGINT) AS total FROM d WHERE len(w) > 0),
+q AS (SELECT item_id, t, count(*) AS repeats
+      FROM (SELECT item_id, unnest(w) AS t
+            FROM (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL)) GROUP BY ALL),
+p AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY ALL),
+f AS (SELECT t, count(*) AS df FROM p WHERE t IN (SELECT t FROM q) GROUP BY t),
+weighed AS (SELECT t, CAST(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS weight FROM f, s),
+m AS (SELECT r, doc_id, 100 - 75 + (75 * len(w) * big_n) // total AS m FROM d, s WHERE len(w) > 0),
+scored AS (
+  SELECT item_id, r, doc_id,
+    CAST(sum(repeats * weight * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM q JOIN weighed USING (t) JOIN p USING (t) JOIN m USING (r) GROUP BY ALL
+),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+    "op13_hard_negatives": """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, c.r,
+    CAST(list_sum(list_transform(list_zip(a.e, c.e), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score, place FROM (
+    SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id, r) AS place FROM s WHERE same
+  ) WHERE place <= 5
+),
+n AS (
+  SELECT p.anchor_id, positive_id, positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor_id, place ORDER BY s.score DESC, s.vec_id, s.r) AS rank
+  FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT s.same
+    AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 10
 """,
 }
 
