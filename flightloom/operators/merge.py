@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from flightloom.operators.dedup import latest_per_key
 
@@ -20,3 +24,35 @@ def merge_rows(
     that the batch lacks are null.
     """
     return latest_per_key(existing.unionByName(batch, allowMissingColumns=True), keys, recency)
+
+
+def changes(batch: DataFrame, existing: DataFrame, keys: Sequence[str], recency: str) -> DataFrame:
+    """The batch, one row per key, with ``written`` and ``changed``: what each row does to the table.
+
+    A row changes the table if its key is new, or if it differs from the stored row outside
+    ``recency`` and is not less recent. It is also written if only its recency is higher. One
+    left join by key with the stored rows. Columns that the batch lacks count as null.
+    """
+    others = [c for c in existing.columns if c not in (*keys, recency)]
+    stored = existing.select(
+        F.struct(*keys).alias("__key"), F.struct(recency, *others).alias("__old")
+    )
+    mine, theirs = F.col(recency), F.col(f"__old.{recency}")
+    there = F.col("__old").isNotNull()
+    given = {c.lower() for c in batch.columns}
+    equal = [
+        F.col(f"__old.{c}").eqNullSafe(F.col(c) if c.lower() in given else F.lit(None)) for c in others
+    ]
+    same = reduce(and_, equal, F.lit(True))
+    matches = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__key.{k}")) for k in keys])
+    changed = ~there | (~same & ~_later(theirs, mine))
+    return batch.join(stored, matches, "left").select(
+        *batch.columns,
+        (changed | _later(mine, theirs)).alias("written"),
+        changed.alias("changed"),
+    )
+
+
+def _later(one: Column, other: Column) -> Column:
+    """Whether one recency is higher than another, null being the highest."""
+    return F.when(other.isNull(), F.lit(False)).otherwise(one.isNull() | (one > other))

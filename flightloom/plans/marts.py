@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from flightloom.functions import ascending, descending, hour_of, start_of
 from flightloom.operators.lookup import lookup
+from flightloom.operators.partials import ACTIVE_DAYS, DAY, FIRST_DAY, LAST_DAY, Partial
 
 
 def flights() -> Column:
@@ -54,16 +55,28 @@ def mart_airport_traffic(fct_flights: DataFrame, dim_airports: DataFrame) -> Dat
 def mart_route_popularity(fct_flights: DataFrame, dim_airports: DataFrame) -> DataFrame:
     """Departure by arrival airport, both known."""
     day = F.col("first_seen_at").cast("date")
-    known = fct_flights.filter(
-        F.col("est_departure_airport").isNotNull() & F.col("est_arrival_airport").isNotNull()
+    routes = _between_airports(fct_flights).groupBy(*ROUTE).agg(
+        flights().alias("flight_count"), F.min(day).alias(FIRST_DAY), F.max(day).alias(LAST_DAY)
     )
-    routes = known.groupBy(
-        F.col("est_departure_airport").alias("departure_icao"),
-        F.col("est_arrival_airport").alias("arrival_icao"),
-    ).agg(
-        flights().alias("flight_count"),
-        start_of("day", F.min(day)).alias("first_seen_date"),
-        start_of("day", F.max(day)).alias("last_seen_date"),
+    return named_routes(routes, dim_airports)
+
+
+ROUTE = ("departure_icao", "arrival_icao")
+
+
+def _between_airports(fct_flights: DataFrame) -> DataFrame:
+    return fct_flights.withColumnsRenamed(
+        {"est_departure_airport": "departure_icao", "est_arrival_airport": "arrival_icao"}
+    ).filter(F.col("departure_icao").isNotNull() & F.col("arrival_icao").isNotNull())
+
+
+def named_routes(routes: DataFrame, dim_airports: DataFrame) -> DataFrame:
+    """The table of routes from their counts and first and last days."""
+    routes = routes.select(
+        *ROUTE,
+        "flight_count",
+        start_of("day", F.col(FIRST_DAY)).alias("first_seen_date"),
+        start_of("day", F.col(LAST_DAY)).alias("last_seen_date"),
     )
     for role in ("departure", "arrival"):
         routes = lookup(
@@ -92,60 +105,94 @@ def mart_route_popularity(fct_flights: DataFrame, dim_airports: DataFrame) -> Da
 def mart_airline_reliability(fct_flights: DataFrame, dim_airlines: DataFrame) -> DataFrame:
     """Operator. Key and names come from the airline dimension."""
     per_operator = (
-        fct_flights.filter(F.col("operator_icao").isNotNull())
-        .groupBy(F.col("operator_icao").alias("operator"))
+        _operated(fct_flights)
+        .groupBy("operator_icao")
         .agg(
-            flights().alias("total_flights"),
-            events_of("departure").alias("total_departures"),
-            events_of("arrival").alias("total_arrivals"),
-            F.round(F.avg("flight_duration_minutes"), 1).alias("avg_flight_duration_minutes"),
-            F.countDistinct(F.col("first_seen_at").cast("date")).alias("active_days"),
+            *_named(_airline_measures()),
+            F.countDistinct(F.col("first_seen_at").cast("date")).alias(ACTIVE_DAYS),
         )
     )
+    return named_airlines(per_operator, dim_airlines)
+
+
+def _operated(fct_flights: DataFrame) -> DataFrame:
+    return fct_flights.filter(F.col("operator_icao").isNotNull())
+
+
+def _airline_measures() -> dict[str, Column]:
+    return {
+        "total_flights": flights(),
+        "total_departures": events_of("departure"),
+        "total_arrivals": events_of("arrival"),
+        **_duration_measures(),
+    }
+
+
+def _duration_measures() -> dict[str, Column]:
+    minutes = F.col("flight_duration_minutes")
+    return {"minutes": F.sum(minutes), "timed": F.count(minutes)}
+
+
+def _average_minutes() -> Column:
+    mean = F.try_divide(F.col("minutes").cast("double"), F.col("timed"))
+    return F.round(mean, 1).alias("avg_flight_duration_minutes")
+
+
+def _named(measures: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in measures.items()]
+
+
+def named_airlines(per_operator: DataFrame, dim_airlines: DataFrame) -> DataFrame:
+    """The table of airlines from their counts, minutes and active days."""
     airline = ("airline_id", "operator_icao", "operator_iata", "airline_name", "operator_callsign")
-    named = lookup(
-        per_operator, dim_airlines, ("operator", "operator_icao"), {c: c for c in airline}
-    )
-    return named.select(
-        *airline,
+    measured = per_operator.select(
+        F.col("operator_icao").alias("operator"),
         "total_flights",
         "total_departures",
         "total_arrivals",
-        "avg_flight_duration_minutes",
-        "active_days",
+        _average_minutes(),
+        ACTIVE_DAYS,
     )
+    named = lookup(measured, dim_airlines, ("operator", "operator_icao"), {c: c for c in airline})
+    return named.select(*airline, *measured.columns[1:])
 
 
 def mart_on_time_performance(fct_flights: DataFrame, dim_airlines: DataFrame) -> DataFrame:
     """Operator by route, from flights with both airports and a positive duration."""
+    per_route = _timed(fct_flights).groupBy(*AIRLINE_ROUTE).agg(*_named(_on_time_measures()))
+    return named_airline_routes(per_route, dim_airlines)
+
+
+AIRLINE_ROUTE = ("operator_icao", *ROUTE)
+
+
+def _timed(fct_flights: DataFrame) -> DataFrame:
+    return _operated(_between_airports(fct_flights)).filter(F.col("flight_duration_minutes") > 0)
+
+
+def _on_time_measures() -> dict[str, Column]:
     minutes = F.col("flight_duration_minutes")
-    usable = fct_flights.filter(
-        F.col("operator_icao").isNotNull()
-        & F.col("est_departure_airport").isNotNull()
-        & F.col("est_arrival_airport").isNotNull()
-        & (minutes > 0)
-    )
-    per_route = usable.groupBy(
-        F.col("operator_icao").alias("operator"),
-        F.col("est_departure_airport").alias("departure_icao"),
-        F.col("est_arrival_airport").alias("arrival_icao"),
-    ).agg(
-        flights().alias("flight_count"),
-        F.round(F.avg(minutes), 1).alias("avg_flight_duration_minutes"),
-        F.min(minutes).alias("min_flight_duration_minutes"),
-        F.max(minutes).alias("max_flight_duration_minutes"),
-    )
+    return {
+        "flight_count": flights(),
+        **_duration_measures(),
+        "min_flight_duration_minutes": F.min(minutes),
+        "max_flight_duration_minutes": F.max(minutes),
+    }
+
+
+def named_airline_routes(per_route: DataFrame, dim_airlines: DataFrame) -> DataFrame:
+    """The table of airlines by route from their counts and minutes."""
     airline = ("airline_id", "operator_icao", "operator_iata", "airline_name")
-    named = lookup(per_route, dim_airlines, ("operator", "operator_icao"), {c: c for c in airline})
-    return named.select(
-        *airline,
-        "departure_icao",
-        "arrival_icao",
+    measured = per_route.select(
+        F.col("operator_icao").alias("operator"),
+        *ROUTE,
         "flight_count",
-        "avg_flight_duration_minutes",
+        _average_minutes(),
         "min_flight_duration_minutes",
         "max_flight_duration_minutes",
     )
+    named = lookup(measured, dim_airlines, ("operator", "operator_icao"), {c: c for c in airline})
+    return named.select(*airline, *measured.columns[1:])
 
 
 def mart_traffic_patterns(fct_flights: DataFrame, dim_airports: DataFrame) -> DataFrame:
@@ -179,6 +226,46 @@ def mart_traffic_patterns(fct_flights: DataFrame, dim_airports: DataFrame) -> Da
     )
 
 
+def _on_its_day(rows: DataFrame) -> DataFrame:
+    return rows.withColumn(DAY, F.col("first_seen_at").cast("date"))
+
+
+# The tables over all days, as aggregates whose states are kept by day and month.
+ROUTES = Partial(
+    "routes",
+    ROUTE,
+    lambda fact: _on_its_day(_between_airports(fact)),
+    lambda: {"flight_count": flights()},
+    {"flight_count": "sum"},
+)
+AIRLINES = Partial(
+    "airlines",
+    ("operator_icao",),
+    lambda fact: _on_its_day(_operated(fact)),
+    _airline_measures,
+    dict.fromkeys(("total_flights", "total_departures", "total_arrivals", "minutes", "timed"), "sum"),
+)
+AIRLINE_ROUTES = Partial(
+    "airline_routes",
+    AIRLINE_ROUTE,
+    lambda fact: _on_its_day(_timed(fact)),
+    _on_time_measures,
+    {
+        **dict.fromkeys(("flight_count", "minutes", "timed"), "sum"),
+        "min_flight_duration_minutes": "min",
+        "max_flight_duration_minutes": "max",
+    },
+)
+# Which aircraft flew on which days: what a changed aircraft changes in the fact.
+AIRCRAFT_DAYS = Partial(
+    "aircraft",
+    ("icao24",),
+    _on_its_day,
+    lambda: {"events": flights()},
+    {"events": "sum"},
+)
+
+
 # Reading order of each table: columns descending, then ascending down to its key.
 REPORT_ORDER = {
     "mart_airport_traffic": ((), ("traffic_date", "airport_icao")),

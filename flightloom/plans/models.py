@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from flightloom.operators.partials import Partial
 from flightloom.plans import marts, staging, star
 
 
@@ -20,6 +21,11 @@ class Model:
     build: Callable[..., DataFrame]
     view: bool = False
     partition_by: str | None = None
+    # Tables over all days: the states they are merged from, and how these become the table.
+    partial: Partial | None = None
+    finish: Callable[..., DataFrame] | None = None
+    # States kept of the model's own rows.
+    index: Partial | None = None
 
 
 MODELS = (
@@ -40,6 +46,7 @@ MODELS = (
         ("stg_flights", "stg_aircraft"),
         star.fct_flights,
         partition_by="flight_date",
+        index=marts.AIRCRAFT_DAYS,
     ),
     Model(
         "mart_airport_traffic",
@@ -52,18 +59,24 @@ MODELS = (
         "marts",
         ("fct_flights", "dim_airports"),
         marts.mart_route_popularity,
+        partial=marts.ROUTES,
+        finish=marts.named_routes,
     ),
     Model(
         "mart_airline_reliability",
         "marts",
         ("fct_flights", "dim_airlines"),
         marts.mart_airline_reliability,
+        partial=marts.AIRLINES,
+        finish=marts.named_airlines,
     ),
     Model(
         "mart_on_time_performance",
         "marts",
         ("fct_flights", "dim_airlines"),
         marts.mart_on_time_performance,
+        partial=marts.AIRLINE_ROUTES,
+        finish=marts.named_airline_routes,
     ),
     Model(
         "mart_traffic_patterns",

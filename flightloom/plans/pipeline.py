@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from datetime import date, datetime, timezone
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flightloom.operators import history, quality
+from flightloom.operators import history, partials, quality
 from flightloom.operators.lookup import within
+from flightloom.operators.partials import Partial
 from flightloom.plans.checks import CHECKS
-from flightloom.plans.models import MODELS, Model
+from flightloom.plans.ledger import Ledger
+from flightloom.plans.marts import AIRCRAFT_DAYS
+from flightloom.plans.models import MODEL, MODELS, Model
 from flightloom.plans.staging import indexed_airport, stg_aircraft
-from flightloom.plans.star import AIRCRAFT_HISTORY
+from flightloom.plans.star import AIRCRAFT_HISTORY, dim_airports
 from flightloom.schemas import CONTRACTS, FLIGHT_KEY, LOAD_ID
+from flightloom.session import scratch_dir
 from flightloom.sinks.tables import Layers
 from flightloom.sources import landing
 from flightloom.sources.reference import read_aircraft
@@ -49,7 +53,9 @@ def prepare_flights(landed: DataFrame, load_id: str, grain: str = "day") -> Data
 
 
 def merge_flights(layers: Layers, rows: DataFrame) -> list[str | None]:
-    return layers.merge("raw", "flights", rows, FLIGHT_KEY, LOAD_ID, SEEN_ON)
+    """Merge prepared rows; the ledger has the days that change before they do."""
+    note = Ledger(layers).open
+    return layers.merge("raw", "flights", rows, FLIGHT_KEY, LOAD_ID, SEEN_ON, announce=note)
 
 
 def ingest(
@@ -62,7 +68,8 @@ def ingest(
 ) -> list[str | None]:
     """Load the given days; again or out of order makes no difference.
 
-    Returns the partitions of raw flights that changed.
+    Returns the partitions of raw flights that changed; they are open in the ledger until
+    ``update`` or ``build`` has brought them into the models.
 
     The usual call names yesterday, a backfill names any past days. A slice that is
     missing is logged and skipped. With ``scope`` only events indexed at those airports
@@ -87,7 +94,7 @@ def run(
     now: datetime,
     scope: Sequence[str] | None = None,
 ) -> Report:
-    """The daily job at ``now``: load yesterday, UTC, then build what follows from it.
+    """The daily job at ``now``: load yesterday, UTC, then build what follows from all open days.
 
     Events are loaded for the airports of the dimension, or for those in ``scope``.
     """
@@ -95,8 +102,8 @@ def run(
     if scope is None:
         scope = sorted(row[0] for row in airports.select("icao_code").distinct().collect())
     load_id = str(int(moment.timestamp()))
-    touched = ingest(layers, base, [landing.yesterday(moment)], load_id, scope=scope)
-    return update(layers, airports, moment.replace(tzinfo=None), touched)
+    ingest(layers, base, [landing.yesterday(moment)], load_id, scope=scope)
+    return update(layers, airports, moment.replace(tzinfo=None))
 
 
 def read_history(layers: Layers) -> DataFrame:
@@ -170,7 +177,8 @@ def build(
     with few rows would not fill. Staging models are stored as tables: their checks and
     the fact read them, and as views each would deduplicate the raw table again. Up to
     ``at_once`` models that do not depend on each other are built side by side, each as
-    soon as its inputs are there.
+    soon as its inputs are there. All open days are then closed in the ledger, for models
+    that passed.
     """
     if on_failure not in ("skip", "record"):
         raise ValueError(on_failure)
@@ -180,16 +188,26 @@ def build(
         "airports": airports,
     }
     report = Report()
+    ledger = Ledger(layers)
+    # Before anything is read: days that are opened from now on stay open.
+    mark = ledger.mark()
 
     def make(model: Model) -> tuple[DataFrame, int, list[Outcome]]:
-        df = model.build(*[frames[i] for i in model.inputs])
+        inputs = [frames[i] for i in model.inputs]
+        if model.partial is None:
+            df = model.build(*inputs)
+        else:
+            _build_states(layers, model.partial, inputs[0], partitioned)
+            df = _from_states(layers, model, inputs[1:])
         outcomes = _contract(model, df)
         if any(o.failures for o in outcomes):
             report.outcomes += outcomes
         stored, rows = _store(layers, model, df, model.partition_by if partitioned else None)
+        if model.index is not None:
+            _build_states(layers, model.index, stored, partitioned)
         return stored, rows, [*outcomes, *_check(model.name, stored)]
 
-    report.outcomes.append(_freshness(frames["raw_flights"], run_at))
+    report.outcomes.append(_freshness(layers, run_at))
     waiting = list(MODELS)
     try:
         with ThreadPoolExecutor(at_once) as pool:
@@ -211,6 +229,7 @@ def build(
                     else:
                         frames[model.name] = stored
         report.skipped = [m.name for m in waiting]
+        ledger.close_all([name for name in FOLLOWING if name in frames], mark)
         if "stg_aircraft" in frames:
             advance_history(layers, frames["stg_aircraft"], run_at)
         else:
@@ -228,37 +247,47 @@ _BY_DAY = {
     "mart_traffic_patterns": "traffic_date",
 }
 
+# Models that the ledger follows, and those that show attributes of the aircraft.
+FOLLOWING = (*_BY_DAY, *(m.name for m in MODELS if m.partial is not None))
+SHOWING_AIRCRAFT = ("fct_flights", "mart_airline_reliability", "mart_on_time_performance")
+
+# Tables of an aggregate's states, by day and by month.
+STATES = "staging"
+
 
 def update(
     layers: Layers,
     airports: DataFrame,
     run_at: datetime,
-    touched: Sequence[str | None],
+    touched: Sequence[str | None] = (),
     grain: str = "day",
     on_failure: str = "skip",
     partitioned: bool = True,
 ) -> Report:
-    """Bring all models up to date with the partitions of raw flights that changed.
-
-    The tables are those of ``build`` over everything. A flight's key determines its day,
-    so days that were not touched stay as they are: staging, fact and the two daily tables
-    replace the touched ones, checks look at these, and only tables over all days read
-    the whole fact. The fact shows the current operator of each aircraft, so a change of
-    aircraft, as a table that is not there yet, asks for the whole build. ``grain`` is that
-    of the raw partitions.
+    """Bring all models up to date with the days that are open in the ledger.
+
+    The tables are those of ``build`` over everything. A flight's key determines its day, so
+    days that are not open stay as they are: staging, fact and the two daily tables
+    replace the open ones, checks look at these, and tables over all days are merged from
+    states of which only those of open days are computed again. The fact shows the current
+    operator of each aircraft: for aircraft that changed, an index gives the days they flew
+    on, which are opened for what shows it. A day is closed for a model that has stored it and passed
+    its checks, so days that failed, or that a crash left out, come again with the next
+    run. Tables that are not there yet and a change of the airports ask for the whole build.
+    ``touched`` names further days; ``grain`` is that of the raw partitions.
     """
+    ledger = Ledger(layers)
     aircraft = stg_aircraft(layers.table("raw", "aircraft"))
-    there = all(layers.exists(m.schema, m.name) for m in MODELS)
-    if not there or _differ(aircraft, layers.table("staging", "stg_aircraft")):
+    if not _all_there(layers) or _differ(dim_airports(airports), layers.table("marts", "dim_airports")):
         return build(layers, airports, run_at, on_failure, partitioned)
-    report = Report()
-    report.outcomes.append(_freshness(layers.table("raw", "flights"), run_at))
-    frames = {
-        "raw_flights": layers.partitions("raw", "flights", SEEN_ON, touched),
-        "raw_aircraft": layers.table("raw", "aircraft"),
-        "airports": airports,
+    _open_days_of_aircraft(layers, ledger, aircraft, grain)
+    days = {
+        name: {**dict.fromkeys(touched, 0), **opened}
+        for name, opened in ledger.open_days(FOLLOWING).items()
     }
-    whole: dict[str, DataFrame] = {}
+    report = Report()
+    report.outcomes.append(_freshness(layers, run_at))
+    frames = {"raw_aircraft": layers.table("raw", "aircraft"), "airports": airports}
     failed: set[str] = set()
     try:
         for model in MODELS:
@@ -266,39 +295,136 @@ def update(
                 failed.add(model.name)
                 report.skipped.append(model.name)
                 continue
-            by_day = model.name in _BY_DAY
-            # Tables by day are computed from the touched days of their inputs, others from all.
-            inputs = [frames[i] if by_day or i not in whole else whole[i] for i in model.inputs]
-            df = model.build(*inputs)
+            own = days.get(model.name, {})
+            changed = _Days(own, grain)
+            inputs = [
+                _input_days(layers, i, changed) if i in _BY_DAY or i == "raw_flights" else frames[i]
+                for i in model.inputs
+            ]
+            if model.partial is None:
+                df = model.build(*inputs)
+            else:
+                _replace_states(layers, model.partial, inputs[0], changed, partitioned)
+                df = _from_states(layers, model, inputs[1:])
             report.outcomes += _contract(model, df)
-            if by_day:
-                changed = _Days(_BY_DAY[model.name], touched, grain)
-                rows = _replace_days(layers, model, df, changed, partitioned)
-                whole[model.name] = _stored(layers, model, df.columns)
-                frames[model.name] = whole[model.name].filter(changed.touched)
+            if model.name not in _BY_DAY:
+                stored, rows = _store(layers, model, df, None)
+                frames[model.name] = stored
             else:
-                frames[model.name], rows = _store(layers, model, df, None)
-            outcomes = _check(model.name, frames[model.name])
+                rows = _replace_days(layers, model, df, changed, partitioned)
+                stored = _input_days(layers, model.name, changed)
+                if model.index is not None:
+                    _replace_states(layers, model.index, stored, changed, partitioned)
+            outcomes = _check(model.name, stored)
             report.outcomes += outcomes
             report.rows[model.name] = rows
             if on_failure == "skip" and any(o.failures for o in outcomes):
                 log.warning("%s failed its checks: dependents skipped", model.name)
                 failed.add(model.name)
-        advance_history(layers, aircraft, run_at)
+            else:
+                ledger.close(model.name, {day: mark for day, mark in own.items() if mark})
+        if "stg_aircraft" in failed:
+            report.skipped.append("aircraft_snapshot")
+        else:
+            advance_history(layers, aircraft, run_at)
+        ledger.settle(FOLLOWING)
     finally:
         _record(layers, report, run_at)
     return report
 
 
+def _all_there(layers: Layers) -> bool:
+    states = [p for m in MODELS for p in (m.partial, m.index) if p is not None]
+    names = [(m.schema, m.name) for m in MODELS]
+    names += [(STATES, name) for p in states for name in (by_day(p), by_month(p))]
+    return all(layers.exists(*name) for name in names)
+
+
+def by_day(partial: Partial) -> str:
+    return f"{partial.name}_by_day"
+
+
+def by_month(partial: Partial) -> str:
+    return f"{partial.name}_by_month"
+
+
+def _build_states(layers: Layers, partial: Partial, rows: DataFrame, partitioned: bool) -> None:
+    place = partials.MONTH if partitioned else None
+    layers.save_table(STATES, by_day(partial), partial.by_day(rows), place)
+    daily = layers.table(STATES, by_day(partial))
+    layers.save_table(STATES, by_month(partial), partial.by_month(daily), place)
+
+
+def _replace_states(
+    layers: Layers, partial: Partial, rows: DataFrame, changed: _Days, partitioned: bool
+) -> None:
+    """States of the changed days anew, from their rows, and of the months they are in."""
+    if not changed.listed:
+        return
+    touched, fresh = changed.holds(partials.DAY), partial.by_day(rows)
+    if not partitioned:
+        kept = layers.table(STATES, by_day(partial)).filter(~touched)
+        layers.save_table(STATES, by_day(partial), kept.unionByName(fresh))
+        daily = layers.table(STATES, by_day(partial))
+        layers.save_table(STATES, by_month(partial), partial.by_month(daily))
+        return
+    months = partials.months_of(changed.listed, changed.grain)
+
+    def replace(name: str, df: DataFrame) -> None:
+        # Months that have lost all their rows go as well.
+        layers.replace_partitions(STATES, name, df, partials.MONTH, cleared=months)
+
+    kept = layers.partitions(STATES, by_day(partial), partials.MONTH, months).filter(~touched)
+    replace(by_day(partial), kept.unionByName(fresh))
+    daily = layers.partitions(STATES, by_day(partial), partials.MONTH, months)
+    replace(by_month(partial), partial.by_month(daily))
+
+
+def _from_states(layers: Layers, model: Model, dimensions: Sequence[DataFrame]) -> DataFrame:
+    months = layers.table(STATES, by_month(model.partial))
+    return model.finish(model.partial.total(months), *dimensions)
+
+
+def _open_days_of_aircraft(layers: Layers, ledger: Ledger, aircraft: DataFrame, grain: str) -> None:
+    """Open the days on which aircraft flew whose attributes have changed.
+
+    This comes before the aircraft are stored: once they are, the change no longer shows.
+    """
+    place = scratch_dir(layers.spark, "changed-aircraft")
+    _unequal(aircraft, layers.table("staging", "stg_aircraft")).select("icao24").distinct().write.parquet(place)
+    keys = layers.spark.read.parquet(place)
+    if keys.isEmpty():
+        return
+    months = layers.table(STATES, by_month(AIRCRAFT_DAYS)).join(keys, "icao24", "left_semi")
+    period = F.col(partials.DAY) if grain == "day" else F.trunc(partials.DAY, grain)
+    found = partials.days_of(months).select(period.cast("string")).distinct().collect()
+    if found:
+        ledger.open([row[0] for row in found], models=SHOWING_AIRCRAFT)
+
+
 class _Days:
-    """Rows of the touched days, by a column with their time."""
+    """Some days (or the periods of raw partitions) and the condition that a row is of them."""
 
-    def __init__(self, column: str, touched: Sequence[str | None], grain: str) -> None:
-        day = F.col(column).cast("date")
-        period = day if grain == "day" else F.trunc(day, grain)
-        listed = [date.fromisoformat(t) for t in touched if t is not None]
+    def __init__(self, days: Iterable[str | None], grain: str) -> None:
+        self.all = list(days)
         # Flights without a time have a raw partition, but are in no model.
-        self.touched = F.coalesce(period.isin(*listed), F.lit(False))
+        self.listed = sorted(date.fromisoformat(d) for d in self.all if d is not None)
+        self.grain = grain
+
+    def holds(self, column: str) -> Column:
+        day = F.col(column).cast("date")
+        period = day if self.grain == "day" else F.trunc(day, self.grain)
+        return F.coalesce(period.isin(*self.listed), F.lit(False))
+
+
+def _input_days(layers: Layers, name: str, days: _Days) -> DataFrame:
+    """Rows of a table of the given days, by its partitions if it has them."""
+    if name == "raw_flights":
+        return layers.partitions("raw", "flights", SEEN_ON, days.all)
+    model = MODEL[name]
+    table = layers.table(model.schema, name)
+    column = model.partition_by if model.partition_by in table.columns else _BY_DAY[name]
+    return table.filter(days.holds(column)).select(*[c for c in table.columns if c != SEEN_ON])
 
 
 def _replace_days(
@@ -306,9 +432,11 @@ def _replace_days(
 ) -> int:
     if model.name in CONTRACTS:
         df = quality.enforce_contract(df, CONTRACTS[model.name], model.name)
+    if not days.listed:
+        return 0
     if partitioned and model.partition_by:
         return layers.replace_partitions(model.schema, model.name, _placed(model, df), model.partition_by)
-    kept = layers.table(model.schema, model.name).filter(~days.touched)
+    kept = layers.table(model.schema, model.name).filter(~days.holds(_BY_DAY[model.name]))
     return layers.save_table(model.schema, model.name, kept.unionByName(df))
 
 
@@ -324,13 +452,21 @@ def _stored(layers: Layers, model: Model, columns: Sequence[str]) -> DataFrame:
 
 
 def _differ(new: DataFrame, old: DataFrame) -> bool:
-    """Whether two tables with unique rows differ, by counting each row of both."""
+    """Whether two tables with unique rows differ."""
+    return not _unequal(new, old).isEmpty()
+
+
+def _unequal(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Rows that one of two tables with unique rows has and the other lacks."""
     sides = new.withColumn("side", F.lit(1)).unionByName(old.withColumn("side", F.lit(-1)))
     balance = sides.groupBy(*new.columns).agg(F.sum("side").alias("n"))
-    return not balance.filter(F.col("n") != 0).isEmpty()
+    return balance.filter(F.col("n") != 0).drop("n")
 
 
-def _freshness(raw: DataFrame, run_at: datetime) -> Outcome:
+def _freshness(layers: Layers, run_at: datetime) -> Outcome:
+    """From the ledger, where merges note their loads; the raw table is scanned only if none did."""
+    loads = Ledger(layers).loads(LOAD_ID)
+    raw = layers.table("raw", "flights") if loads is None else loads
     found = quality.freshness(raw, LOAD_ID, run_at).first()
     late = 0 if found["status"] == "pass" else 1
     return Outcome("raw_flights", LOAD_ID, "freshness", late, found["status"])

@@ -9,7 +9,7 @@ was cut short. A task or executor that is lost is simply rerun.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from copy import copy
 from threading import Lock
 
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from flightloom import files
 from flightloom.operators.dedup import latest_per_key
-from flightloom.operators.merge import merge_rows
+from flightloom.operators.merge import changes, merge_rows
 from flightloom.session import scratch_dir, session_conf
 
 SCHEMAS = ("raw", "staging", "marts", "snapshots", "quality")
@@ -122,33 +122,57 @@ class Layers:
         keys: Sequence[str],
         recency: str,
         partition_by: str,
+        announce: Callable[[list[str | None], str | None], None] | None = None,
     ) -> list[str | None]:
-        """Upsert a batch and return the partitions it touched, as text. Running it again with the same batch changes nothing.
+        """Upsert a batch and return the partitions whose content it changes, as text.
 
         The partition column must follow from the key, so a key never moves; only
-        partitions that the batch touches are listed, read and written. The batch is
+        partitions that the batch touches are listed and read, and only those in which a row
+        is new, changed or more recent are written. A row that differs from the stored one
+        by its recency alone is written, but changes nothing that models see. The batch is
         computed once, into the shared folder. A batch may lack columns of the table
         (they are null); columns that the table lacks are refused.
+
+        ``announce`` is told the changed partitions and the highest recency before the table
+        changes (for a new table, which nothing is built on yet, after it is there).
         """
         self.recover(schema, model)
         if not self.exists(schema, model):
             self.save_table(schema, model, latest_per_key(batch, keys, recency), partition_by)
             named = files.folders(self.spark, self.location(schema, model))
-            return [files.partition_value(f) for f in named if f.startswith(f"{partition_by}=")]
+            values = [files.partition_value(f) for f in named if f.startswith(f"{partition_by}=")]
+            if announce:
+                newest = self.table(schema, model).agg(F.max(recency)).first()[0]
+                announce(values, newest)
+            return values
         declared = self._schema(schema, model)
         _refuse_unknown(batch, declared, self.name(schema, model))
         place = scratch_dir(self.spark, f"batch-{model}")
-        batch.write.parquet(place)
+        latest_per_key(batch, keys, recency).write.parquet(place)
         staged = self.spark.read.schema(batch.schema).parquet(place)
-        touched = staged.select(F.col(partition_by).cast("string")).distinct()
-        values = [row[0] for row in touched.limit(MOST_PARTITIONS + 1).collect()]
+        part = F.col(partition_by).cast("string")
+        values = [row[0] for row in staged.select(part).distinct().limit(MOST_PARTITIONS + 1).collect()]
         if len(values) > MOST_PARTITIONS:
             raise ValueError(f"{partition_by}: a batch of more than {MOST_PARTITIONS} partitions")
-        existing = self.partitions(schema, model, partition_by, values)
-        merged = merge_rows(existing, staged, keys, recency)
-        self.replace_partitions(schema, model, merged, partition_by)
+        news = changes(
+            staged, self.partitions(schema, model, partition_by, values), keys, recency
+        ).groupBy(part.alias("part")).agg(
+            F.bool_or("written").alias("written"), F.bool_or("changed").alias("changed"), F.max(recency).alias("newest")
+        )
+        found = news.where("written").collect()
+        changed = [row["part"] for row in found if row["changed"]]
+        if found:
+            if announce:
+                announce(changed, max((r["newest"] for r in found if r["newest"] is not None), default=None))
+            written = [row["part"] for row in found]
+            if len(written) < len(values):
+                known = F.coalesce(part, F.lit(files.NULL_PARTITION))
+                staged = staged.filter(known.isin(*[files.NULL_PARTITION if w is None else w for w in written]))
+            existing = self.partitions(schema, model, partition_by, written)
+            merged = merge_rows(existing, staged, keys, recency)
+            self.replace_partitions(schema, model, merged, partition_by)
         files.remove(self.spark, place)
-        return values
+        return changed
 
     def partitions(
         self, schema: str, model: str, partition_by: str, values: Iterable[str | None]
