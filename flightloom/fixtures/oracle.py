@@ -555,6 +555,8 @@ ORDER BY flight_count DESC, departure_country NULLS LAST, arrival_country NULLS
     # daily job
     "pipeline_idempotent": """SELECT count(*) AS rows_first, count(*) AS rows_second,
   CAST(0 AS bigint) AS rows_differing FROM landed_once""",
+    "agg_distinct_merged": """SELECT operator_icao, count(DISTINCT CAST(first_seen_at AS date)) AS active_days
+FROM fct_flights WHERE operator_icao IS NOT NULL GROUP BY operator_icao""",
 }
 
 # The column checks, as (model, column, kind).
@@ -608,6 +610,7 @@ def _daily_job() -> dict[str, str]:
         "pipeline_build": _counts(stored),
         "pipeline_incremental": f"""SELECT model, CAST(n_rows AS bigint) AS n_rows,
   CAST(0 AS bigint) AS rows_differing, false AS skipped FROM ({_counts(stored)})""",
+        "pipeline_resumed": "FROM mart_airline_reliability",
         "dq_results": f"""SELECT *, if(failures > 0, 'fail', 'pass') AS status,
   CAST(NULL AS bigint) AS rows_written FROM ({outcomes} UNION ALL {contracts})
 UNION ALL SELECT 'raw_flights', '_dlt_load_id', 'freshness', 0, 'pass', NULL
@@ -619,7 +622,9 @@ def statements() -> dict[str, str]:
     inputs = _inputs()
     prefix = _with(inputs, _models("raw_flights", "raw_aircraft"), _history())
     daily = _with(inputs, _models("landed_once", "aircraft_file"))
+    renewed = _with(inputs, _models("landed_once", "raw_aircraft_v2"))
     return {
+        "fact_changed_aircraft": renewed + "FROM fct_flights",
         **{name: prefix + text for name, text in _STATEMENTS.items()},
         **{name: daily + text for name, text in _daily_job().items()},
     }

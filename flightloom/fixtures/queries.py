@@ -1170,3 +1170,48 @@ def pipeline_incremental(ws: Workspace) -> DataFrame:
             )
         )
     return _stack(compared)
+
+
+@query
+def pipeline_resumed(ws: Workspace) -> DataFrame:
+    """A table over all days after a run that ended between load and update.
+
+    Later months are loaded and nothing is built on them; the next run loads the last ones
+    and a part of the first again, and its update finds all that is open in the ledger.
+    """
+    layers, days = ws.new_layers("resumed"), sorted(ws.landed_days())
+    pipeline.reload_aircraft(layers, ws.aircraft_file)
+    airports, run_at = ws.table("airports"), datetime(1999, 1, 1)
+    settings = {"on_failure": "record", "partitioned": False}
+    pipeline.ingest(layers, ws.landing, days[:-4], "1700000000", grain="month")
+    pipeline.build(layers, airports, run_at, **settings)
+    pipeline.ingest(layers, ws.landing, days[-4:-2], "1700000000", grain="month")
+    pipeline.ingest(layers, ws.landing, [*days[:3], *days[-2:]], "1700000000", grain="month")
+    pipeline.update(layers, airports, run_at, grain="month", **settings)
+    return layers.table("marts", "mart_airline_reliability")
+
+
+@query
+def fact_changed_aircraft(ws: Workspace) -> DataFrame:
+    """The fact after another aircraft file: only days on which changed aircraft flew are written."""
+    layers = ws.new_layers("changed")
+    airports, run_at = ws.table("airports"), datetime(1999, 1, 1)
+    settings = {"on_failure": "record", "partitioned": False}
+    pipeline.ingest(layers, ws.landing, ws.landed_days(), "1700000000", grain="month")
+    layers.save_table("raw", "aircraft", ws.table("raw_aircraft"))
+    pipeline.build(layers, airports, run_at, **settings)
+    layers.save_table("raw", "aircraft", ws.table("raw_aircraft_v2"))
+    pipeline.update(layers, airports, datetime(1999, 1, 2), grain="month", **settings)
+    return layers.table("marts", "fct_flights")
+
+
+@query
+def agg_distinct_merged(ws: Workspace) -> DataFrame:
+    """Active days of each airline, from bitmaps kept apart for arrivals and departures."""
+    fact = ws.table("fct_flights")
+    halves = [
+        marts.AIRLINES.by_month(marts.AIRLINES.by_day(fact.filter(F.col("flight_type") == kind)))
+        for kind in FLIGHT_TYPES
+    ]
+    merged = marts.AIRLINES.total(marts.AIRLINES.united(halves[0].unionByName(halves[1])))
+    return merged.select("operator_icao", "active_days")

@@ -51,8 +51,15 @@ class Ledger:
         # A load that changes no day is still the newest load.
         self._append(rows or [(COUNTED, EVERY, _NO_DAY, mark, load_id)])
 
-    def close(self, model: str, days: Mapping[str | None, int]) -> None:
-        self._append([(CLOSED, model, _NO_DAY if d is None else d, mark, None) for d, mark in days.items()])
+    def close(self, days: Mapping[str, Mapping[str | None, int]]) -> None:
+        """Days of each model, with the number of the opening that is done."""
+        self._append(
+            [
+                (CLOSED, model, _NO_DAY if day is None else day, mark, None)
+                for model, done in days.items()
+                for day, mark in done.items()
+            ]
+        )
 
     def close_all(self, models: Iterable[str], mark: int) -> None:
         """All days, as far as they were opened up to the given number."""

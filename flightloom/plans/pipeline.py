@@ -289,6 +289,7 @@ def update(
     report.outcomes.append(_freshness(layers, run_at))
     frames = {"raw_aircraft": layers.table("raw", "aircraft"), "airports": airports}
     failed: set[str] = set()
+    closed: dict[str, dict[str | None, int]] = {}
     try:
         for model in MODELS:
             if failed & set(model.inputs):
@@ -322,14 +323,15 @@ def update(
                 log.warning("%s failed its checks: dependents skipped", model.name)
                 failed.add(model.name)
             else:
-                ledger.close(model.name, {day: mark for day, mark in own.items() if mark})
+                closed[model.name] = {day: mark for day, mark in own.items() if mark}
         if "stg_aircraft" in failed:
             report.skipped.append("aircraft_snapshot")
         else:
             advance_history(layers, aircraft, run_at)
-        ledger.settle(FOLLOWING)
     finally:
+        ledger.close(closed)
         _record(layers, report, run_at)
+    ledger.settle(FOLLOWING)
     return report
 
 

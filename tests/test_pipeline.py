@@ -6,11 +6,12 @@ from datetime import date, datetime, timedelta, timezone
 from pathlib import Path
 
 import pytest
-from helpers import rows, ts
+from helpers import plan_of, rows, ts
 from pyspark.sql import functions as F
 
 from flightloom.operators.quality import ContractViolation
-from flightloom.plans import marts, pipeline
+from flightloom.plans import ledger, marts, pipeline
+from flightloom.plans.ledger import Ledger
 from flightloom.plans.models import MODELS
 from flightloom.schemas import AIRCRAFT_COLUMNS
 from flightloom.sources.reference import default_airports
@@ -202,3 +203,153 @@ def test_a_changed_aircraft_rebuilds_the_fact(layers, spark, inputs):
     layers.save_table("raw", "aircraft", changed)
     pipeline.update(layers, airports, ts("2024-01-04"), [])
     assert rows(layers.table("marts", "fct_flights").filter("operator IS NOT NULL").select("operator").distinct()) == [("Other",)]
+
+
+def tables_of(layers):
+    return {m.name: rows(layers.table(m.schema, m.name)) for m in MODELS}
+
+
+def test_days_of_a_failed_run_and_of_a_crash_come_again(layers, spark, inputs, monkeypatch):
+    airports, base = default_airports(spark), Path(inputs[0])
+    pipeline.reload_aircraft(layers, inputs[1])
+    pipeline.ingest(layers, inputs[0], [date(2024, 1, 1)], "100")
+    pipeline.build(layers, airports, ts("2024-01-02"))
+    # Day 4 fails a check of staging: the fact stays, and the day stays open for it.
+    deliver(base, "2024-01-04", "departure", record("a1", DAY + 3 * 86400, DAY + 3 * 86400 + 600, dep=None))
+    pipeline.ingest(layers, inputs[0], [date(2024, 1, 4)], "200")
+    report = pipeline.update(layers, airports, ts("2024-01-05"))
+    assert "fct_flights" in report.skipped and layers.table("marts", "fct_flights").count() == 2
+    # A day is loaded and the run ends before the models are updated.
+    pipeline.ingest(layers, inputs[0], [date(2024, 1, 2)], "300")
+    waiting = Ledger(layers).open_days(["stg_flights", "fct_flights"])
+    assert set(waiting["fct_flights"]) == {"2024-01-04", "2024-01-02", "2024-01-01"}
+    # The next run has a repaired day 4; it fails half way, and the one after does the rest.
+    deliver(base, "2024-01-04", "departure", record("a1", DAY + 3 * 86400, DAY + 3 * 86400 + 600))
+    pipeline.ingest(layers, inputs[0], [date(2024, 1, 4)], "400")
+
+    def stop(*_):
+        raise RuntimeError("lost driver")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(pipeline, "_from_states", stop)
+        with pytest.raises(RuntimeError):
+            pipeline.update(layers, airports, ts("2024-01-06"))
+    assert Ledger(layers).open_days(["fct_flights"]) == {"fct_flights": {}}
+    report = pipeline.update(layers, airports, ts("2024-01-07"))
+    assert report.skipped == [] and report.rows["fct_flights"] == 0
+    assert all(not days for days in Ledger(layers).open_days(pipeline.FOLLOWING).values())
+    after = tables_of(layers)
+    assert len(after["fct_flights"]) == 5
+    pipeline.build(layers, airports, ts("2024-01-08"))
+    assert after == tables_of(layers)
+
+
+def test_a_second_load_writes_nothing_and_opens_nothing(layers, inputs, monkeypatch):
+    load(layers, inputs)
+    before = rows(layers.table("raw", "flights"))
+
+    def refuse(*_, **__):
+        raise AssertionError("a partition is written")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(layers, "replace_partitions", refuse)
+        assert pipeline.ingest(layers, inputs[0], [date(2024, 1, 1), date(2024, 1, 2)], "100") == []
+        # An older load loses against what is stored.
+        assert pipeline.ingest(layers, inputs[0], [date(2024, 1, 1)], "050") == []
+    assert rows(layers.table("raw", "flights")) == before
+    # The same rows in a newer load: stored, but no model has to know.
+    assert pipeline.ingest(layers, inputs[0], [date(2024, 1, 2)], "200") == []
+    assert layers.table("raw", "flights").filter("_dlt_load_id = '200'").count() == 2
+    loads = Ledger(layers).loads("load")
+    assert loads.agg(F.max("load")).first()[0] == "200"
+
+
+def test_a_changed_aircraft_rewrites_only_its_days(layers, spark, inputs, monkeypatch):
+    load(layers, inputs)
+    deliver(Path(inputs[0]), "2024-01-03", "departure", record("a2", DAY + 2 * 86400, DAY + 2 * 86400 + 600))
+    pipeline.ingest(layers, inputs[0], [date(2024, 1, 3)], "200")
+    airports = default_airports(spark)
+    pipeline.build(layers, airports, ts("2024-01-04"))
+    # a1 flew on the 1st and the 2nd, a2 on the 3rd alone as well.
+    other = F.when(F.col("icao24") == "a1", F.lit("NEW")).otherwise(F.col("operatoricao"))
+    layers.save_table("raw", "aircraft", layers.table("raw", "aircraft").withColumn("operatoricao", other))
+    written = []
+    replace_partitions = layers.replace_partitions
+
+    def noted(schema, model, df, *rest, **named):
+        if model == "fct_flights":
+            written.extend(r[0] for r in df.select(F.col("flight_date").cast("string")).distinct().collect())
+        return replace_partitions(schema, model, df, *rest, **named)
+
+    monkeypatch.setattr(layers, "replace_partitions", noted)
+    report = pipeline.update(layers, airports, ts("2024-01-05"))
+    assert sorted(written) == ["2024-01-01", "2024-01-02"]
+    assert report.rows["stg_flights"] == 0 and report.rows["mart_airport_traffic"] == 0
+    after = tables_of(layers)
+    assert [r[1] for r in after["dim_airlines"]] == ["NEW"]
+    monkeypatch.undo()
+    pipeline.build(layers, airports, ts("2024-01-06"))
+    assert after == tables_of(layers)
+
+
+def test_tables_over_all_days_read_touched_days_only(layers, spark, inputs, monkeypatch):
+    load(layers, inputs, days=[1])
+    airports = default_airports(spark)
+    pipeline.build(layers, airports, ts("2024-01-02"))
+    deliver(Path(inputs[0]), "2024-02-01", "departure", record("a1", DAY + 31 * 86400, DAY + 31 * 86400 + 600))
+    pipeline.ingest(layers, inputs[0], [date(2024, 2, 1)], "200")
+    plans = []
+    replace_states = pipeline._replace_states
+
+    def noted(layers_, partial, df, changed, partitioned):
+        plans.append(plan_of(partial.by_day(df)))
+        replace_states(layers_, partial, df, changed, partitioned)
+
+    monkeypatch.setattr(pipeline, "_replace_states", noted)
+    pipeline.update(layers, airports, ts("2024-02-02"))
+    assert len(plans) == 4
+    for plan in plans:
+        filters = plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+        assert "flight_date" in filters and "2024-02-01" in filters
+    table = plan_of(layers.table("marts", "mart_route_popularity"))
+    assert "fct_flights" not in table
+
+
+def test_an_airport_that_changes_renames_all_days(layers, spark, inputs):
+    load(layers, inputs)
+    airports = default_airports(spark)
+    pipeline.build(layers, airports, ts("2024-01-03"))
+    pipeline.update(layers, airports.withColumn("city", F.upper("city")), ts("2024-01-04"))
+    assert rows(layers.table("marts", "mart_airport_traffic").filter("city <> upper(city)")) == []
+
+
+def test_history_waits_for_the_checks_of_the_aircraft(layers, spark, inputs):
+    load(layers, inputs)
+    airports = default_airports(spark)
+    pipeline.build(layers, airports, ts("2024-01-03"))
+    twice = layers.table("raw", "aircraft")
+    nameless = twice.limit(1).withColumn("icao24", F.lit(None).cast("string"))
+    layers.save_table("raw", "aircraft", twice.unionByName(nameless))
+    report = pipeline.update(layers, airports, ts("2024-01-04"))
+    if "fct_flights" in report.skipped:
+        assert "aircraft_snapshot" in report.skipped
+
+
+def test_settled_entries_leave_the_ledger(layers, spark, monkeypatch):
+    monkeypatch.setattr(ledger, "MANY", 5)
+    book = Ledger(layers)
+    assert book.mark() == 0 and book.loads("load") is None and book.open_days(["m"]) == {"m": {}}
+    for day in ("2024-01-01", "2024-01-02", None):
+        book.open([day], "100")
+    book.open([], "300")
+    for name in ("m", "n"):
+        book.close({name: book.open_days([name])[name] | {"2024-01-02": 0}})
+    assert book.open_days(["m"]) == {"m": {"2024-01-02": 2}}
+    book.settle(["m", "n"])
+    assert book.mark() == 4 and layers.table("quality", "ledger").count() == 4
+    assert book.open_days(["m", "n"]) == {"m": {"2024-01-02": 2}, "n": {"2024-01-02": 2}}
+    assert book.loads("load").agg(F.max("load")).first()[0] == "300"
+    book.close_all(["m"], book.mark())
+    assert book.open_days(["m"]) == {"m": {}}
+    book.open(["2024-01-02"], models=["m"])
+    assert book.open_days(["m"]) == {"m": {"2024-01-02": 5}}
