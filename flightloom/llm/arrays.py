@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import io
 import mmap
+import sys
 import tempfile
 import uuid
+from typing import IO
 
 import numpy as np
 from pyarrow import fs
@@ -32,25 +34,33 @@ def mapped(path: str) -> np.ndarray:
     """A memory-mapped array, empty if there is no such file.
 
     From a store that is no mounted folder it is first copied to an unnamed local file, which
-    goes with the process.
+    goes with the process. The mapping outlives its file handle, so that a task can map any
+    number of shards.
     """
     system, name = _filesystem(path)
     if system.get_file_info(name).type == fs.FileType.NotFound:
         return np.zeros(0, np.uint64)
     if isinstance(system, fs.LocalFileSystem):
-        return np.load(name, mmap_mode="r")
-    local = tempfile.TemporaryFile()
-    with system.open_input_stream(name) as source:
-        while block := source.read(1 << 24):
-            local.write(block)
-    local.flush()
-    local.seek(0)
-    np.lib.format.read_magic(local)
-    shape, _, kind = np.lib.format.read_array_header_1_0(local)
+        with open(name, "rb") as file:
+            return _view(file)
+    with tempfile.TemporaryFile() as local:
+        with system.open_input_stream(name) as source:
+            while block := source.read(1 << 24):
+                local.write(block)
+        local.flush()
+        local.seek(0)
+        return _view(local)
+
+
+def _view(file: IO[bytes]) -> np.ndarray:
+    np.lib.format.read_magic(file)
+    shape, _, kind = np.lib.format.read_array_header_1_0(file)
     if not np.prod(shape):
         return np.zeros(shape, kind)
-    memory = mmap.mmap(local.fileno(), 0, access=mmap.ACCESS_READ)
-    return np.frombuffer(memory, kind, offset=local.tell()).reshape(shape)
+    # Without trackfd (Python 3.13) a mapping would keep a handle of its own.
+    own = {"trackfd": False} if sys.version_info >= (3, 13) else {}
+    memory = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ, **own)
+    return np.frombuffer(memory, kind, offset=file.tell()).reshape(shape)
 
 
 def packed(sorted_keys: np.ndarray) -> bytes:

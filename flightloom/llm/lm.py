@@ -30,15 +30,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightloom.llm.arrays import mapped, merged, mixed, packed, unpacked, write
 from flightloom.llm.common import fold, stored
 from flightloom.session import scratch_dir
 
-#: Text that is counted or scored at a time within a task.
-SLICE_CHARS = 12_000_000
+#: Text that is counted, and that is scored, at a time within a task: counting gains from
+#: repetitions within a slice, scoring holds many more arrays of its tokens.
+SLICE_CHARS = 8_000_000
+SCORED_CHARS = 2_500_000
 #: Training tokens per shard, and the least number of shards.
 SHARD_TOKENS = 3_000_000
 LEAST_SHARDS = 16
@@ -74,11 +76,11 @@ class Slice:
         return out
 
 
-def slices(texts: list[str | None]) -> Iterator[tuple[int, int, Slice]]:
+def slices(texts: list[str | None], most: int) -> Iterator[tuple[int, int, Slice]]:
     begin, chars = 0, 0
     for i, t in enumerate(texts):
         chars += len(t or "") + 1
-        if chars >= SLICE_CHARS or i + 1 == len(texts):
+        if chars >= most or i + 1 == len(texts):
             yield begin, i + 1, Slice(texts[begin : i + 1])
             begin, chars = i + 1, 0
 
@@ -183,7 +185,7 @@ def discounts(n: np.ndarray) -> np.ndarray:
 def _count_words(train: DataFrame, folder: str, shards: int) -> list:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, piece in slices(batch["text"].to_pylist()):
+            for _, _, piece in slices(batch["text"].to_pylist(), SLICE_CHARS):
                 order = np.argsort(piece.hashes)
                 hashes = piece.hashes[order]
                 yield from _blobs(hash_shard(hashes, shards), hashes, piece.counts[order])
@@ -193,23 +195,24 @@ def _count_words(train: DataFrame, folder: str, shards: int) -> list:
         hashes, counts = _gathered(rows, 1)
         write(f"{folder}/hash-{shard}.npy", hashes)
         write(f"{folder}/count-{shard}.npy", counts)
-        # The few most frequent, of which the caller chooses; a shard has no more than these.
-        top = np.argsort(-counts, kind="stable")[: FREQUENT * shards]
-        return pa.table(
-            {
-                "shard": [shard],
-                "n": [len(hashes)],
-                "total": [int(counts.sum())],
-                "places": pa.array([top.tolist()], pa.list_(pa.int64())),
-                "top": pa.array([counts[top].tolist()], pa.list_(pa.int64())),
-            }
-        )
+        return pa.table({"shard": [shard], "n": [len(hashes)], "total": [int(counts.sum())]})
 
     rows = train.select("text").mapInArrow(count, _BLOB)
-    found = rows.groupBy("shard").applyInArrow(
-        merge, "shard long, n long, total long, places array<long>, top array<long>"
-    )
-    return found.collect()
+    return rows.groupBy("shard").applyInArrow(merge, "shard long, n long, total long").collect()
+
+
+def _frequent_words(spark: SparkSession, words: Sharded, least: float) -> np.ndarray:
+    """Numbers of the words with more than ``least`` tokens; all tokens over ``least`` bound how many."""
+    folder, begin, shards = words.folder, words.begin, len(words.sizes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard in batch["id"].to_pylist():
+                above = np.flatnonzero(mapped(f"{folder}/count-{shard}.npy") > least) + begin[shard]
+                yield pa.RecordBatch.from_arrays([pa.array(above.astype(np.int64))], ["number"])
+
+    found = spark.range(shards).mapInArrow(run, "number long").collect()
+    return np.array(sorted(r["number"] for r in found), np.int64)
 
 
 def _count_pairs(train: DataFrame, words: Sharded, folder: str, frequent: np.ndarray, shards: int, ids: int) -> tuple[np.ndarray, DataFrame]:
@@ -218,7 +221,7 @@ def _count_pairs(train: DataFrame, words: Sharded, folder: str, frequent: np.nda
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, piece in slices(batch["text"].to_pylist()):
+            for _, _, piece in slices(batch["text"].to_pylist(), SLICE_CHARS):
                 first, second = _pairs(piece, words.numbers(piece.hashes), begin)
                 keys, counts = np.unique((first.astype(np.uint64) << np.uint64(32)) | second.astype(np.uint64), return_counts=True)
                 shard = pair_shard((keys >> np.uint64(32)).astype(np.int64), keys, frequent, shards)
@@ -342,14 +345,7 @@ def score(docs: DataFrame, train_on: int = 5) -> DataFrame:
     if words.begin[-1] >= 2**32 - 1:
         raise ValueError("more than 2^32 - 2 different training words")
     shards = max(LEAST_SHARDS, -(-tokens // SHARD_TOKENS))
-    least = tokens / shards / FREQUENT
-    frequent = sorted(
-        place + int(words.begin[i])
-        for i, r in counted.items()
-        for place, n in zip(r["places"], r["top"], strict=True)
-        if n > least
-    )
-    frequent = np.array([*frequent, int(words.begin[-1])], np.int64)
+    frequent = np.append(_frequent_words(spark, words, tokens / shards / FREQUENT), words.begin[-1])
     id_parts = word_shards
     ends = np.linspace(0, int(words.begin[-1]) + 1, id_parts + 1).astype(np.int64)
     seen, sums = _count_pairs(train, words, folder, frequent, shards, id_parts)
@@ -377,7 +373,7 @@ def score(docs: DataFrame, train_on: int = 5) -> DataFrame:
 
         for batch in batches:
             out: list[list[np.ndarray]] = [[], [], [], []]
-            for _, _, piece in slices(batch["text"].to_pylist()):
+            for _, _, piece in slices(batch["text"].to_pylist(), SCORED_CHARS):
                 known, base, kn = _scores(piece, vocabulary, context, model | {"files": files})
                 starts = np.cumsum(piece.sizes) - piece.sizes
                 out[0].append(piece.sizes)
