@@ -6,15 +6,16 @@ the set of its shingles of ``SHINGLE`` words; containment asks for all of them,
 one shingle is enough to join on, and the rarest is the cheapest: shingles are ordered by how
 often documents have them, and each window waits at its rarest one only.
 
-    1. words of documents, with positions, that begin some item shingle
+    1. one pass over the documents: the positions that begin some item shingle, with the words
+       around them (as many as a window may reach), and the number of words of every document
     2. frequency of item shingles among them: the order by rarity
     3. join on each window's rarest shingle
     4. bounds: the window must begin at or after the document's first word and end before its
        last (position and length)
     5. verify the window word for word over its length
 
-Steps 3 to 5 happen in one pass over the documents, next to the words; only verified hits are
-shuffled. Their union gives the positions of a document that are hit.
+Steps 2 to 5 read what the first has stored. Item shingles are broadcast up to BROADCAST_ROWS
+of them and shuffled beyond. The union of hits gives the positions of a document that are hit.
 
 Defined results: null or wordless texts have no words and no hits; an item without words
 contains no window. Repeated document rows give a row each. Items with the same text are items
@@ -42,11 +43,6 @@ def words(text: Column) -> Column:
     return F.array_remove(pieces, "")
 
 
-def _shingles(of: Column, size: int) -> Column:
-    """A hash for each position, of the ``size`` words that begin there."""
-    return F.transform(of, lambda w, i: F.xxhash64(w, *[F.get(of, i + j) for j in range(1, size)]))
-
-
 def _document(docs: DataFrame) -> DataFrame:
     """doc_id, text_hash, words: equal rows have equal results, so their key is this pair."""
     return docs.select(
@@ -65,56 +61,74 @@ def item_windows(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return cut.select("item_id", F.explode(F.transform(starts, lambda i: F.slice("w", i + 1, window))).alias("window"))
 
 
-def _positions(document: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Documents' positions whose shingle is wanted; ``wanted`` has a column shingle."""
-    exploded = document.select(
-        "doc_id", "text_hash", "words", F.posexplode(_shingles(F.col("words"), size)).alias("at", "shingle")
-    ).where(F.col("at") <= F.size("words") - size)
-    return exploded.join(F.broadcast(wanted), "shingle")
+def _shingles_of_size(of: Column, size: int) -> Column:
+    """(at, shingle) for each position where ``size`` words begin; sizes have hashes of their own."""
+    hashes = F.transform(
+        of,
+        lambda w, i: F.struct(
+            i.alias("at"), F.xxhash64(F.lit(size), w, *[F.get(of, i + j) for j in range(1, size)]).alias("shingle")
+        ),
+    )
+    return F.slice(hashes, F.lit(1), F.greatest(F.size(of) - size + 1, F.lit(0)))
+
+
+def window_shingles(windows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """window_id, window, n, offset, shingle: every shingle of every window."""
+    sized = windows.withColumn("n", F.size("window"))
+    cut = F.when(F.col("n") >= shingle, _shingles_of_size(F.col("window"), shingle))
+    for size in range(shingle - 1, 0, -1):
+        cut = cut.when(F.col("n") == size, _shingles_of_size(F.col("window"), size))
+    return sized.select("window_id", "window", "n", F.explode(cut).alias("s")).select(
+        "window_id", "window", "n", F.col("s.at").alias("offset"), "s.shingle"
+    )
 
 
-def window_hits(docs: DataFrame, windows: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, text_hash, start, window_id, n per occurrence of a window (window_id, window).
+def positions(docs: DataFrame, shingles: DataFrame, sizes: list[int], window: int) -> DataFrame:
+    """Of every document one row with at = -1, and one for each position at which a wanted shingle
+    begins: doc_id, text_hash, n_words, at, shingle, and the words ``around`` it, ``lead`` of them before.
 
-    Windows are joined in parts of at most BROADCAST_ROWS, each broadcast.
+    The only pass over the texts. Windows that hold the shingle lie within the words around.
     """
-    document = _document(docs)
-    sized = windows.withColumn("n", F.size("window")).withColumn("size", F.least("n", F.lit(shingle)))
-    found = None
-    for size, n in sorted((r["size"], r["count"]) for r in sized.groupBy("size").count().collect()):
-        own = sized.where(F.col("size") == size)
-        parts = -(-n * WINDOW // BROADCAST_ROWS)
-        for part in range(parts):
-            some = own.where(F.pmod(F.xxhash64("window_id"), F.lit(parts)) == part)
-            shingles = some.select(
-                "window_id", "window", "n", F.posexplode(_shingles(F.col("window"), size)).alias("offset", "shingle")
-            ).where(F.col("offset") <= F.col("n") - size)
-            # Rarity: how often the documents have each shingle of a window.
-            frequency = stored(
-                _positions(document.select("doc_id", "text_hash", "words"), shingles.select("shingle").distinct(), size)
-                .groupBy("shingle")
-                .agg(F.count(F.lit(1)).alias("f")),
-                "decontamination-rarity",
-            )
-            # A window with a shingle that no document has occurs nowhere.
-            ranked = shingles.join(F.broadcast(frequency), "shingle", "left").groupBy("window_id", "window", "n").agg(
-                F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "offset", "shingle")).alias("rarest")
-            )
-            prefix = stored(
-                ranked.where(F.col("rarest.f") > 0).select("window_id", "window", "n", "rarest.offset", "rarest.shingle"),
-                "decontamination-prefix",
-            )
-            start = F.col("at") - F.col("offset")
-            met = _positions(document, prefix, size).where(
-                (start >= 0)
-                & (start + F.col("n") <= F.size("words"))
-                & (F.slice("words", F.greatest(start, F.lit(0)) + 1, F.col("n")) == F.col("window"))
-            )
-            hits = met.select("doc_id", "text_hash", start.alias("start"), "window_id", "n")
-            found = hits if found is None else found.unionByName(hits)
-    if found is None:
-        found = document.select("doc_id", "text_hash", F.lit(0).alias("start"), F.lit("").alias("window_id"), F.lit(0).alias("n")).limit(0)
-    return found
+    words_ = F.col("words")
+    first = F.array(F.struct(F.lit(-1).alias("at"), F.lit(0).cast("long").alias("shingle")))
+    all_of = F.concat(first, *[_shingles_of_size(words_, size) for size in sizes])
+    exploded = _document(docs).select("doc_id", "text_hash", "words", F.explode(all_of).alias("s"))
+    lead = F.least(F.greatest(F.col("s.at"), F.lit(0)), F.lit(window - 1))
+    around = F.when(F.col("s.at") >= 0, F.slice("words", F.col("s.at") - lead + 1, lead + window))
+    met = ["doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), "s.at", "s.shingle"]
+    met += [lead.alias("lead"), around.alias("around")]
+    wanted = shingles.select("shingle").distinct().unionAll(shingles.sparkSession.range(1).select(F.col("id").alias("shingle")))
+    wanted = stored(wanted.distinct(), "decontamination-wanted")
+    n = wanted.count()
+    if n <= BROADCAST_ROWS:
+        held = exploded.withColumn("shingle", F.col("s.shingle"))
+        return held.join(F.broadcast(wanted), "shingle", "left_semi").select(*met)
+    # Beyond the bound rows are shuffled, and must not carry whole texts.
+    return exploded.select(*met).join(wanted, "shingle", "left_semi")
+
+
+def window_hits(found: DataFrame, shingles: DataFrame) -> DataFrame:
+    """doc_id, text_hash, start, window_id, n per occurrence of a window, from ``positions``."""
+    at = found.where(F.col("at") >= 0)
+    # Rarity: how often the documents have each shingle of a window.
+    frequency = stored(at.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")), "decontamination-rarity")
+    # A window with a shingle that no document has occurs nowhere.
+    ranked = (
+        join_counted(shingles, frequency, ["shingle"], "left")
+        .groupBy("window_id", "window", "n")
+        .agg(F.min(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "offset", "shingle")).alias("rarest"))
+    )
+    prefix = stored(
+        ranked.where(F.col("rarest.f") > 0).select("window_id", "window", "n", "rarest.offset", "rarest.shingle"),
+        "decontamination-prefix",
+    )
+    start = F.col("at") - F.col("offset")
+    met = join_counted(at, prefix, ["shingle"]).where(
+        (start >= 0)
+        & (start + F.col("n") <= F.col("n_words"))
+        & (F.slice("around", F.greatest(F.col("lead") - F.col("offset"), F.lit(0)) + 1, F.col("n")) == F.col("window"))
+    )
+    return met.select("doc_id", "text_hash", start.alias("start"), "window_id", "n")
 
 
 def _covered(intervals: Column) -> Column:
@@ -138,8 +152,13 @@ def decontaminate(
         ),
         "decontamination-windows",
     )
-    windows = stored(labelled.select("window_id", "window").distinct(), "decontamination-distinct")
-    hits = stored(window_hits(docs, windows, shingle), "decontamination-hits")
+    windows = labelled.select("window_id", "window").distinct()
+    shingles = stored(window_shingles(windows, shingle), "decontamination-shingles")
+    sizes = shingles.select(F.least("n", F.lit(shingle)).alias("size")).distinct()
+    found_at = stored(
+        positions(docs, shingles, sorted(r["size"] for r in sizes.collect()), window), "decontamination-positions"
+    )
+    hits = stored(window_hits(found_at, shingles), "decontamination-hits")
     key = ["doc_id", "text_hash"]
     # Null ids must meet in joins, so they get a key of their own.
     hits = hits.withColumn("k", nullable_key(F.col("doc_id")))
@@ -158,9 +177,7 @@ def decontaminate(
         .agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
     )
     found = spans.join(ids, ["k", "text_hash"])
-    counted = _document(docs).select(
-        *key, nullable_key(F.col("doc_id")).alias("k"), F.size("words").cast("long").alias("n_words")
-    )
+    counted = found_at.where(F.col("at") == -1).select(*key, nullable_key(F.col("doc_id")).alias("k"), "n_words")
     n_hit = F.coalesce("n_hit", F.lit(0).cast("long"))
     return counted.join(found, ["k", "text_hash"], "left").select(
         *key,
