@@ -17,11 +17,11 @@ heart and the other doesn't; 1 if there is one language. Repeated rows are score
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,8 +38,8 @@ MARGIN = 4
 PIECE = 512
 _BATCH_CHARS = 4_000_000
 
-_LETTER = re.compile(r"[^\W\d_]")
-_NO_LETTERS = re.compile(r"[\W\d_]+")
+_LETTER = regex.compile(r"\p{L}")
+_NO_LETTERS = regex.compile(r"\P{L}+")
 
 
 def samples(docs: DataFrame, chars: int = SAMPLE_CHARS) -> dict[str, str]:
