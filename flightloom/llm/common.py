@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from flightloom.session import scratch_dir
@@ -63,13 +63,34 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def one_row_each(df: DataFrame, key: str) -> DataFrame:
-    """One row for each value of ``key``. Rows are only shuffled if some value is repeated."""
+def one_row_each(df: DataFrame, *keys: str) -> DataFrame:
+    """One row for each value of the keys, which are not null. Rows are only shuffled if a value is
+    repeated; of its rows the one with the smallest hash over all columns stays."""
     repeated = stored(
-        df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1).select(key), "repeated"
+        df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1).select(*keys), "repeated"
     )
     n = repeated.count()
     if n == 0:
         return df
-    alone = join_counted(df, repeated, [key], "left_anti", n)
-    return alone.unionByName(join_counted(df, repeated, [key], "left_semi", n).dropDuplicates([key]))
+    alone = join_counted(df, repeated, list(keys), "left_anti", n)
+    place = free_name(df, "place")
+    order = Window.partitionBy(*keys).orderBy(F.xxhash64(*df.columns))
+    first = join_counted(df, repeated, list(keys), "left_semi", n).withColumn(place, F.row_number().over(order))
+    return alone.select(*df.columns).unionByName(first.where(F.col(place) == 1).select(*df.columns))
+
+
+def document_key(df: DataFrame, key: str) -> DataFrame:
+    """One row for each different (doc_id, text), with a key of its own: doc_id where no other text has
+    it, else a hash of both."""
+    own, hashed = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")), free_name(df, "text_hash")
+    keyed = df.withColumn(key, own).withColumn(hashed, F.xxhash64("text"))
+    single = one_row_each(keyed, key, hashed)
+    shared = stored(
+        single.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1).select(key), "shared-ids"
+    )
+    n = shared.count()
+    if n == 0:
+        return single.drop(hashed)
+    alone = join_counted(single, shared, [key], "left_anti", n)
+    others = join_counted(single, shared, [key], "left_semi", n).withColumn(key, F.xxhash64(key, hashed))
+    return alone.unionByName(others).drop(hashed)

@@ -200,27 +200,43 @@ def simhash(docs: DataFrame, shingle: int = SHINGLE, seed: int = SEED) -> DataFr
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with one document of each group: its smallest doc_id.
+    """The rows of ``docs`` with one document of each group: its smallest doc_id, null ids last.
 
-    Repeated rows of that id count as one document. Rows without a doc_id are kept only if
-    their group has no id, one row of each group.
+    A document is a pair of doc_id and text. Of different texts of that id in one group the one
+    with the smallest hash stays; texts of one id in different groups do not touch each other.
+    Repeated rows count as one document.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    named = stored(fingerprints(ids), "simhash-prints")
-    found = groups(named)
-    copies = stored(
-        found.where(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct(), "simhash-copies"
+    hashed, missing = free_name(docs, "text_hash"), free_name(docs, "id_missing")
+    number = free_name(docs, "id_number")
+    keyed = (
+        docs.withColumn(hashed, F.xxhash64("text"))
+        .withColumn(missing, F.col("doc_id").isNull())
+        .withColumn(number, F.coalesce(F.col("doc_id").cast("long"), F.lit(0).cast("long")))
     )
-    others = docs.where(F.col("doc_id").isNotNull())
-    kept = one_row_each(join_counted(others, copies, ["doc_id"], "left_anti"), "doc_id")
-    nameless = docs.where(F.col("doc_id").isNull())
-    if nameless.isEmpty():
-        return kept
-    number = free_name(docs, "number")
-    rows = stored(nameless.withColumn(number, F.monotonically_increasing_id()), "simhash-nameless")
-    prints = fingerprints(rows.select(F.col(number).alias("doc_id"), "text"))
-    # A number for each nameless group, which no named document shares a fingerprint link with.
-    alone = found.where(F.col("component_id").isNull()).select("fp").distinct()
-    own = groups(stored(prints.join(alone, "fp", "left_semi"), "simhash-alone"))
-    first = own.select(F.col("component_id").alias(number)).distinct()
-    return kept.unionByName(rows.join(first, number, "left_semi").select(*docs.columns))
+    prints = stored(_keyed_prints(keyed.select(missing, number, hashed, "text")), "simhash-prints")
+    classes = stored(prints.select("fp").distinct(), "simhash-classes")
+    found = components(stored(links(classes), "simhash-links"), "simhash")
+    rooted = stored(
+        classes.join(found, classes["fp"] == found["v"], "left").select("fp", F.coalesce("root", "fp").alias("root")),
+        "simhash-roots",
+    )
+    first = F.min(F.struct("missing", "number", "text_hash")).alias("first")
+    kept = stored(
+        prints.join(rooted, "fp").groupBy("root").agg(first).select(
+            F.col("first.missing").alias(missing), F.col("first.number").alias(number), F.col("first.text_hash").alias(hashed)
+        ),
+        "simhash-kept",
+    )
+    key = [missing, number, hashed]
+    return one_row_each(join_counted(keyed, kept, key, "left_semi"), *key).select(*docs.columns)
+
+
+def _keyed_prints(rows: DataFrame) -> DataFrame:
+    """missing, number, text_hash, fp for rows of the first three and a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps = np.array([fingerprint(t.as_py()) for t in batch.column(3)], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(fps)], ["missing", "number", "text_hash", "fp"])
+
+    return rows.mapInArrow(run, "missing boolean, number long, text_hash long, fp long")

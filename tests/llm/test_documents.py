@@ -506,7 +506,8 @@ def test_one_of_each_group(odd_docs, no_docs):
     kept = simhash.one_of_each_group(odd_docs)
     assert kept.columns == odd_docs.columns
     # Empty texts (1, 2, 5, a null id) are one group; 6 is what the nameless copy repeats.
-    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 6]
+    # Both texts of 4 are nobody's copy.
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3, 4, 4, 6]
     assert simhash.one_of_each_group(no_docs).collect() == []
 
 
@@ -515,3 +516,63 @@ def test_digests_are_hexadecimal(spark, sf, documents):
         if row["n_removed"] == 0:
             text = next(d["text"] for d in documents if d["doc_id"] == row["doc_id"])
             assert row["kept_sha256"] == hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, odd_docs):
+    a, b, c = "one text of some words and more", "quite another matter to talk about", "a third thing nobody has said yet"
+    rows = [(1, a), (2, a), (2, b), (2, b), (None, c), (None, c), (None, a), (3, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, simhash.one_of_each_group(docs).collect())) == [(1, a), (2, b), (3, c)]
+    twice = spark.createDataFrame([(7, a), (7, b), (7, b), (8, c), (None, a), (None, a)], "doc_id long, text string")
+    keyed = common.document_key(twice, "k").collect()
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in keyed) == sorted([(7, a), (7, b), (8, c), (0, a)])
+    assert len({r["k"] for r in keyed}) == 4
+    assert next(r["k"] for r in keyed if r["doc_id"] == 8) == 8
+
+
+@pytest.mark.parametrize("text", ["½ ²", "①", "12 34", "Ⅳ", "_", "!?"])
+def test_texts_without_a_letter_have_no_language(text):
+    languages = langid.Languages({"en": "some words of one language", "de": "ganz andere sachen"})
+    assert languages.predict([text, text + " words"])[0] == [langid.UNKNOWN, "en"]
+
+
+def test_maps_keep_no_file_open(tmp_path):
+    import os
+
+    from flightloom.llm import arrays
+
+    for i in range(40):
+        arrays.write(f"{tmp_path}/a-{i}.npy", np.arange(i, dtype=np.uint64))
+    before = len(os.listdir("/proc/self/fd"))
+    held = [arrays.mapped(f"{tmp_path}/a-{i}.npy") for i in range(40)]
+    assert [x.tolist() for x in held] == [list(range(i)) for i in range(40)]
+    assert len(os.listdir("/proc/self/fd")) == before
+    assert arrays.mapped(f"{tmp_path}/none.npy").tolist() == []
+
+
+@pytest.mark.parametrize("rows", [0, common.BROADCAST_ROWS])
+def test_decontamination_beyond_the_broadcast(spark, monkeypatch, rows):
+    """Windows longer and shorter than a shingle, at the ends of texts, with either join."""
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", rows)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+    w = [f"w{i}" for i in range(40)]
+    docs = [(1, " ".join(w[:13])), (2, " ".join(w[3:30])), (3, "x y w1"), (4, "w1 w2"), (5, None), (6, " ".join(w[1:13])), (6, "w5 w6 w7")]
+    items = [("a", " ".join(w[:15])), ("b", "w1"), ("c", "w1 w2"), ("d", "w5 w6 w7"), ("e", "nowhere"), ("f", " ".join(w[4:17]))]
+
+    def plain(text):
+        words = (text or "").split()
+        hit, held = set(), set()
+        for item, body in items:
+            own = body.split()
+            for s in range(max(1, len(own) - 12)):
+                window = own[s : s + 13]
+                for at in range(len(words) - len(window) + 1):
+                    if words[at : at + len(window)] == window:
+                        hit |= set(range(at, at + len(window)))
+                        held.add(item)
+        return len(words), len(hit), sorted(held)
+
+    got = decontamination.decontaminate(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id string, text string")
+    ).collect()
+    assert sorted((r["doc_id"], r["n_words"], r["n_hit"], r["item_ids"]) for r in got) == sorted((d, *plain(t)) for d, t in docs)
