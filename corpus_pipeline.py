@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flightloom.llm import decontamination, mixing, pii, simhash, toxicity
-from flightloom.llm.common import free_name, join_counted, one_row_each, read, stored
+from flightloom.llm.common import document_key, free_name, join_counted, read, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -50,12 +50,11 @@ MIXED = ["size", "source_size", "target", "copies", "taken"]
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, with the copies and words it takes of each.
 
-    Rows that repeat a doc_id (or, without one, a text) are one document. Columns named like
-    those that this stage adds give way to them.
+    Rows that repeat a doc_id and its text (or, without an id, a text) are one document. Columns
+    named like those that this stage adds give way to them.
     """
     key = free_name(docs, "mix_key")
-    keyed = docs.drop(*MIXED).withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text")))
-    keyed = one_row_each(keyed, key)
+    keyed = document_key(docs.drop(*MIXED), key)
     mixed = mixing.mix(keyed.select(F.col(key).alias("doc_id"), "source", "text"))
     taken = stored(
         mixed.where(F.col("copies") > 0).select(
