@@ -304,12 +304,21 @@ WHERE h.dbt_valid_to IS NULL AND h.dbt_valid_from < timestamp '1999-01-01' AND n
     "scd2_vanished": """SELECT h.* FROM history h LEFT JOIN raw_aircraft_v2 r USING (icao24)
 WHERE h.dbt_valid_to IS NULL AND r.icao24 IS NULL""",
     "scd2_as_of": """FROM history WHERE dbt_valid_from <= timestamp '1998-01-01'
+AND coalesce(dbt_valid_to, timestamp '9999-12-31') > timestamp '1998-01-01'""",
+    "scd2_as_of_stored": """FROM history WHERE dbt_valid_from <= timestamp '1998-01-01'
 AND coalesce(dbt_valid_to, timestamp '9999-12-31') > timestamp '1998-01-01'""",
     "join_point_in_time": """SELECT f.flight_id, f.icao24, f.first_seen_at,
   if(f.first_seen_at < coalesce(h.dbt_valid_to, timestamp '9999-12-31'), h.operator, NULL)
     AS operator,
   if(f.first_seen_at < coalesce(h.dbt_valid_to, timestamp '9999-12-31'), h.operator_icao, NULL)
     AS operator_icao
+FROM fct_flights f ASOF LEFT JOIN history h
+  ON f.icao24 = h.icao24 AND f.first_seen_at >= h.dbt_valid_from""",
+    "join_point_in_time_ordered": """SELECT f.flight_id, f.icao24, f.first_seen_at,
+  if(f.first_seen_at < coalesce(h.dbt_valid_to, timestamp '9999-12-31'), h.operator, NULL)
+    AS operator,
+  if(f.first_seen_at < coalesce(h.dbt_valid_to, timestamp '9999-12-31'), h.operator_icao, NULL)
+    AS operator_icao
 FROM fct_flights f ASOF LEFT JOIN history h
   ON f.icao24 = h.icao24 AND f.first_seen_at >= h.dbt_valid_from""",
     # projections and predicates
@@ -555,6 +564,10 @@ ORDER BY flight_count DESC, departure_country NULLS LAST, arrival_country NULLS
     # daily job
     "pipeline_idempotent": """SELECT count(*) AS rows_first, count(*) AS rows_second,
   CAST(0 AS bigint) AS rows_differing FROM landed_once""",
+    "sem_routed": """SELECT a.country, date_trunc('month', f.first_seen_at)::timestamp AS first_seen_at,
+  count(*) AS flight_count
+FROM fct_flights f LEFT JOIN airports a ON a.icao_code = f.airport_icao
+WHERE f.flight_type = 'departure' GROUP BY ALL""",
     "agg_distinct_merged": """SELECT operator_icao, count(DISTINCT CAST(first_seen_at AS date)) AS active_days
 FROM fct_flights WHERE operator_icao IS NOT NULL GROUP BY operator_icao""",
 }

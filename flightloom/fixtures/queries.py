@@ -343,6 +343,24 @@ def join_point_in_time(ws: Workspace) -> DataFrame:
     )
 
 
+@query
+def join_point_in_time_ordered(ws: Workspace) -> DataFrame:
+    """The same in ordered passes, which keys with many versions ask for."""
+    events = ws.table("fct_flights").select("flight_id", "icao24", "first_seen_at")
+    return history.attribute_in_order(
+        events, scd2_snapshot(ws), "icao24", "first_seen_at", ["operator", "operator_icao"]
+    )
+
+
+@query
+def scd2_as_of_stored(ws: Workspace) -> DataFrame:
+    """Versions valid between two stored rounds."""
+    layers = ws.new_layers("as_of")
+    pipeline.advance_history(layers, ws.table("stg_aircraft"), FIRST_ROUND)
+    pipeline.advance_history(layers, _aircraft_rounds(ws)[1], SECOND_ROUND)
+    return pipeline.history_as_of(layers, BETWEEN_ROUNDS)
+
+
 # --- projections and predicates ----------------------------------------------------
 
 
@@ -987,6 +1005,19 @@ def sem_filter_by_dimension(ws: Workspace) -> DataFrame:
     )
 
 
+@query
+def sem_routed(ws: Workspace) -> DataFrame:
+    """Monthly departures by country, asked of the fact and answered by a smaller table."""
+    return metrics.routed_query(
+        ws.tables,
+        "fct_flights",
+        ["flight_count"],
+        by=["dim_airports.country", "first_seen_at"],
+        where="flight_type = 'departure'",
+        grain="month",
+    )
+
+
 @query
 def sem_by_time_grain(ws: Workspace) -> DataFrame:
     """Monthly volume per airport."""

@@ -12,7 +12,7 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flightloom.functions import history_row_id
@@ -113,6 +113,63 @@ def attribute_at_event(
     return events.join(versions, matches, "left").drop("__key", "__from", "__to")
 
 
+def attribute_in_order(
+    events: DataFrame,
+    history: DataFrame,
+    key: str,
+    event_time: str,
+    take: Sequence[str],
+) -> DataFrame:
+    """As ``attribute_at_event``, for keys with many versions: no event meets them all.
+
+    Two ordered passes carry the last version forward. The first runs over the versions of a
+    key and the different days of its events, and gives the version with which each day begins;
+    the second over the events and versions of one day. So a key with very many events is
+    spread by day, and each row is sorted among those of its day. Events without key or time
+    have no attributes and go around both.
+    """
+    at, day, kind, version = "__at", "__day", "__kind", "__version"
+    begin, change, event = 0, 1, 2
+    placed = F.col(key).isNotNull() & F.col(event_time).isNotNull()
+    known = events.filter(placed).select(
+        F.col(key).alias("__key"),
+        F.col(event_time).cast("timestamp_ntz").alias(at),
+        F.struct(*events.columns).alias("__event"),
+    )
+    changes = history.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("__key"),
+        F.col(VALID_FROM).alias(at),
+        F.struct(F.col(VALID_TO).alias("__to"), *take).alias(version),
+    )
+    held = changes.schema[version].dataType
+
+    def carried(rows: DataFrame, *partition: str) -> DataFrame:
+        so_far = Window.partitionBy(*partition).orderBy(at, kind).rowsBetween(Window.unboundedPreceding, 0)
+        return rows.withColumn(version, F.last(version, ignorenulls=True).over(so_far))
+
+    nothing = F.lit(None).cast(held).alias(version)
+    days = known.select("__key", F.col(at).cast("date").cast("timestamp_ntz").alias(at)).distinct()
+    of_keys = changes.withColumn(kind, F.lit(change)).unionByName(
+        days.select("__key", at, nothing, F.lit(event).alias(kind))
+    )
+    # A change at the very start of a day is found in both passes.
+    starts = carried(of_keys, "__key").filter(F.col(kind) == event)
+    none = F.lit(None).cast(known.schema["__event"].dataType).alias("__event")
+    rows = [
+        starts.select("__key", at, version, none, F.lit(begin).alias(kind)),
+        changes.select("__key", at, version, none, F.lit(change).alias(kind)),
+        known.select("__key", at, nothing, "__event", F.lit(event).alias(kind)),
+    ]
+    of_days = reduce(DataFrame.unionByName, rows).withColumn(day, F.col(at).cast("date"))
+    found = carried(of_days, "__key", day).filter(F.col(kind) == event)
+    ended = F.col(f"{version}.__to") <= F.col(at)
+    valid = F.when(F.col(version).isNotNull() & F.coalesce(~ended, F.lit(True)), F.col(version))
+    answered = found.withColumn(version, valid).select("__event.*", *[F.col(f"{version}.{c}").alias(c) for c in take])
+    kinds = {c: held[c].dataType for c in take}
+    around = events.filter(~placed).select("*", *[F.lit(None).cast(t).alias(c) for c, t in kinds.items()])
+    return answered.unionByName(around)
+
+
 def _covers(valid_from: Column, valid_to: Column, moment: Column) -> Column:
     return (valid_from <= moment) & (valid_to.isNull() | (moment < valid_to))
 

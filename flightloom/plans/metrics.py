@@ -7,7 +7,8 @@ joins the few combined rows, so the fact itself is never shuffled for the join.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -134,7 +135,61 @@ REGISTRY = {
     )
 }
 
-_AGGREGATES = {"count": F.count, "sum": F.sum, "avg": F.avg}
+@dataclass(frozen=True)
+class Rollup:
+    """How a smaller table answers questions about a larger one.
+
+    ``keys`` are the dimensions that both have, ``time`` the smaller table's value for a time
+    dimension and the grains it can be truncated to, ``counts`` its columns that hold counts by measure.
+    A table that lacks rows without an entry in a dimension table answers only questions that are
+    filtered through that table.
+    """
+
+    table: str
+    of: str
+    keys: tuple[str, ...]
+    counts: Mapping[str, str]
+    time: Mapping[str, Callable[[], Column]] = field(default_factory=dict)
+    grains: tuple[str, ...] = ()
+    only_through: str | None = None
+
+
+_FROM_DAYS = ("day", "week", "month", "quarter", "year")
+
+# From small to large: the first that covers a question answers it.
+ROLLUPS = (
+    Rollup(
+        "mart_airline_reliability",
+        "fct_flights",
+        ("operator_icao",),
+        {"flight_count": "total_flights"},
+        only_through="dim_airlines",
+    ),
+    Rollup(
+        "mart_airport_traffic",
+        "fct_flights",
+        ("airport_icao",),
+        {"flight_count": "total_flights"},
+        {"first_seen_at": lambda: F.col("traffic_date")},
+        _FROM_DAYS,
+    ),
+    Rollup(
+        "mart_traffic_patterns",
+        "fct_flights",
+        ("airport_icao", "flight_type"),
+        {"flight_count": "flight_count"},
+        {"first_seen_at": lambda: F.col("traffic_date") + F.col("hour_of_day") * F.expr("interval '1' hour")},
+        ("hour", *_FROM_DAYS),
+    ),
+)
+
+
+def _total(column: str) -> Column:
+    """Sum of counts, which is zero over no rows at all."""
+    return F.coalesce(F.sum(column), F.lit(0))
+
+
+_AGGREGATES = {"count": F.count, "sum": F.sum, "avg": F.avg, "total": _total}
 
 
 class UnknownName(KeyError):
@@ -162,17 +217,107 @@ def metric_query(
     or "desc") pairs; remaining group columns settle ties. ``limit`` needs an order. With
     no ``by`` the result is one row.
     """
+    return _answer(
+        tables, _table(table), tables[table], measures, by, where, grain, order, limit, where_dimension
+    )
+
+
+def routed_query(
+    tables: Mapping[str, DataFrame],
+    table: str,
+    measures: Sequence[str],
+    by: Sequence[str] = (),
+    where: Column | str | None = None,
+    grain: str | None = None,
+    order: Sequence[tuple[str, str]] = (),
+    limit: int | None = None,
+    where_dimension: Mapping[str, Column | str] | None = None,
+) -> DataFrame:
+    """``metric_query`` on the smallest stored table that holds the answer.
+
+    A rollup is taken if it has every measure, dimension and joined key, the time at the
+    grain asked for, and the columns of ``where``; without one the table itself answers.
+    """
+    logical, rows = _table(table), tables[table]
+    filtered = _columns_in(where, rows)
+    for rollup in ROLLUPS:
+        if rollup.of != table or rollup.table not in tables:
+            continue
+        # The times of a rollup are not those of the rows it counts: filters by time need the rows.
+        if filtered <= set(rollup.keys) and _covers(rollup, logical, measures, by, grain, where_dimension or {}):
+            logical, rows = _narrowed(logical, rollup), _as_larger(rollup, tables[rollup.table])
+            break
+    return _answer(tables, logical, rows, measures, by, where, grain, order, limit, where_dimension)
+
+
+def _covers(
+    rollup: Rollup,
+    logical: LogicalTable,
+    measures: Sequence[str],
+    by: Sequence[str],
+    grain: str | None,
+    where_dimension: Mapping[str, Column | str],
+) -> bool:
+    joined = [*(d.split(".")[0] for d in by if "." in d), *where_dimension]
+    needed = [d for d in by if "." not in d and d not in rollup.time]
+    needed += [logical.joins[d][0] for d in joined if d in logical.joins]
+    timed = any(d in rollup.time for d in by)
+    return (
+        set(measures) <= set(rollup.counts)
+        and set(needed) <= set(rollup.keys)
+        and (not timed or grain in rollup.grains)
+        and (rollup.only_through is None or rollup.only_through in where_dimension)
+    )
+
+
+def _as_larger(rollup: Rollup, rows: DataFrame) -> DataFrame:
+    """Rows of the rollup under the names of the larger table."""
+    return rows.select(
+        *rollup.keys,
+        *[column().alias(name) for name, column in rollup.time.items()],
+        *[F.col(column).alias(f"__{measure}_counted") for measure, column in rollup.counts.items()],
+    )
+
+
+def _narrowed(logical: LogicalTable, rollup: Rollup) -> LogicalTable:
+    return LogicalTable(
+        name=rollup.table,
+        primary_key=(),
+        dimensions=rollup.keys,
+        time_dimensions=tuple(rollup.time),
+        measures={m: Measure(f"__{m}_counted", "total", "total") for m in rollup.counts},
+        joins={d: keys for d, keys in logical.joins.items() if keys[0] in rollup.keys},
+    )
+
+
+def _columns_in(where: Column | str | None, rows: DataFrame) -> set[str]:
+    """Columns that a condition names, as far as its text tells; quoted text names none."""
+    text = re.sub(r"'[^']*'", "", where) if isinstance(where, str) else str(where)
+    words = {w.lower() for w in re.findall(r"\w+", text)}
+    return {c for c in rows.columns if c.lower() in words}
+
+
+def _answer(
+    tables: Mapping[str, DataFrame],
+    logical: LogicalTable,
+    rows: DataFrame,
+    measures: Sequence[str],
+    by: Sequence[str],
+    where: Column | str | None,
+    grain: str | None,
+    order: Sequence[tuple[str, str]],
+    limit: int | None,
+    where_dimension: Mapping[str, Column | str] | None,
+) -> DataFrame:
     if limit is not None and not order:
         raise ValueError("limit without order would pick arbitrary rows")
     names = [d.split(".")[-1] for d in by]
     if len(set(names)) < len(names):
         raise ValueError(f"dimensions of the same name: {list(by)}")
-    logical = _table(table)
     wanted = {name: _measure(logical, name) for name in measures}
     own = [d for d in by if "." not in d]
     foreign = [tuple(d.split(".", 1)) for d in by if "." in d]
 
-    rows = tables[table]
     if where is not None:
         rows = rows.filter(where)
     keys = [_group_column(logical, d, grain) for d in own]
@@ -247,7 +392,8 @@ def _final(name: str, measure: Measure) -> Column:
         return (total / F.nullif(count, F.lit(0))).alias(name)
     total = F.sum(f"__{name}")
     # Over no rows at all a count is zero.
-    return (F.coalesce(total, F.lit(0)) if measure.effective == "count" else total).alias(name)
+    counted = measure.effective in ("count", "total")
+    return (F.coalesce(total, F.lit(0)) if counted else total).alias(name)
 
 
 def _group_column(logical: LogicalTable, name: str, grain: str | None) -> Column:

@@ -110,6 +110,18 @@ def read_history(layers: Layers) -> DataFrame:
     return layers.table("snapshots", "aircraft_snapshot").drop(VALIDITY)
 
 
+def history_as_of(layers: Layers, moment: datetime) -> DataFrame:
+    """Versions valid at one moment; partitions of versions closed until then are not read."""
+    stored = layers.table("snapshots", "aircraft_snapshot")
+    open_or_later = (F.col(VALIDITY) == OPEN) | (F.col(VALIDITY) > _closing(moment))
+    return history.as_of(stored.filter(open_or_later).drop(VALIDITY), moment)
+
+
+def _closing(at: datetime) -> str:
+    """Partition of the versions closed at a moment; names are in the order of time."""
+    return at.strftime("%Y%m%dT%H%M%S.%f")
+
+
 class OlderRound(ValueError):
     """A snapshot round before the newest one."""
 
@@ -124,7 +136,7 @@ def advance_history(layers: Layers, aircraft: DataFrame, at: datetime) -> None:
     """
     target = ("snapshots", "aircraft_snapshot")
     layers.recover(*target)
-    closing = at.strftime("%Y%m%dT%H%M%S.%f")
+    closing = _closing(at)
     moment = F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
     if layers.exists(*target):
         newest = layers.partitions(*target, VALIDITY, [OPEN]).agg(F.max(history.VALID_FROM)).first()[0]

@@ -1,13 +1,15 @@
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pytest
-from helpers import rows, ts
+from helpers import plan_of, rows, ts
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from flightloom.operators import history
-from flightloom.plans.pipeline import OlderRound, advance_history, read_history
+from flightloom.plans.pipeline import OlderRound, advance_history, history_as_of, read_history
 from flightloom.plans.star import AIRCRAFT_HISTORY as SPEC
 from flightloom.sinks.tables import Layers
 
@@ -154,3 +156,42 @@ def test_events_get_the_operator_of_their_time(spark):
         ("e4", None),
         ("e5", None),
     ]
+
+
+def test_ordered_passes_agree_with_the_join(spark):
+    import random
+
+    draw = random.Random(4)
+    start = ts("2024-01-01")
+    schema = "icao24 string, op string, dbt_valid_from timestamp_ntz, dbt_valid_to timestamp_ntz"
+    versions = []
+    # A key with 10,000 versions, some apart from the next, one with few, one whose last is closed.
+    for i in range(10_000):
+        begin = start + timedelta(minutes=30 * i)
+        versions.append(("many", f"m{i}", begin, begin + timedelta(minutes=draw.choice([30, 30, 20]))))
+    versions += [("few", None, start, start + timedelta(days=2)), ("few", "f2", start + timedelta(days=2), None)]
+    versions += [("shut", "s", start + timedelta(days=1), start + timedelta(days=2)), (None, "none", start, None)]
+    # A third of all events are of one aircraft; some come at the very moment of a change.
+    events = [("many", start + timedelta(minutes=draw.randrange(-3000, 320_000))) for _ in range(1500)]
+    events += [(draw.choice(["few", "shut", "strange", None]), start + timedelta(minutes=draw.randrange(0, 6000))) for _ in range(500)]
+    events += [("many", start + timedelta(minutes=30 * i)) for i in range(0, 400)]
+    events += [("few", start), ("few", start + timedelta(days=2)), ("few", None), (None, None), ("shut", start + timedelta(days=2))]
+    history_ = spark.createDataFrame(versions, schema)
+    seen = spark.createDataFrame([(i, *e) for i, e in enumerate(events)], "n int, icao24 string, at timestamp_ntz")
+    joined = history.attribute_at_event(seen, history_, "icao24", "at", ["op"])
+    ordered = history.attribute_in_order(seen, history_, "icao24", "at", ["op"])
+    assert ordered.columns == joined.columns
+    assert rows(ordered) == rows(joined)
+    assert rows(history.attribute_in_order(seen, history_.limit(0), "icao24", "at", ["op"]), "op") == [(None,)] * len(events)
+    assert rows(history.attribute_in_order(seen.limit(0), history_, "icao24", "at", ["op"])) == []
+
+
+def test_closed_partitions_before_the_moment_are_not_read(layers, spark):
+    first, second = two_rounds(spark)
+    third = source(spark, ("same", "m", "Z"), ("moves", "m", "B"))
+    for frame, at in ((first, T1), (second, T2), (third, T3)):
+        advance_history(layers, frame, at)
+    for moment in (T1, T2, T3, ts("2024-02-15"), ts("2023-01-01")):
+        assert rows(history_as_of(layers, moment)) == rows(history.as_of(read_history(layers), moment))
+    filters = plan_of(history_as_of(layers, T2)).split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert "validity" in filters and "20240201T000000.000000" in filters

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from helpers import aircraft, flight, raw_aircraft, raw_flights, rows, ts
+from helpers import aircraft, flight, plan_of, raw_aircraft, raw_flights, rows, ts
 
 from flightloom.plans import curated, dashboard, marts, metrics, staging, star
 from flightloom.sources.reference import default_airports
@@ -181,3 +181,54 @@ def test_condition_on_a_dimension_that_is_not_grouped_by(tables):
 def test_limit_needs_an_order(tables):
     with pytest.raises(ValueError, match="order"):
         metrics.metric_query(tables, "fct_flights", ["flight_count"], by=["operator_icao"], limit=3)
+
+
+def answering(tables, monkeypatch, **question):
+    """The table that a routed question reads, and whether the answer is that of the fact."""
+    read = []
+    answer = metrics._answer
+
+    def noted(tables_, logical, *rest):
+        read.append(logical.name)
+        return answer(tables_, logical, *rest)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(metrics, "_answer", noted)
+        routed = metrics.routed_query(tables, "fct_flights", **question)
+    direct = metrics.metric_query(tables, "fct_flights", **question)
+    assert routed.columns == direct.columns
+    assert rows(routed) == rows(direct)
+    return read[0]
+
+
+COUNT = ["flight_count"]
+
+
+@pytest.mark.parametrize(("table", "question"), [
+    ("mart_airport_traffic", {"measures": COUNT}),
+    ("mart_airport_traffic", {"measures": COUNT, "by": ["airport_icao"]}),
+    ("mart_airport_traffic", {"measures": COUNT, "by": ["dim_airports.country", "first_seen_at"], "grain": "week"}),
+    ("mart_airport_traffic", {"measures": COUNT, "where": "airport_icao = 'EGLL'"}),
+    ("mart_airport_traffic", {"measures": COUNT, "where": "airport_icao = 'nowhere'"}),
+    ("mart_airport_traffic", {"measures": COUNT, "where_dimension": {"dim_airports": "country = 'Spain'"}}),
+    ("mart_traffic_patterns", {"measures": COUNT, "by": ["flight_type"]}),
+    ("mart_traffic_patterns", {"measures": COUNT, "by": ["first_seen_at"], "grain": "hour"}),
+    ("mart_traffic_patterns", {"measures": COUNT, "where": "flight_type = 'arrival'"}),
+    ("mart_airline_reliability", {"measures": COUNT, "by": ["operator_icao"], "where_dimension": {"dim_airlines": "airline_name IS NULL"}}),
+    # Nulls that the airlines' table lacks, times finer than any, measures that no rollup holds.
+    ("fct_flights", {"measures": COUNT, "by": ["operator_icao"]}),
+    ("fct_flights", {"measures": COUNT, "by": ["first_seen_at"]}),
+    ("fct_flights", {"measures": COUNT, "by": ["last_seen_at"], "grain": "day"}),
+    ("fct_flights", {"measures": ["flight_count", "avg_flight_duration_minutes"], "by": ["airport_icao"]}),
+    ("fct_flights", {"measures": COUNT, "where": "first_seen_at > timestamp_ntz'1970-01-01 00:01:00'"}),
+    ("fct_flights", {"measures": COUNT, "by": ["airport_icao"], "where": "icao24 = 'a1'"}),
+])
+def test_questions_go_to_the_smallest_table(tables, monkeypatch, table, question):
+    assert answering(tables, monkeypatch, **question) == table
+
+
+def test_routed_questions_read_no_fact(tables, layers):
+    layers.save_table("marts", "mart_traffic_patterns", tables["mart_traffic_patterns"])
+    stored = tables | {"mart_traffic_patterns": layers.table("marts", "mart_traffic_patterns")}
+    plan = plan_of(metrics.routed_query(stored, "fct_flights", COUNT, by=["flight_type"]))
+    assert "mart_traffic_patterns" in plan and "flight_id" not in plan
