@@ -220,15 +220,18 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
         classes.join(found, classes["fp"] == found["v"], "left").select("fp", F.coalesce("root", "fp").alias("root")),
         "simhash-roots",
     )
-    first = F.min(F.struct("missing", "number", "text_hash")).alias("first")
-    kept = stored(
-        prints.join(rooted, "fp").groupBy("root").agg(first).select(
-            F.col("first.missing").alias(missing), F.col("first.number").alias(number), F.col("first.text_hash").alias(hashed)
+    # Documents that go are the few: texts are not shuffled to find them.
+    document = F.struct("missing", "number", "text_hash")
+    placed = stored(prints.join(rooted, "fp").select("root", document.alias("d")).distinct(), "simhash-placed")
+    first = placed.groupBy("root").agg(F.min("d").alias("first"))
+    copies = stored(
+        placed.join(first, "root").where(F.col("d") != F.col("first")).select(
+            F.col("d.missing").alias(missing), F.col("d.number").alias(number), F.col("d.text_hash").alias(hashed)
         ),
-        "simhash-kept",
+        "simhash-copies",
     )
     key = [missing, number, hashed]
-    return one_row_each(join_counted(keyed, kept, key, "left_semi"), *key).select(*docs.columns)
+    return one_row_each(join_counted(keyed, copies, key, "left_anti"), *key).select(*docs.columns)
 
 
 def _keyed_prints(rows: DataFrame) -> DataFrame:

@@ -47,7 +47,9 @@ PART = 24
 STEPS = 150
 RATE = 1.0
 #: Different words that a task remembers; beyond, it begins anew.
-MEMORY = 400_000
+MEMORY = 200_000
+#: Words whose n-grams a task cuts at once.
+CUT = 10_000
 
 _WORD = re.compile(r"[^\W_]+")
 
@@ -202,8 +204,8 @@ def scorer(weights: np.ndarray, bias: float):
             begin = len(place)
             while begin + len(new) > len(store):
                 store = np.concatenate([store, np.zeros(len(store))])
-            for at in range(0, len(new), 50_000):
-                part = new[at : at + 50_000]
+            for at in range(0, len(new), CUT):
+                part = new[at : at + CUT]
                 grams, counts = subwords(part)
                 store[begin + at : begin + at + len(part)] = _means(weights[grams], counts)
             place.update(zip(new, range(begin, begin + len(new)), strict=True))
@@ -214,7 +216,7 @@ def scorer(weights: np.ndarray, bias: float):
     return score
 
 
-_SLICE_CHARS = 3_000_000
+_SLICE_CHARS = 1_000_000
 
 
 def _slices(texts: list[str | None]) -> Iterator[list[str | None]]:
