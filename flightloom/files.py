@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,37 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(place, True)
 
 
+def names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below a path."""
+    system, place = _open(spark, path)
+    if not system.exists(place):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(place) if s.isFile())
+
+
+def publish(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that appears whole or not at all; a name that is taken is refused."""
+    system, place = _open(spark, path)
+    aside = place.suffix(f".{uuid.uuid4().hex[:8]}.tmp")
+    out = system.create(aside, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if system.exists(place) or not system.rename(aside, place):
+        system.delete(aside, False)
+        raise FileExistsError(path)
+
+
+def content(spark: SparkSession, path: str) -> str:
+    system, place = _open(spark, path)
+    stream = system.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 

@@ -286,6 +286,9 @@ ORDER BY icao24, first_seen, flight_type, _dlt_load_id DESC NULLS FIRST,
   est_departure_airport DESC NULLS FIRST, last_seen DESC NULLS FIRST,
   est_arrival_airport DESC NULLS FIRST, callsign DESC NULLS FIRST""",
     "merge_out_of_order": _MOST_RECENT,
+    "merge_on_read": _MOST_RECENT,
+    "merge_compacted": _MOST_RECENT,
+    "snapshot_as_of": _MOST_RECENT.replace("FROM raw_flights", "FROM raw_flights WHERE _dlt_load_id < '1700086400'"),
     "stream_any_batch_size": f"SELECT {_FLIGHT_COLUMNS}, _dlt_load_id FROM landed_once",
     "sink_full_reload": "FROM raw_aircraft_v2",
     "sink_row_count": " UNION ALL ".join(

@@ -34,6 +34,7 @@ from flightloom.schemas import (
     LOAD_ID,
 )
 from flightloom.session import scratch_dir
+from flightloom.sinks.snapshots import SnapshotTable
 from flightloom.sources import landing, reference, tables
 from flightloom.streaming.landing import follow_landing
 
@@ -224,6 +225,42 @@ def merge_out_of_order(ws: Workspace) -> DataFrame:
     return layers.table("raw", "flights").select(*EVENT_COLUMNS, LOAD_ID)
 
 
+def _snapshots(ws: Workspace) -> tuple[SnapshotTable, int]:
+    """Raw flights as snapshots by year seen, the older loads in two batches and the newer in two; and
+    the number of the snapshot before the newer ones."""
+    raw = ws.table("raw_flights").select(*EVENT_COLUMNS, LOAD_ID)
+    rows = raw.withColumn(pipeline.SEEN_ON, F.trunc(epoch_to_ntz(F.col("first_seen")).cast("date"), "year"))
+    table = SnapshotTable(ws.spark, scratch_dir(ws.spark, "snapshots"), FLIGHT_KEY, LOAD_ID, pipeline.SEEN_ON)
+    newer, departed = F.col(LOAD_ID) >= RELOAD_FROM, F.col("flight_type") == "departure"
+    older = [rows.filter(~newer & departed), rows.filter(~newer & ~departed)]
+    numbers = [table.write(part, only_changes=False).number for part in older]
+    for part in (rows.filter(newer & ~departed), rows.filter(newer & departed)):
+        table.write(part)
+    return table, numbers[-1]
+
+
+@query
+def merge_on_read(ws: Workspace) -> DataFrame:
+    """Batches stored beside the rows they change, merged when they are read."""
+    return _snapshots(ws)[0].read().select(*EVENT_COLUMNS, LOAD_ID)
+
+
+@query
+def merge_compacted(ws: Workspace) -> DataFrame:
+    """The same after compaction, with older snapshots gone."""
+    table, _ = _snapshots(ws)
+    table.compact(most=0)
+    table.expire(keep=1)
+    return table.read().select(*EVENT_COLUMNS, LOAD_ID)
+
+
+@query
+def snapshot_as_of(ws: Workspace) -> DataFrame:
+    """The table as it was before the newer loads, read after them."""
+    table, number = _snapshots(ws)
+    return table.read(number).select(*EVENT_COLUMNS, LOAD_ID)
+
+
 @query
 def sink_full_reload(ws: Workspace) -> DataFrame:
     layers = ws.new_layers("reload")

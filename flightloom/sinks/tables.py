@@ -146,7 +146,7 @@ class Layers:
                 announce(values, newest)
             return values
         declared = self._schema(schema, model)
-        _refuse_unknown(batch, declared, self.name(schema, model))
+        refuse_unknown(batch, declared, self.name(schema, model))
         place = scratch_dir(self.spark, f"batch-{model}")
         latest_per_key(batch, keys, recency).write.parquet(place)
         staged = self.spark.read.schema(batch.schema).parquet(place)
@@ -206,7 +206,7 @@ class Layers:
         if not self.exists(schema, model):
             return self.save_table(schema, model, df, partition_by)
         declared = self._schema(schema, model)
-        _refuse_unknown(df, declared, self.name(schema, model))
+        refuse_unknown(df, declared, self.name(schema, model))
         root = self.location(schema, model)
         build = f"{root}__build_{uuid.uuid4().hex[:8]}"
         typed = df.select(*[F.col(f.name).cast(f.dataType) for f in declared.fields])
@@ -274,7 +274,7 @@ class Layers:
         return written.get["rows"]
 
 
-def _refuse_unknown(df: DataFrame, declared: T.StructType, table: str) -> None:
+def refuse_unknown(df: DataFrame, declared: T.StructType, table: str) -> None:
     known = {name.lower() for name in declared.names}
     unknown = [c for c in df.columns if c.lower() not in known]
     if unknown:
