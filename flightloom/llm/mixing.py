@@ -13,8 +13,9 @@ source's words meet its target to within a document of mean size, and a source w
 all rows is as many tasks as its blocks.
 
 Defined results: null text has size 0; a document of size 0 is taken 0 times. A null source is
-a source, ordered last. Random numbers are hashes of doc_id, so reruns agree. Repeated rows
-are documents of their own; a null doc_id is a document like any other.
+a source, ordered last. Random numbers are hashes of doc_id, text and the number of the copy, so
+reruns agree. Repeated rows are documents of their own; a null doc_id is a document like any
+other. However many rows share an id, or the lack of one, they are dealt over all blocks.
 """
 
 from __future__ import annotations
@@ -27,17 +28,40 @@ from flightloom.llm.common import join_counted, nullable_key, stored
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents that meet in one task.
 BLOCK = 256
+#: Copies of one row that one task numbers.
+COPIES = 1 << 16
 
 _OPEN = "struct<doc_id:bigint,row:bigint,size:bigint,source_size:bigint,target:double,whole:bigint,p:double>"
 _DONE = "struct<doc_id:bigint,row:bigint,size:bigint,source_size:bigint,target:double,copies:bigint>"
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    return docs.select(
+    """doc_id, source, size, text_hash, n: rows that are equal are one, n times."""
+    measured = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64("text").alias("text_hash"),
     )
+    return measured.groupBy(*measured.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def numbered(counted: DataFrame, copies: int = COPIES) -> DataFrame:
+    """doc_id, source, size, row: a row for each document of ``sizes``.
+
+    ``row`` tells rows of one doc_id apart: a hash of the text and the number of the copy, below
+    zero if doc_id is null. Rows with many copies are numbered by many tasks.
+    """
+    few = counted.where(F.col("n") <= copies).withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / copies)))
+    chunks = counted.where(F.col("n") > copies).withColumn("chunk", chunk)
+    spread = chunks.repartition("doc_id", "source", "text_hash", "chunk")
+    first = F.col("chunk") * copies
+    last = F.least(first + copies, F.col("n")) - 1
+    many = spread.withColumn("copy", F.explode(F.sequence(first, last))).drop("chunk")
+    row = F.pmod(F.xxhash64("text_hash", "copy"), F.lit(2**62))
+    signed = F.when(F.col("doc_id").isNull(), -1 - row).otherwise(row)
+    return few.unionByName(many).select("doc_id", "source", "size", signed.alias("row"))
 
 
 def source_targets(
@@ -177,7 +201,8 @@ def _reduce(opened: DataFrame, most_rows: int, block: int, label: str) -> tuple[
 
 def _decide(last: DataFrame) -> DataFrame:
     """The last open document of a source is taken with its own probability."""
-    taken = F.when(_uniform(F.col("open.doc_id"), F.lit(29)) < F.col("open.p"), 1).otherwise(0)
+    drawn = _uniform(F.col("open.doc_id"), F.col("open.row"), F.lit(29))
+    taken = F.when(drawn < F.col("open.p"), 1).otherwise(0)
     return last.withColumn("taken", taken)
 
 
@@ -186,7 +211,7 @@ KNOWN = ["doc_id", "size", "source_size", "target"]
 
 def _flat(done: DataFrame) -> DataFrame:
     """The columns of decided documents ``d``; ids that were null are null again."""
-    doc_id = F.when(F.col("d.row") == 0, F.col("d.doc_id")).alias("doc_id")
+    doc_id = F.when(F.col("d.row") >= 0, F.col("d.doc_id")).alias("doc_id")
     return done.select(doc_id, *[f"d.{c}" for c in [*KNOWN[1:], "copies"]])
 
 
@@ -201,13 +226,13 @@ def mix(
     Documents above the mean size of their source meet first. What deciding the last of them
     adds or takes is spread over the fractions of the smaller ones, which then meet.
     """
-    sized = stored(sizes(docs), "mix-sizes")
+    sized = stored(numbered(stored(sizes(docs), "mix-texts")), "mix-sizes")
     targets = stored(source_targets(sized, weights, most), "mix-targets")
     n_sources, most_rows = targets.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(1))).first()
     key = nullable_key(F.col("source")).alias("source_key")
     rate = F.when(F.col("size") * F.col("source_size") > 0, F.col("target") / F.col("source_size"))
     rated = join_counted(
-        sized.select(key, "doc_id", "size"),
+        sized.select(key, "doc_id", "row", "size"),
         targets.select(key, "source_size", "n", "target"),
         ["source_key"],
         rows=n_sources,
@@ -218,7 +243,7 @@ def mix(
     parts = [rated.where(F.col("p") <= 0).select(*KNOWN, F.col("whole").alias("copies"))]
     document = F.struct(
         F.coalesce("doc_id", F.lit(-1)).alias("doc_id"),
-        F.when(F.col("doc_id").isNull(), 1).otherwise(0).cast("long").alias("row"),
+        "row",
         "size",
         "source_size",
         "target",

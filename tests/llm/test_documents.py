@@ -11,6 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from flightloom.llm import common, decontamination, langid, lm, mixing, pii, queries, simhash, substrings, toxicity
 
@@ -193,6 +194,24 @@ def test_mix_of_odd_rows(odd_docs, no_docs):
     assert mixing.mix(no_docs).collect() == []
 
 
+def test_many_rows_of_one_id_meet_in_many_blocks(spark):
+    """Null and repeated ids, some of them with thousands of equal rows, are spread over the blocks."""
+    ids = "CASE WHEN id % 3 = 0 THEN null WHEN id % 3 = 1 THEN 7 ELSE id END"
+    text = "CASE WHEN id % 2 = 0 THEN 'one and the same text' ELSE repeat('w ', cast(1 + id % 9 AS int)) END"
+    docs = spark.range(20_000).selectExpr(f"{ids} AS doc_id", "'en' AS lang", f"{text} AS text", "id % 2 = 1 AS small")
+    docs = docs.selectExpr("doc_id", "text", "CASE WHEN small THEN 'a' ELSE 'b' END AS source")
+    rows = mixing.numbered(mixing.sizes(docs), copies=100)
+    assert rows.count() == 20_000 and rows.distinct().count() == 20_000
+    assert rows.where("(row < 0) != (doc_id IS NULL)").count() == 0
+    blocks = rows.groupBy("source", F.pmod(F.xxhash64("doc_id", "row", F.lit(0)), F.lit(40)).alias("block")).count()
+    assert blocks.agg(F.max("count")).first()[0] < 2 * 10_000 / 40
+    got = mixing.mix(docs).groupBy("doc_id").agg(F.count("*").alias("n"), F.sum(F.col("copies") * F.col("size")).alias("w"))
+    found = {r["doc_id"]: r["n"] for r in got.collect()}
+    assert found[None] == 6_667 and found[7] == 6_667 and len(found) == 2 + 6_666
+    per = mixing.mix(docs).groupBy("source_size").agg(F.sum(F.col("copies") * F.col("size")).alias("w"), F.max("target").alias("t"))
+    assert all(abs(r["w"] - r["t"]) <= 9 for r in per.collect())
+
+
 # --- toxicity ----------------------------------------------------------------------
 
 
@@ -221,6 +240,52 @@ def test_toxicity_knows_misspellings(spark):
     assert (predicted == truth.astype(bool)).mean() > 0.95
 
 
+def plain_score(weights, bias, text):
+    """The score word by word, gram by gram."""
+    total, found = 0.0, toxicity.words(text)
+    for word in found:
+        marked, grams = f"<{word}>", []
+        for n in toxicity.GRAMS:
+            for at in range(len(marked) - n + 1):
+                code = 0
+                for c in marked[at : at + n]:
+                    code = (code * 0x100000001B3 + ord(c) + 1) % 2**64
+                grams.append(((code * 0x9E3779B97F4A7C15) % 2**64 >> 40) % toxicity.BUCKETS)
+        total += sum(weights[g] for g in grams) / len(grams) if grams else 0.0
+    return 1 / (1 + math.exp(-(bias + (total / len(found) if found else 0.0))))
+
+
+def test_scores_are_those_of_a_loop_over_words_and_grams():
+    rng = np.random.default_rng(4)
+    weights, bias = rng.normal(0, 2, toxicity.BUCKETS), -0.3
+    score = toxicity.scorer(weights, bias)
+    texts = ["", None, "a", "one two two", "漢字 ß É x1", "word " * 300 + "another", "one other"]
+    for _ in range(2):
+        got = score(texts)
+        assert all(math.isclose(a, plain_score(weights, bias, t), abs_tol=1e-9) for a, t in zip(got, texts, strict=True))
+
+
+def test_the_loss_falls_along_the_gradient(monkeypatch):
+    """The products in slices are those of whole matrices, and training lowers the loss."""
+    texts, labels = toxic_texts(120, 5)
+    whole = toxicity.train(texts, labels, steps=5)
+    monkeypatch.setattr(toxicity, "_ENTRIES", 7)
+    sliced = toxicity.train(iter(texts), iter(labels.tolist()), steps=5)
+    assert np.allclose(whole[0], sliced[0], atol=1e-6) and math.isclose(whole[1], sliced[1], abs_tol=1e-6)
+    vocabulary, classes, part, word, weight = toxicity._matrix(texts, labels)
+    dense = np.zeros((len(classes), len(vocabulary)))
+    dense[part, word] = weight
+    values = np.random.default_rng(1).normal(size=(2, len(vocabulary)))
+    assert np.allclose(toxicity._product(part, word, weight, values, len(classes)), values @ dense.T)
+    back = np.random.default_rng(2).normal(size=(2, len(classes)))
+    assert np.allclose(toxicity._product(word, part, weight, back, len(vocabulary)), back @ dense)
+    losses = []
+    for steps in (1, 30):
+        p = np.clip(toxicity.scorer(*toxicity.train(texts, labels, steps=steps))(texts), 1e-9, 1 - 1e-9)
+        losses.append(-np.mean(np.where(labels == 1, np.log(p) / labels.mean(), np.log(1 - p) / (1 - labels.mean()))))
+    assert losses[1] < losses[0] / 2
+
+
 def test_training_reads_whole_texts(spark):
     clean = "plain words here " * 4_000
     docs = spark.createDataFrame([(1, clean + "vile"), (2, clean + "fine")], "doc_id long, text string")
