@@ -20,7 +20,7 @@ labels of one doc_id: toxic if any says so; null labels don't count. Repeated ro
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +90,25 @@ def _means(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return sums / np.maximum(counts, 1).reshape(-1, *[1] * (values.ndim - 1))
 
 
-def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7) -> tuple[np.ndarray, float]:
-    """Scores per bucket and the bias: log-odds of a text are bias + mean over its words."""
+#: Entries of the sparse matrix that are multiplied at once.
+_ENTRIES = 1 << 18
+
+
+def _product(to: np.ndarray, of: np.ndarray, weight: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Sparse matrix (entries at ``to``, ``of``) times each row of ``values``, a slice of entries at a time."""
+    out = np.zeros((len(values), size))
+    for at in range(0, len(to), _ENTRIES):
+        part = slice(at, at + _ENTRIES)
+        # Entries are ordered by text: a slice goes to few of them.
+        low = int(to[part].min())
+        for d, row in enumerate(values):
+            sums = np.bincount(to[part] - low, row[of[part]] * weight[part])
+            out[d, low : low + len(sums)] += sums
+    return out
+
+
+def _matrix(texts: Iterable[str], toxic: Iterable[int]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, classes of the parts, and entries: part, word, share of the part's words."""
     place: dict[str, int] = {}
     held_by: list[np.ndarray] = []
     classes: list[int] = []
@@ -103,17 +120,25 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
             part = ids[at : at + size]
             held_by.append(np.stack(np.unique(part, return_counts=True)).astype(np.int32))
             classes.append(int(label))
-    toxic = np.array(classes)
-    # A sparse matrix as triples: text, word, share of the text's words.
-    text_of = np.repeat(np.arange(len(toxic)), np.array([h.shape[1] for h in held_by], np.int64))
+    text_of = np.repeat(np.arange(len(classes), dtype=np.int32), [h.shape[1] for h in held_by])
     word_of, times = np.concatenate([*held_by, np.zeros((2, 0), np.int32)], axis=1)
     del held_by
-    weight = times / np.bincount(text_of, times, len(toxic))[text_of]
+    weight = times / np.bincount(text_of, times, len(classes))[text_of]
     known = np.bincount(word_of, minlength=len(place)) >= LEAST_TEXTS
     kept = known[word_of]
-    text_of, word_of, weight = text_of[kept], (np.cumsum(known) - 1)[word_of[kept]], weight[kept]
+    number = (np.cumsum(known) - 1).astype(np.int32)
     vocabulary = [w for w, k in zip(place, known, strict=True) if k]
-    del place
+    return vocabulary, np.array(classes), text_of[kept], number[word_of[kept]], weight[kept]
+
+
+def train(
+    texts: Iterable[str], toxic: Iterable[int], steps: int = STEPS, seed: int = 7
+) -> tuple[np.ndarray, float]:
+    """Scores per bucket and the bias: log-odds of a text are bias + mean over its words.
+
+    Texts are read once and not kept.
+    """
+    vocabulary, toxic, text_of, word_of, weight = _matrix(texts, toxic)
     share = float(np.clip(toxic.mean(), 1e-3, 1 - 1e-3)) if len(toxic) else 0.0
     if not len(toxic) or toxic.min() == toxic.max() or not vocabulary:
         return np.zeros(BUCKETS), float(np.log(share / (1 - share))) if share else NO_LABELS
@@ -136,16 +161,12 @@ def train(texts: list[str], toxic: np.ndarray, steps: int = STEPS, seed: int = 7
         word_vec = np.stack(
             [np.bincount(gram_word, e[d][grams] * gram_weight, len(vocabulary)) for d in range(DIMENSIONS)]
         )
-        text_vec = SCALE * np.stack(
-            [np.bincount(text_of, word_vec[d][word_of] * weight, len(toxic)) for d in range(DIMENSIONS)]
-        )
+        text_vec = SCALE * _product(text_of, word_of, weight, word_vec, len(toxic))
         logits = text_vec.T @ u + params["bias"]
         odds = np.exp(logits - logits.max(axis=1, keepdims=True))
         error = (odds / odds.sum(axis=1, keepdims=True) - target) * balance
         text_grad = SCALE * (error @ u.T).T
-        word_grad = np.stack(
-            [np.bincount(word_of, text_grad[d][text_of] * weight, len(vocabulary)) for d in range(DIMENSIONS)]
-        )
+        word_grad = _product(word_of, text_of, weight, text_grad, len(vocabulary))
         grads = {
             "embedding": np.stack(
                 [np.bincount(grams, word_grad[d][gram_word] * gram_weight, BUCKETS) for d in range(DIMENSIONS)]
@@ -184,8 +205,9 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Da
 
 
 def _fit(_: tuple, rows: pa.Table) -> pa.Table:
-    found = sorted(zip(rows["text"].to_pylist(), rows["toxic"].to_pylist(), strict=True))
-    weights, bias = train([t for t, _ in found], np.array([y for _, y in found], np.int64))
+    # In an order of their own, so that reruns agree; one text at a time becomes a string.
+    rows = rows.combine_chunks().sort_by("doc_id")
+    weights, bias = train((t.as_py() for t in rows["text"]), (y.as_py() for y in rows["toxic"]))
     return pa.table({"weights": pa.array([weights.astype(np.float32).tobytes()], pa.binary()), "bias": [bias]})
 
 
