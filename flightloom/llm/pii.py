@@ -184,20 +184,26 @@ def _disclosure(texts: int, n_term: str) -> Column:
 
 def disclosures(docs: DataFrame, holders: DataFrame, texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """entity, term, disclosure for the pairs that reach ``least``."""
-    most = holders.agg(F.max("n_id")).first()[0]
-    if most is None:
+    # An identifier that all texts hold is given away by nothing.
+    holders = holders.where(F.col("n_id") < texts)
+    # The most frequent identifier of a text bounds what any term of it may disclose there.
+    some = stored(holders.groupBy("text_hash").agg(F.max("n_id").alias("most")), "pii-holding")
+    n_some = some.count()
+    if n_some == 0:
         return holders.select("entity", F.lit("").alias("term"), F.lit(0.0).alias("disclosure")).limit(0)
     everywhere = docs.where(F.col("text").isNotNull()).withColumn("text_hash", F.xxhash64("text"))
-    some = stored(holders.select("text_hash").distinct(), "pii-holding")
-    holding = join_counted(everywhere.select("text_hash", "text"), some, ["text_hash"], "left_semi")
-    held = stored(holding.select("text_hash", F.explode(_terms(F.col("text"))).alias("term")).distinct(), "pii-held")
+    holding = join_counted(everywhere.select("text_hash", "text"), some, ["text_hash"], rows=n_some)
+    held = stored(holding.select("text_hash", "most", F.explode(_terms(F.col("text"))).alias("term")).distinct(), "pii-held")
     # Texts that hold an identifier and the term are some of those that hold it: a bound on
     # n(term), and so on the disclosure, even if all texts with the identifier had the term.
-    # Common words fall under it before pairs are made or the corpus is searched for them.
-    near = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_near")).where(F.col("n_near") >= support)
-    near = near.withColumn("n_id", F.lit(most)).withColumn("n_both", F.lit(most))
+    # Common words fall under it before pairs are made or the corpus is searched for them: first
+    # the terms that reach no identifier, then each where it stands beside rarer ones.
+    near = held.groupBy("term").agg(F.count(F.lit(1)).alias("n_near"), F.max("most").alias("n_id"))
+    near = near.where(F.col("n_near") >= support).withColumn("n_both", F.col("n_id"))
     near = stored(near.where(_disclosure(texts, "n_near") >= least).select("term", "n_near"), "pii-near")
-    pairs = join_counted(join_counted(held, near, ["term"]), holders, ["text_hash"]).withColumn("n_both", F.col("n_id"))
+    met = join_counted(held, near, ["term"]).withColumn("n_id", F.col("most")).withColumn("n_both", F.col("most"))
+    met = met.where(_disclosure(texts, "n_near") >= least).select("text_hash", "term", "n_near")
+    pairs = join_counted(met, holders, ["text_hash"]).withColumn("n_both", F.col("n_id"))
     possible = pairs.where(_disclosure(texts, "n_near") >= least)
     reached = (
         possible.select("entity", "term", "n_id", "n_near", "counts_as")

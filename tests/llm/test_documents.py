@@ -388,6 +388,71 @@ def test_a_term_far_from_its_identifier_counts_and_goes(spark):
     assert cleaned[len(texts) - 1] == texts[-1]
 
 
+def plain_disclosures(texts: list[str], support: int, least: float) -> dict:
+    """By counting every pair of an address and a term; texts are words between spaces."""
+    said = [set(t.split()) for t in texts]
+    terms = [{w.lower() for w in words if "@" not in w and len(w) >= 4} for words in said]
+    out = {}
+    for mail in {w for words in said for w in words if "@" in w}:
+        at = [i for i, words in enumerate(said) if mail in words]
+        if len(at) == len(texts):
+            continue
+        for term in set().union(*(terms[i] for i in at)):
+            both, n = sum(term in terms[i] for i in at), sum(term in t for t in terms)
+            value = math.log2(both * len(texts) / (len(at) * n)) / math.log2(len(texts) / len(at))
+            assert abs(value - least) > 1e-9
+            if both >= support and value >= least:
+                out["email:" + mail, term] = pytest.approx(value)
+    return out
+
+
+def disclosed(spark, texts: list[str]) -> dict:
+    docs = frame(spark, texts)
+    holders = pii._holders(pii._contexts(pii.identifiers(docs)), pii.SUPPORT)
+    told = pii.disclosures(docs, holders, len(texts)).collect()
+    assert len({(r["entity"], r["term"]) for r in told}) == len(told)
+    return {(r["entity"], r["term"]): r["disclosure"] for r in told}
+
+
+@pytest.mark.parametrize("shuffled", [False, True])
+def test_disclosures_are_those_of_a_plain_count(spark, monkeypatch, shuffled):
+    """Rare and frequent addresses, one that all texts hold, terms tied to them more or less."""
+    if shuffled:
+        monkeypatch.setattr(common, "BROADCAST_ROWS", 0)
+    random = np.random.default_rng(11)
+    letters = "abcdefghijklmnopqrst"
+    shares = [0.03, 0.05, 0.1, 0.35, 0.6]
+    texts = []
+    for i in range(240):
+        own = "".join(letters[int(d)] for d in str(i))
+        parts = [f"{own}from all@texts.org"]
+        for k, share in enumerate(shares):
+            held = random.random() < share
+            if held:
+                parts.append(f"{own}near{letters[k]} id{k}@host{k}.org")
+            for j, tie in enumerate((0.95, 0.7, 0.4)):
+                if random.random() < (tie if held else 0.004 * j):
+                    parts.append(f"Name{letters[k]}{letters[j]}")
+        parts += [f"common{letters[j]}" for j in range(6) if random.random() < 0.5]
+        texts.append(" ".join(parts))
+    want = plain_disclosures(texts, pii.SUPPORT, pii.GENERALISE)
+    assert len({mail for mail, _ in want}) >= 4 and len(want) >= 8
+    assert disclosed(spark, texts) == want
+
+
+def test_an_identifier_of_all_texts_hides_no_other(spark):
+    """It has no information of its own, but what discloses others goes all the same."""
+    letters = "abcdefghijklmnopqrst"
+    texts = [
+        f"{letters[i % 20]}{letters[i // 20]}sent from all@texts.org"
+        + (f" by Zorblax {letters[i]}{letters[i]}wrote zor@blax.org" if i < 5 else "")
+        for i in range(60)
+    ]
+    assert disclosed(spark, texts) == {("email:zor@blax.org", "zorblax"): pytest.approx(1.0)}
+    cleaned = {r["doc_id"]: r["text"] for r in pii.sanitise(frame(spark, texts)).collect()}
+    assert not any("Zorblax" in cleaned[i] for i in range(5)) and "sent from [EMAIL]" in cleaned[59]
+
+
 def test_long_lists_of_spans_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_ROWS", 10)
     docs = frame(spark, [" ".join(f"a{i}{j}@b.org" for j in range(20)) for i in range(3)])
