@@ -41,8 +41,6 @@ CONTEXT = 160
 SUPPORT = 3
 GENERALISE = 0.6
 REMOVE = 0.8
-#: One text in so many is searched for terms before all are.
-FIRST_PART = 16
 #: Shorter words are no terms.
 TERM = r"\p{L}{4,}"
 
@@ -182,6 +180,22 @@ def _disclosure(texts: int, n_term: str) -> Column:
     return F.when(content > 0, pmi / content).otherwise(F.lit(0.0))
 
 
+def _texts_with(rows: DataFrame) -> DataFrame:
+    """term, n_term: the different texts that hold each word of four letters or more.
+
+    Words are counted row by row, so that tasks add them up before anything is shuffled; what rows
+    that repeat a text count too much is taken off.
+    """
+    lower = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
+    words = F.explode(F.filter(lower, lambda w: F.length(w) >= 4)).alias("term")
+    repeated = rows.groupBy("text_hash").agg((F.count(F.lit(1)) - 1).alias("more")).where(F.col("more") > 0)
+    copies = join_counted(rows.select("text_hash", "text"), stored(repeated, "pii-repeated"), ["text_hash"])
+    once = copies.select("text_hash", "more", words).distinct()
+    taken_off = once.groupBy("term").agg((-F.sum("more")).alias("n"))
+    in_rows = rows.select(words).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    return in_rows.unionByName(taken_off).groupBy("term").agg(F.sum("n").alias("n_term"))
+
+
 def disclosures(docs: DataFrame, holders: DataFrame, texts: int, support: int = SUPPORT, least: float = GENERALISE) -> DataFrame:
     """entity, term, disclosure for the pairs that reach ``least``."""
     # An identifier that all texts hold is given away by nothing.
@@ -213,28 +227,12 @@ def disclosures(docs: DataFrame, holders: DataFrame, texts: int, support: int =
         .where((F.col("n_both") >= support) & (_disclosure(texts, "n_near") >= least))
     )
     often = stored(reached.select("entity", "term", "n_both", "n_id"), "pii-pairs")
-    words = F.array_distinct(F.transform(F.split("text", r"[^\p{L}]+"), F.lower))
-
-    def texts_with(terms: DataFrame, rows: DataFrame, n_terms: int) -> DataFrame:
-        held_in = rows.select("text_hash", F.explode(words).alias("term"))
-        met = join_counted(held_in, terms, ["term"], rows=n_terms).distinct()
-        return stored(met.groupBy("term").agg(F.count(F.lit(1)).alias("n_term")), "pii-term-texts")
-
-    # So do the texts of any part of the corpus: a small part settles most terms, and only the
-    # others are counted in all texts.
-    part = everywhere.where(F.pmod("text_hash", F.lit(FIRST_PART)) == 0)
-    for rows in (part, everywhere):
-        terms = stored(often.select("term").distinct(), "pii-terms")
-        n_terms = terms.count()
-        if n_terms == 0:
-            return often.select("entity", "term", F.lit(0.0).alias("disclosure")).limit(0)
-        counted = join_counted(often, texts_with(terms, rows, n_terms), ["term"], "left", n_terms)
-        bounded = counted.withColumn("n_term", F.coalesce("n_term", F.lit(0)))
-        kept = bounded.withColumn("disclosure", _disclosure(texts, "n_term")).where(F.col("disclosure") >= least)
-        often = stored(kept.drop("n_term"), "pii-pairs")
-        if rows is part:
-            often = often.drop("disclosure")
-    return often.select("entity", "term", "disclosure")
+    if often.isEmpty():
+        return often.select("entity", "term", F.lit(0.0).alias("disclosure")).limit(0)
+    counted = join_counted(_texts_with(everywhere), often, ["term"])
+    return counted.withColumn("disclosure", _disclosure(texts, "n_term")).where(F.col("disclosure") >= least).select(
+        "entity", "term", "disclosure"
+    )
 
 
 def find(docs: DataFrame) -> DataFrame:

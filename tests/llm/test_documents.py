@@ -440,6 +440,15 @@ def test_disclosures_are_those_of_a_plain_count(spark, monkeypatch, shuffled):
     assert disclosed(spark, texts) == want
 
 
+@pytest.mark.parametrize("rows", [0, 200_000])
+def test_texts_with_a_word_are_counted_once(spark, monkeypatch, rows):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", rows)
+    texts = ["Some words here, some THERE", "words of École", "", "école: a 1word", "nothing"]
+    docs = frame(spark, texts + texts[:2] * 40 + [texts[3]]).withColumn("text_hash", F.xxhash64("text"))
+    got = {r["term"]: r["n_term"] for r in pii._texts_with(docs).collect()}
+    assert got == {"some": 1, "words": 2, "here": 1, "there": 1, "école": 2, "word": 1, "nothing": 1}
+
+
 def test_an_identifier_of_all_texts_hides_no_other(spark):
     """It has no information of its own, but what discloses others goes all the same."""
     letters = "abcdefghijklmnopqrst"
