@@ -8,7 +8,7 @@ from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
 from flightloom.fixtures.queries import registered
-from flightloom.fixtures.workspace import workspace
+from flightloom.fixtures.workspace import Workspace, workspace
 from flightloom.operators.dedup import latest_per_key
 from flightloom.operators.lookup import lookup
 from flightloom.session import session_conf
@@ -31,6 +31,18 @@ def test_dedup_limits_groups_before_the_shuffle(spark):
     assert "PushedFilters: [IsNotNull(first_seen)]" in plan
 
 
+def test_raw_tables_are_stored_as_they_are_derived(spark, monkeypatch):
+    """No shuffle for the layout of files, and no table for a view over a large one."""
+    space = Workspace(spark, SF)
+    written, write = {}, space._written
+    monkeypatch.setattr(space, "_written", lambda name, df: written.setdefault(name, plan_of(df)) and write(name, df))
+    assert space.table("stg_flights").count() > 0
+    assert "raw_flights" in written and "stg_flights" not in written
+    assert "Exchange" not in written["raw_flights"]
+    assert {f.rsplit(".", 3)[-2] for f in space.table("raw_flights").inputFiles()} == {"zstd"}
+    assert {f.rsplit(".", 1)[-1] for f in spark.read.format("binaryFile").load(space.landing).inputFiles()} == {"gz"}
+
+
 def test_marts_read_only_their_columns(spark):
     space = workspace(spark, SF)
     for name, columns in (

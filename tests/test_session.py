@@ -55,3 +55,15 @@ def test_settings_are_put_back(spark):
         assert spark.conf.get(key) == "3"
         1 / 0  # noqa: B018
     assert spark.conf.get(key) == before
+
+
+def test_a_session_is_sized_for_a_large_input_only(spark):
+    partitions, split = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+    with session_conf(spark, {partitions: "8", split: "128MB"}):
+        session.size_session(spark, 100 * MIB)
+        assert (spark.conf.get(partitions), spark.conf.get(split)) == ("8", "128MB")
+        session.size_session(spark, 10_000 * MIB)
+        assert (int(spark.conf.get(partitions)), int(spark.conf.get(split))) == (40, 32 * MIB)
+        spark.conf.set(partitions, "211")
+        session.size_session(spark, 10_000 * MIB)
+        assert spark.conf.get(partitions) == "211"
