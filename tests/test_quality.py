@@ -33,6 +33,22 @@ def test_check_counts_agree_with_single_checks(frame, unique):
     assert counts == ({"unique:k": 1} if unique else {}) | expected
 
 
+@pytest.mark.parametrize("unique", ["k", "w", None])
+def test_failures_by_hash_are_those_by_value(spark, frame, unique):
+    wider = frame.withColumn("w", F.concat_ws("-", F.lit("w"), F.monotonically_increasing_id()))
+    given = (unique, ["k", "v"], {"v": ["x", "y"]})
+    assert quality.failure_counts(wider, *given) == quality.check_counts(wider, *given).first().asDict()
+
+
+def test_values_are_grouped_only_if_a_hash_is_repeated(spark, frame, monkeypatch):
+    asked, count = [], quality.check_counts
+    monkeypatch.setattr(quality, "check_counts", lambda df, unique, *a: asked.append(unique) or count(df, unique, *a))
+    assert quality.failure_counts(frame.filter("k = 'b' or k is null"), "k", [], {}) == {"unique:k": 0}
+    assert asked == ["__hash"]
+    assert quality.failure_counts(frame, "k", [], {}) == {"unique:k": 1}
+    assert asked[1:] == ["__hash", "k"]
+
+
 @pytest.mark.parametrize(
     ("hours", "status"), [(0, "pass"), (25, "pass"), (25.5, "warn"), (49, "warn"), (50, "error")]
 )
