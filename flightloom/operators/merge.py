@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from flightloom.functions import descending
 from flightloom.operators.dedup import latest_per_key
 
 
@@ -53,6 +54,27 @@ def changes(batch: DataFrame, existing: DataFrame, keys: Sequence[str], recency:
     )
 
 
+def news(batch: DataFrame, stored: DataFrame, keys: Sequence[str], recency: str) -> DataFrame:
+    """Rows of the batch, one per key, that ``changes`` calls written; both have the same columns.
+
+    The stored side may hold a key several times, once per earlier batch: the most recent of
+    these counts. One shuffle of both by key, and no row of a batch is met by more than the
+    stored ones of its key.
+    """
+    others = [c for c in batch.columns if c not in (*keys, recency)]
+    given, old = "__given", "__old"
+    sides = stored.select(*batch.columns, F.lit(False).alias(given)).union(batch.withColumn(given, F.lit(True)))
+    # Stored rows of a key come first, the most recent of them at the head.
+    order = [F.col(given).asc(), *descending(recency, *others)]
+    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    kept = F.when(~F.col(given), F.struct(recency, *others))
+    found = sides.withColumn(old, F.first(kept, ignorenulls=True).over(so_far)).filter(given)
+    mine, theirs = F.col(recency), F.col(f"{old}.{recency}")
+    same = reduce(and_, [F.col(f"{old}.{c}").eqNullSafe(F.col(c)) for c in others], F.lit(True))
+    changed = F.col(old).isNull() | (~same & ~_later(theirs, mine))
+    return found.filter(changed | _later(mine, theirs)).select(*batch.columns)
+
+
 def _later(one: Column, other: Column) -> Column:
     """Whether one recency is higher than another, null being the highest."""
     return F.when(other.isNull(), F.lit(False)).otherwise(one.isNull() | (one > other))

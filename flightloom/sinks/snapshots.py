@@ -27,7 +27,8 @@ from pyspark.sql import types as T
 
 from flightloom import files
 from flightloom.operators.dedup import latest_per_key
-from flightloom.operators.merge import changes
+from flightloom.operators.merge import news
+from flightloom.session import STORED
 from flightloom.sinks.tables import refuse_unknown
 
 #: Deltas of a partition up to which ``compact`` leaves it alone.
@@ -143,10 +144,11 @@ class SnapshotTable:
         touched = self._written(batch)
         if only_changes and touched:
             staged = self._folders(before, [(part, batch) for part in touched])
-            stored = self._rows(before, {p: b for p, b in before.parts.items() if p in set(touched)})
-            news = changes(staged, stored, self.keys, self.recency).where("written").select(*before.columns.names)
+            held = [(p, b) for p in touched for b in before.parts.get(p, ())]
+            if held:
+                staged = news(staged, self._folders(before, held), self.keys, self.recency)
             aside = batch
-            batch = self._write(news)
+            batch = self._write(staged)
             touched = self._written(batch)
             files.remove(self.spark, self._data(aside))
         if not touched:
@@ -187,7 +189,7 @@ class SnapshotTable:
     def _write(self, df: DataFrame) -> str:
         batch = uuid.uuid4().hex
         gathered = df.hint("rebalance", F.col(self.partition_by))
-        gathered.write.partitionBy(self.partition_by).parquet(self._data(batch))
+        gathered.write.options(**STORED).partitionBy(self.partition_by).parquet(self._data(batch))
         return batch
 
     def _written(self, batch: str) -> list[str]:

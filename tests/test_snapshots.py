@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from test_tables import KEYS, with_day
 
 from flightloom import files
-from flightloom.operators.merge import merge_rows
+from flightloom.operators.merge import changes, merge_rows, news
 from flightloom.schemas import LOAD_ID
 from flightloom.sinks.snapshots import SnapshotTable
 from flightloom.sinks.tables import UnknownColumns
@@ -157,3 +157,26 @@ def test_refusals(spark, table):
     with pytest.raises(FileExistsError):
         table._commit(None, table.snapshot().columns, {})
     assert len(seen(table.read())) == 4
+
+
+def test_news_are_the_written_rows_in_one_shuffle(spark):
+    stored = with_day(batches(spark)[0])
+    older = with_day(batches(spark)[2])
+    batch = with_day(
+        raw_flights(
+            spark,
+            flight(last=7, load="300"),  # more recent
+            flight(icao24="a2"),  # the same
+            flight(first=DAY, last=1, load="050"),  # older
+            flight(first=None, last=9, load="100"),  # older than the second batch
+            flight(icao24=None, first=DAY, load="400"),  # new, without a name
+            flight(icao24="a2", first=5, last=6, load=None),
+        )
+    )
+    found = news(batch, stored.union(older), KEYS, LOAD_ID)
+    plan = plan_of(found)
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    one = merge_rows(stored, older, KEYS, LOAD_ID)
+    want = changes(batch, one, KEYS, LOAD_ID).where("written").select(*batch.columns)
+    assert rows(found) == rows(want)
+    assert len(rows(want)) == 3
