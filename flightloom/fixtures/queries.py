@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flightloom import files
 from flightloom.fixtures.workspace import Workspace, workspace
 from flightloom.functions import (
     ascending,
@@ -33,7 +34,7 @@ from flightloom.schemas import (
     LANDED_FIELDS,
     LOAD_ID,
 )
-from flightloom.session import scratch_dir
+from flightloom.session import MIB, scratch_dir
 from flightloom.sinks.snapshots import SnapshotTable
 from flightloom.sources import landing, reference, tables
 from flightloom.streaming.landing import follow_landing
@@ -50,6 +51,8 @@ RELOAD_FROM = "1700086400"
 FRESHNESS_AS_OF = datetime(2023, 11, 17)
 WINDOW_DAY = date(1998, 6, 15)
 GAP_AIRPORT = AIRPORTS_IN_SCOPE[0]
+# Line items, in bytes, whose flights one task writes to the scattered folder.
+SCATTERED_BYTES = 16 * MIB
 
 _REGISTERED: dict[str, Callable[[Workspace], DataFrame]] = {}
 
@@ -1162,13 +1165,17 @@ def stream_landing(ws: Workspace) -> DataFrame:
 
 @query
 def stream_any_batch_size(ws: Workspace) -> DataFrame:
-    """Raw flights after following a folder file by file, with copies of a key far apart."""
+    """Raw flights after following a folder in batches of a sixth, with copies of a key far apart.
+
+    A small folder has six files, which are followed one by one.
+    """
     path = scratch_dir(ws.spark, "scattered")
     delivered = ws.table("raw_flights").drop(LOAD_ID).withColumn("day", F.lit(FIRST_ROUND.date()))
     delivered = delivered.withColumnsRenamed({v: k for k, v in LANDED_FIELDS.items()})
     # Rows are dealt by their content, so those of one key lie in different files.
-    scattered = delivered.repartition(3, F.xxhash64(*delivered.columns))
-    scattered.write.partitionBy("day", "flight_type").json(path)
+    tasks = max(3, -(-files.size(ws.spark, f"{ws.sf_dir}/lineitem.parquet") // SCATTERED_BYTES))
+    scattered = delivered.repartition(tasks, F.xxhash64(*delivered.columns))
+    scattered.write.partitionBy("day", "flight_type").json(path, compression="gzip")
     layers = ws.new_layers("by_file")
     follow_landing(
         layers,
@@ -1176,7 +1183,7 @@ def stream_any_batch_size(ws: Workspace) -> DataFrame:
         scratch_dir(ws.spark, "by-file-checkpoint"),
         "1700000000",
         grain="year",
-        files_per_batch=1,
+        files_per_batch=-(-tasks // 3),
     )
     return layers.table("raw", "flights").select(*EVENT_COLUMNS, LOAD_ID)
 

@@ -8,6 +8,8 @@ import pytest
 from helpers import rows
 from py4j.protocol import Py4JJavaError
 
+from flightloom.fixtures import queries
+from flightloom.fixtures.workspace import Workspace
 from flightloom.schemas import AIRCRAFT_COLUMNS
 from flightloom.sources import landing, reference, tables
 from flightloom.streaming.landing import follow_landing
@@ -157,3 +159,21 @@ def test_airport_seed_must_have_its_header(spark, tmp_path):
 def test_sql_over_views(spark):
     found = tables.run_sql(spark, "select sum(id) as s from {some_rows}", {"some_rows": spark.range(4)})
     assert rows(found) == [(6,)]
+
+
+def test_scattered_files_grow_in_number_and_are_followed_in_six_batches_or_fewer(spark, monkeypatch):
+    space = Workspace(spark, "/root/testdata/sf0.001")
+    followed = []
+
+    def follow(layers, path, *_, files_per_batch, **__):
+        found = spark.read.format("binaryFile").load(path).select("flight_type").collect()
+        followed.append((len(found), files_per_batch))
+        layers.save_table("raw", "flights", space.table("raw_flights"))
+
+    monkeypatch.setattr(queries, "follow_landing", follow)
+    queries.stream_any_batch_size(space)
+    monkeypatch.setattr(queries, "SCATTERED_BYTES", 20_000)
+    queries.stream_any_batch_size(space)
+    (few, one), (many, several) = followed
+    assert (few, one) == (6, 1)
+    assert many > 6 and -(-many // several) <= 6
