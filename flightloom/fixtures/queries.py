@@ -52,7 +52,7 @@ FRESHNESS_AS_OF = datetime(2023, 11, 17)
 WINDOW_DAY = date(1998, 6, 15)
 GAP_AIRPORT = AIRPORTS_IN_SCOPE[0]
 # Line items, in bytes, whose flights one task writes to the scattered folder.
-SCATTERED_BYTES = 16 * MIB
+SCATTERED_BYTES = 4 * MIB
 
 _REGISTERED: dict[str, Callable[[Workspace], DataFrame]] = {}
 
