@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Collection
 from urllib.parse import unquote
 
 from pyspark.sql import SparkSession
@@ -86,3 +87,11 @@ def partition_value(folder: str) -> str | None:
     """The value in a folder name ``column=value``; None for the null partition."""
     value = unquote(folder.partition("=")[2])
     return None if value == NULL_PARTITION else value
+
+
+def partition_paths(
+    spark: SparkSession, root: str, partition_by: str, values: Collection[str | None]
+) -> list[str]:
+    """Folders of the given partitions that are there."""
+    named = [f for f in folders(spark, root) if f.startswith(f"{partition_by}=")]
+    return [f"{root}/{f}" for f in named if partition_value(f) in values]

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from flightloom.functions import descending
 from flightloom.operators.dedup import latest_per_key
 
+# Columns by which ``merged_news`` says what a batch does to a row.
+FLAGS = ("__written", "__changed")
+
 
 def merge_rows(
     existing: DataFrame, batch: DataFrame, keys: Sequence[str], recency: str
@@ -54,6 +57,42 @@ def changes(batch: DataFrame, existing: DataFrame, keys: Sequence[str], recency:
     )
 
 
+def merged_news(
+    existing: DataFrame, batch: DataFrame, keys: Sequence[str], recency: str, partition_by: str, buckets: int = 1
+) -> DataFrame:
+    """``merge_rows`` of sides that hold a key once each, with what ``changes`` says of each row in ``FLAGS``.
+
+    Rows are dealt once, by partition and by ``buckets`` shares of its keys, and stay there: a task
+    has whole keys and writes few partitions. The partition column must follow from the key.
+    """
+    given, bucket, rank, old, new = "__given", "__bucket", "__rank", "__old", "__new"
+    rest = [c for c in existing.columns if c not in (*keys, recency)]
+    sides = existing.withColumn(given, F.lit(False)).unionByName(
+        batch.withColumn(given, F.lit(True)), allowMissingColumns=True
+    )
+    share = F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    dealt = sides.withColumn(bucket, share).repartition(partition_by, bucket)
+    of_key = Window.partitionBy(*dict.fromkeys([partition_by, bucket, *keys]))
+    ranked = of_key.orderBy(*descending(recency, *rest))
+    whole = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    kept = F.struct(recency, *rest)
+    found = dealt.select(
+        "*",
+        F.row_number().over(ranked).alias(rank),
+        F.first(F.when(~F.col(given), kept), ignorenulls=True).over(whole).alias(old),
+        F.first(F.when(F.col(given), kept), ignorenulls=True).over(whole).alias(new),
+    ).filter(F.col(rank) == 1)
+    mine, theirs = F.col(f"{new}.{recency}"), F.col(f"{old}.{recency}")
+    same = reduce(and_, [F.col(f"{old}.{c}").eqNullSafe(F.col(f"{new}.{c}")) for c in rest], F.lit(True))
+    changed = F.col(old).isNull() | (~same & ~_later(theirs, mine))
+    there = F.col(new).isNotNull()
+    return found.select(
+        *existing.columns,
+        (there & (changed | _later(mine, theirs))).alias(FLAGS[0]),
+        (there & changed).alias(FLAGS[1]),
+    )
+
+
 def news(batch: DataFrame, stored: DataFrame, keys: Sequence[str], recency: str) -> DataFrame:
     """Rows of the batch, one per key, that ``changes`` calls written; both have the same columns.
 

@@ -1,12 +1,16 @@
 from __future__ import annotations
 
+from collections import Counter
+from datetime import date
+
 import pytest
 from helpers import RAW_FLIGHTS, flight, plan_of, raw_flights, rows
 from pyspark.sql import functions as F
 
 from flightloom import files
-from flightloom.operators.merge import merge_rows
+from flightloom.operators.merge import changes, merge_rows, merged_news
 from flightloom.schemas import FLIGHT_KEY, LOAD_ID
+from flightloom.sinks import tables
 from flightloom.sinks.tables import UnknownColumns
 
 KEYS = list(FLIGHT_KEY)
@@ -153,3 +157,39 @@ def test_view_reads_its_source_anew(layers, spark):
     assert view.count() == 1
     layers.append("raw", "src", spark.range(2))
     assert spark.table(layers.view_name("staging", "v_src")).count() == 3
+
+
+def test_a_merge_deals_rows_once_and_says_what_changes(spark):
+    keys = ["k", "day"]
+    schema = "k int, day date, v string, load string"
+    day = date(2024, 1, 1)
+    one = lambda k, v, load: (k, None if k is None else day, v, load)
+    stored = [one(None, "a", "1"), one(1, "a", "1"), one(2, "a", "2"), one(3, "a", None), one(4, None, "1"), one(9, "z", "1")]
+    given = [one(None, "b", "2"), one(1, "a", "1"), one(2, "b", "1"), one(3, "b", "9"), one(4, None, "2"), one(5, "n", "1")]
+    existing, batch = spark.createDataFrame(stored, schema), spark.createDataFrame(given, schema)
+    found = merged_news(existing, batch, keys, "load", "day", buckets=3)
+    assert plan_of(found).count("Exchange ") == 1
+    rows = found.collect()
+    assert Counter(r[:4] for r in rows) == Counter(map(tuple, merge_rows(existing, batch, keys, "load").collect()))
+    told = {r["k"]: (r["written"], r["changed"]) for r in changes(batch, existing, keys, "load").collect()}
+    assert {r["k"]: r[4:] for r in rows} == {**told, 9: (False, False)}
+
+
+def test_partitions_that_a_table_lacks_are_written_without_a_merge(spark, layers, monkeypatch):
+    schema = "k int, day date, v string, load string"
+    days = [date(2024, 1, d) for d in (1, 2, 3)]
+
+    def merge(rows):
+        return layers.merge("raw", "met", spark.createDataFrame(rows, schema), ["k", "day"], "load", "day")
+
+    merge([(1, days[0], "a", "1")])
+    met = []
+    monkeypatch.setattr(tables, "merged_news", lambda old, batch, *rest, **named: (
+        met.extend(r[0] for r in batch.select("day").collect()) or merged_news(old, batch, *rest, **named)
+    ))
+    assert merge([(2, days[1], "b", "1"), (2, days[1], "a", "0")]) == ["2024-01-02"]
+    assert met == []
+    assert sorted(merge([(1, days[0], "c", "2"), (2, days[1], "b", "1"), (3, days[2], "n", "1")])) == ["2024-01-01", "2024-01-03"]
+    assert sorted(met) == days[:2]
+    got = sorted(tuple(r) for r in layers.table("raw", "met").select("k", "day", "v", "load").collect())
+    assert got == [(1, days[0], "c", "2"), (2, days[1], "b", "1"), (3, days[2], "n", "1")]
