@@ -534,6 +534,27 @@ def test_strips_at_the_edges_of_a_common_passage_spread(spark, documents, tmp_pa
     assert max(len(np.load(f)) for f in (tmp_path / "repeats").glob("strip-*.npy")) < 300
 
 
+def test_strips_and_their_hashes_do_not_depend_on_blocks(documents, monkeypatch):
+    texts = [b"", b"ab" * 200, b"x" * 49, b"y" * 50, *[(r["text"] or "").encode() for r in documents[:30]], b"ab" * 200, b""]
+
+    def cut(block):
+        monkeypatch.setattr(substrings, "BLOCK", block)
+        strips = substrings.Strips(texts, 50, 24)
+        return strips, strips.hashes(np.arange(len(strips.begin)))
+
+    (few, one), (many, other) = cut(1 << 20), cut(97)
+    for name in ("begin", "windows", "text", "seeds"):
+        assert np.array_equal(getattr(few, name), getattr(many, name))
+    # Every window is in one strip, and strips are alike where their bytes are.
+    assert few.windows.sum() == sum(max(0, len(t) - 49) for t in texts)
+    assert np.array_equal(one, other)
+    stops = few.stops(np.arange(len(one))).tolist()
+    strings = [few.data[a:b] for a, b in zip(few.begin.tolist(), stops, strict=True)]
+    assert len(set(strings)) == len(set(one.tolist())) == len(set(zip(strings, one.tolist(), strict=True)))
+    assert all(a >= 0 and few.data[a:b] in texts[t] for a, b, t in zip(few.begin, stops, few.text, strict=True))
+
+
+
 # --- language model ----------------------------------------------------------------
 
 
