@@ -9,6 +9,7 @@ import pytest
 from helpers import plan_of, rows, ts
 from pyspark.sql import functions as F
 
+from flightloom.operators import partials
 from flightloom.operators.quality import ContractViolation
 from flightloom.plans import ledger, marts, pipeline
 from flightloom.plans.ledger import Ledger
@@ -315,6 +316,31 @@ def test_tables_over_all_days_read_touched_days_only(layers, spark, inputs, monk
     assert "fct_flights" not in table
 
 
+def test_only_months_of_open_days_are_merged_again(layers, spark, inputs, monkeypatch):
+    """Also in tables without partitions, whose other months are written as they are."""
+    deliver(Path(inputs[0]), "2024-02-01", "departure", record("a1", DAY + 31 * 86400, DAY + 31 * 86400 + 600))
+    load(layers, inputs)
+    pipeline.ingest(layers, inputs[0], [date(2024, 2, 1)], "150")
+    airports, settings = default_airports(spark), {"partitioned": False}
+    pipeline.build(layers, airports, ts("2024-02-02"), **settings)
+    deliver(Path(inputs[0]), "2024-02-02", "departure", record("a2", DAY + 32 * 86400, DAY + 32 * 86400 + 600))
+    pipeline.ingest(layers, inputs[0], [date(2024, 2, 2)], "200")
+    months, by_month = [], partials.Partial.by_month
+
+    def noted(self, daily):
+        months.append(rows(daily.select(F.col("month").cast("string")).distinct()))
+        return by_month(self, daily)
+
+    monkeypatch.setattr(partials.Partial, "by_month", noted)
+    pipeline.update(layers, airports, ts("2024-02-03"), **settings)
+    assert len(months) == 4 and {m for found in months for m in found} == {("2024-02-01",)}
+    monkeypatch.undo()
+    states = [(pipeline.STATES, pipeline.by_month(p)) for m in MODELS for p in (m.partial, m.index) if p]
+    after = [rows(layers.table(*name)) for name in states] + [tables_of(layers)]
+    pipeline.build(layers, airports, ts("2024-02-04"), **settings)
+    assert after == [rows(layers.table(*name)) for name in states] + [tables_of(layers)]
+
+
 def test_an_airport_that_changes_renames_all_days(layers, spark, inputs):
     load(layers, inputs)
     airports = default_airports(spark)

@@ -7,7 +7,7 @@ import re
 from helpers import plan_of, rows
 from pyspark.sql import functions as F
 
-from flightloom.fixtures.queries import registered
+from flightloom.fixtures.queries import _balance, registered
 from flightloom.fixtures.workspace import Workspace, workspace
 from flightloom.operators.dedup import latest_per_key
 from flightloom.operators.lookup import lookup
@@ -113,3 +113,16 @@ def test_hot_group_of_copies_ships_one_row_per_task(spark):
     # As text, the highest id divisible by three is 9999.
     assert rows(kept.filter("k = -1"), "load") == [("9999",)]
     assert plan_of(kept).count("WindowGroupLimit") == 2
+
+
+def test_tables_are_compared_in_the_tasks_asked_for(spark):
+    """Rows meet by their values before they are counted: nothing is gathered below the shuffle."""
+    columns = "k string, v double"
+    one = spark.createDataFrame([("a", 1.0), ("a", 1.0), (None, None), ("b", 0.0), ("c", float("nan"))], columns)
+    two = spark.createDataFrame([(None, None), ("a", 1.0), ("b", -0.0), ("c", float("nan")), ("d", None)], columns)
+    found = _balance(one, two, tasks=7).select("row.k", "row.v", "n_after", "balance")
+    assert rows(found.drop("v")) == sorted([("a", 2, 1), (None, 1, 0), ("b", 1, 0), ("c", 1, 0), ("d", 0, -1)], key=repr)
+    plan = plan_of(_balance(one.select("k"), two.select("k"), tasks=7))
+    assert plan.count("Exchange") == 1 and "hashpartitioning(row" in plan
+    assert "HashAggregate" not in plan[plan.index("Exchange") :]
+    assert _balance(one.select("k"), two.select("k"), tasks=7).rdd.getNumPartitions() == 7

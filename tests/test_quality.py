@@ -49,6 +49,14 @@ def test_values_are_grouped_only_if_a_hash_is_repeated(spark, frame, monkeypatch
     assert asked[1:] == ["__hash", "k"]
 
 
+def test_hashes_are_grouped_without_other_counts(frame, monkeypatch):
+    asked, count = [], quality.check_counts
+    monkeypatch.setattr(quality, "check_counts", lambda df, *a: asked.append((df.columns, *a)) or count(df, *a))
+    single = frame.filter("k = 'b' or v is null")
+    assert quality.failure_counts(single, "k", ["v"], {}) == {"unique:k": 0, "not_null:v": 1}
+    assert asked == [(["__hash"], "__hash", [], {}), (["k", "v"], None, ["v"], {})]
+
+
 @pytest.mark.parametrize(
     ("hours", "status"), [(0, "pass"), (25, "pass"), (25.5, "warn"), (49, "warn"), (50, "error")]
 )

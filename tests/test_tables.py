@@ -193,3 +193,9 @@ def test_partitions_that_a_table_lacks_are_written_without_a_merge(spark, layers
     assert sorted(met) == days[:2]
     got = sorted(tuple(r) for r in layers.table("raw", "met").select("k", "day", "v", "load").collect())
     assert got == [(1, days[0], "c", "2"), (2, days[1], "b", "1"), (3, days[2], "n", "1")]
+
+
+def test_environments_share_the_lock_of_the_session_settings(spark, layers, tmp_path):
+    other = tables.Layers(spark, str(tmp_path / "other"), environment=f"{layers.prefix}other")
+    assert other._settings is layers._settings and layers.in_session(spark)._settings is layers._settings
+    other.drop_environment()
